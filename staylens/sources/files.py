@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import warnings
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,7 +34,7 @@ def place_from_path(path: Column) -> dict[str, Column]:
     """``city`` and ``country``: the last two ``_`` parts of the file stem, if there are two."""
     parts = F.split(file_stem(path), "_")
     return {
-        "city": F.try_element_at(parts, F.lit(-2)),
+        "city": F.when(F.size(parts) >= 2, F.try_element_at(parts, F.lit(-2))),
         "country": F.when(F.size(parts) >= 2, F.try_element_at(parts, F.lit(-1))),
     }
 
@@ -85,32 +85,29 @@ def read_tables(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(*paths)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a folder (or glob) holds any Parquet data, asked of Spark's own reader."""
+def found(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """The frame, or ``None`` when Spark finds no data at its path."""
     try:
-        return bool(spark.read.format("binaryFile").load(f"{path}").inputFiles())
+        return read()
     except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
         raise
 
 
 def read_optional(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """A table that may not be there yet: then a warning and an empty frame."""
-    if path_exists(spark, path):
-        return spark.read.schema(schema).parquet(path)
-    warnings.warn(f"no data found yet at {path}", stacklevel=2)
-    return spark.createDataFrame([], schema)
+    table = found(lambda: spark.read.schema(schema).parquet(path))
+    if table is None:
+        warnings.warn(f"no data found yet at {path}", stacklevel=2)
+        return spark.createDataFrame([], schema)
+    return table
 
 
 def read_available(spark: SparkSession, folder: str, tables: Iterable[str]) -> dict[str, DataFrame]:
-    """The tables of a layer that have data, by name."""
-    found = {}
-    for table in tables:
-        path = f"{folder}/{table}.parquet"
-        if path_exists(spark, path):
-            found[table] = spark.read.parquet(path)
-    return found
+    """The tables of a layer that are there, by name."""
+    reads = {t: found(lambda t=t: spark.read.parquet(f"{folder}/{t}.parquet")) for t in tables}
+    return {name: df for name, df in reads.items() if df is not None}
 
 
 def union_files(frames: Iterable[DataFrame]) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from staylens.functions.times import AsOf, in_late_window
 from staylens.schemas import schema_of
-from staylens.sources.files import file_stem, path_exists, read_csv
+from staylens.sources.files import file_stem, found, read_csv
 from staylens.sources.sinks import write_table
 
 
@@ -42,13 +42,13 @@ def split_late(df: DataFrame, as_of: AsOf = None, column: str = "last_updated")
 def land_ads(
     spark: SparkSession, path: str, target: str, as_of: AsOf = None, rejected: str | None = None
 ) -> DataFrame | None:
-    """Land provider rows inside the late-arrival window; ``None`` when there is no file.
+    """Land provider rows inside the late-arrival window; ``None`` when nothing was delivered.
 
     Rows outside the window are written to ``rejected`` when that is given.
     """
-    if not path_exists(spark, path):
+    rows = found(lambda: read_csv(spark, schema_of("adsProviders"), path, as_of))
+    if rows is None or rows.isEmpty():
         return None
-    rows = read_csv(spark, schema_of("adsProviders"), path, as_of)
     accepted, late = split_late(rows, as_of)
     write_table(accepted, target)
     if rejected:

@@ -56,7 +56,7 @@ def write_tables(
             write_table(
                 watched, f"{folder}/{name}.parquet", mode, (partition_by or {}).get(name, ())
             )
-            statuses.append(TableStatus(name, rows=seen.get["rows"]))
+            statuses.append(TableStatus(name, rows=seen.get.get("rows")))
         except Exception as error:  # noqa: BLE001 - reported per table below
             statuses.append(TableStatus(name, error=str(error).splitlines()[0]))
     if not all(s.ok for s in statuses):
