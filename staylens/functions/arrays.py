@@ -31,7 +31,7 @@ def list_from_loose_text(text: Column) -> Column:
     raw = F.trim(F.nullif(text, F.lit("")))
     bracketed = F.when(raw.startswith("[") & raw.endswith("]"), F.from_json(raw, STRINGS))
     items = F.coalesce(bracketed, F.split(raw, ","))
-    return F.filter(F.transform(items, F.trim), lambda item: item != "")
+    return F.filter(F.transform(items, lambda item: F.trim(item)), lambda item: item != "")
 
 
 def labels_or_default(labels: Column, default: str = DEFAULT_LABEL) -> Column:

@@ -76,8 +76,9 @@ def reviews_to_silver(
 
     For review streams see ``staylens.streaming.upsert``, which adds to the table.
     """
-    reviews = staged(spark, silver_reviews.clean_reviews(bronze, as_of), "reviews")
-    return write_tables({"Review": profile.require_rows(reviews, "reviews")}, silver)
+    unique = staged(spark, silver_reviews.unique_reviews(bronze, as_of), "reviews")
+    profile.require_rows(unique, "reviews")
+    return write_tables({"Review": silver_reviews.with_history(unique)}, silver)
 
 
 def silver_to_gold(

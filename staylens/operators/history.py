@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from staylens.functions.times import AsOf, clock
-from staylens.operators.skew import HEAVY_MIN_ROWS, HEAVY_SHARE, heavy_keys, salted_left_join
+from staylens.operators.skew import heavy_keys, salted_left_join
 
 #: Events of a heavy key are put in order minute by minute.
 SLICE_SECONDS = 60
@@ -20,19 +20,24 @@ def event_history(
     key: str = "reviewer_id",
     at: str = "date",
     tie: str = "id",
-    share: float = HEAVY_SHARE,
-    min_rows: int = HEAVY_MIN_ROWS,
+    heavy: DataFrame | None = None,
 ) -> DataFrame:
     """Each event is valid from its own date to the date of the key's next event.
 
     Adds ``start_date``, ``end_date`` and ``is_current``.  Events of a key are ordered
     by (``at``, ``tie``); ``tie`` is unique within a key.  Ordinary keys use one window.
     A heavy key is never gathered in one task: see ``_next_of_heavy``.
+
+    ``heavy`` defaults to ``heavy_keys(events, [key])``.  ``events`` is read by both
+    branches, so it should be a table; the heavy branch is dropped at run time when no
+    key is heavy.
     """
-    heavy = F.broadcast(heavy_keys(events, [key], share, min_rows))
+    if heavy is None:
+        heavy = heavy_keys(events, [key])
+    hot_keys = F.broadcast(heavy)
     in_order = Window.partitionBy(key).orderBy(at, tie)
-    light = events.join(heavy, key, "left_anti").withColumn("end_date", F.lead(at).over(in_order))
-    hot = _next_of_heavy(events.join(heavy, key, "left_semi"), key, at, tie, share, min_rows)
+    light = events.join(hot_keys, key, "left_anti").withColumn("end_date", F.lead(at).over(in_order))
+    hot = _next_of_heavy(events.join(hot_keys, key, "left_semi"), key, at, tie)
     return (
         light.unionByName(hot.select(*light.columns))
         .withColumn("start_date", F.col(at))
@@ -40,9 +45,7 @@ def event_history(
     )
 
 
-def _next_of_heavy(
-    events: DataFrame, key: str, at: str, tie: str, share: float, min_rows: int
-) -> DataFrame:
+def _next_of_heavy(events: DataFrame, key: str, at: str, tie: str) -> DataFrame:
     """``end_date`` without a window over a key's whole history.
 
     All events of one moment except the last end at that very moment, so only the
@@ -67,7 +70,7 @@ def _next_of_heavy(
         .join(slices, [key, "_slice"])
         .select(key, at, "_last", F.coalesce("_in_slice", "_after_slice").alias("_next"))
     )
-    joined = salted_left_join(events, successors, [key, at], [F.col(tie)], share, min_rows)
+    joined = salted_left_join(events, successors, [key, at], spread=[F.col(tie)])
     return joined.withColumn(
         "end_date", F.when(F.col(tie) == F.col("_last"), F.col("_next")).otherwise(F.col(at))
     ).drop("_last", "_next")

@@ -37,8 +37,7 @@ def salted_left_join(
     groups: DataFrame,
     keys: Sequence[str],
     spread: Sequence[Column],
-    share: float = HEAVY_SHARE,
-    min_rows: int = HEAVY_MIN_ROWS,
+    heavy: DataFrame | None = None,
     salts: int = SALTS,
 ) -> DataFrame:
     """``rows`` ⟕ ``groups`` on ``keys``, where ``groups`` has one row per key.
@@ -46,22 +45,23 @@ def salted_left_join(
     Rows of heavy keys and rows without a key are spread over ``salts`` join keys
     by a hash of ``spread`` (not by a random number: a re-run task must send its
     rows to the same place).  Only the group rows of heavy keys are repeated, so
-    the extra rows number at most ``salts / share``.
+    the extra rows number at most ``salts / HEAVY_SHARE``.
+
+    ``heavy`` defaults to ``heavy_keys(rows, keys)``.  Where ``rows`` is itself a join,
+    pass the heavy keys of the table the keys come from, which costs a narrow scan.
     """
-    heavy = F.broadcast(heavy_keys(rows, keys, share, min_rows).withColumn("_heavy", F.lit(True)))
+    if heavy is None:
+        heavy = heavy_keys(rows, keys)
+    flagged = F.broadcast(heavy.withColumn("_heavy", F.lit(True)))
     no_key = F.lit(False)
     for key in keys:
         no_key = no_key | F.col(key).isNull()
     salt = F.when(F.col("_heavy") | no_key, F.pmod(F.xxhash64(*spread), F.lit(salts))).otherwise(0)
-    salted_rows = rows.join(heavy, list(keys), "left").withColumn("_salt", salt.cast("int"))
-    salted_groups = groups.join(heavy, list(keys), "left").withColumn(
-        "_salt",
-        F.explode(
-            F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-                F.array(F.lit(0))
-            )
-        ),
+    copies = F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    salted_rows = rows.join(flagged, list(keys), "left").withColumn("_salt", salt.cast("int"))
+    salted_groups = groups.join(flagged, list(keys), "left").withColumn("_salt", F.explode(copies))
+    return (
+        salted_rows.drop("_heavy")
+        .join(salted_groups.drop("_heavy"), [*keys, "_salt"], "left")
+        .drop("_salt")
     )
-    return salted_rows.drop("_heavy").join(
-        salted_groups.drop("_heavy"), [*keys, "_salt"], "left"
-    ).drop("_salt")

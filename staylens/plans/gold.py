@@ -204,7 +204,9 @@ def fact_listing(joined: DataFrame, as_of: AsOf = None) -> DataFrame:
     return cast_to_schema(rows, schema_of("factListing"))
 
 
-def fact_review(reviews: DataFrame, stats: DataFrame, as_of: AsOf = None, **skew) -> DataFrame:
+def fact_review(
+    reviews: DataFrame, stats: DataFrame, as_of: AsOf = None, heavy: DataFrame | None = None
+) -> DataFrame:
     """Reviews with their listing's review count.
 
     Reviews of one listing (or of the "no listing" key) may be a large share of all
@@ -219,7 +221,7 @@ def fact_review(reviews: DataFrame, stats: DataFrame, as_of: AsOf = None, **skew
         counts,
         ["listing_id"],
         spread=[F.col("id")],
-        **skew,
+        heavy=heavy,
     )
     rows = joined.withColumns(
         {
@@ -326,18 +328,22 @@ def agg_ads(facts: DataFrame, as_of: AsOf = None) -> DataFrame:
 
 
 def premium_features(
-    joined: DataFrame, as_of: AsOf = None, fraction: float = PREMIUM_FRACTION, **skew
+    joined: DataFrame,
+    as_of: AsOf = None,
+    fraction: float = PREMIUM_FRACTION,
+    heavy: DataFrame | None = None,
 ) -> DataFrame:
     """Training table for premium pricing, from RentDetails with every other base joined.
 
     A listing is a premium target when its price lies above the ``fraction`` quantile of
-    the prices in its neighbourhood.
+    the prices in its neighbourhood.  ``heavy``: heavy neighbourhoods, by default counted
+    in ``joined``.
     """
     limits = exact_quantiles(
         joined, ["neighbourhood"], {"premium_limit": (F.col("price_per_night"), fraction)}
     )
     labelled = salted_left_join(
-        joined, limits, ["neighbourhood"], spread=[F.col("listing_id")], **skew
+        joined, limits, ["neighbourhood"], spread=[F.col("listing_id")], heavy=heavy
     )
     rows = labelled.withColumns(
         {

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from staylens.functions import display, numbers
 from staylens.operators.quantiles import exact_quantiles
-from staylens.operators.skew import salted_left_join
+from staylens.operators.skew import heavy_keys, salted_left_join
 
 # How many entries the reports show.
 CARDS, REVENUE_CHART, CITY_CHART, MARKERS = 6, 10, 12, 200
@@ -114,12 +114,16 @@ def located_listings(dim_location: DataFrame, fact_listing: DataFrame) -> DataFr
 
 
 def underperformers(
-    listings: DataFrame, fraction: float = LOW_FRACTION, limit: int | None = MARKERS, **skew
+    listings: DataFrame,
+    fraction: float = LOW_FRACTION,
+    limit: int | None = MARKERS,
+    heavy: DataFrame | None = None,
 ) -> DataFrame:
     """Listings at or below their city's lower quantile of revenue or occupancy.
 
     The city key ignores case and outer blanks.  Rows without coordinates are left out;
-    ``limit`` keeps the lowest earners of each city (``None``: all of them).
+    ``limit`` keeps the lowest earners of each city (``None``: all of them).  ``heavy``
+    are the heavy cities (lower case, trimmed), by default counted in ``listings``.
     """
     named = listings.withColumn("city", F.lower(F.trim("city")))
     revenue, occupancy = _zero("estimated_revenue_l365d"), _zero("estimated_occupancy_l365d")
@@ -127,7 +131,7 @@ def underperformers(
         named, ["city"], {"revenue_limit": (revenue, fraction), "occupancy_limit": (occupancy, fraction)}
     )
     low = (
-        salted_left_join(named, limits, ["city"], spread=[F.col("id")], **skew)
+        salted_left_join(named, limits, ["city"], spread=[F.col("id")], heavy=heavy)
         .filter((revenue <= F.col("revenue_limit")) | (occupancy <= F.col("occupancy_limit")))
         .dropna(subset=["latitude", "longitude"])
     )
@@ -159,7 +163,10 @@ def invest_answer(
     invest: DataFrame, dim_location: DataFrame, fact_listing: DataFrame
 ) -> dict[str, DataFrame]:
     """Which city and neighbourhood to invest in."""
-    low = underperformers(located_listings(dim_location, fact_listing))
+    city_names = dim_location.select(F.lower(F.trim("city")).alias("city"))
+    low = underperformers(
+        located_listings(dim_location, fact_listing), heavy=heavy_keys(city_names, ["city"])
+    )
     return {
         "cards": neighbourhood_cards(invest),
         "revenue_chart": revenue_chart(invest),

@@ -10,6 +10,7 @@ from staylens.functions.times import AsOf
 from staylens.operators.dedupe import dedupe_latest
 from staylens.operators.history import event_history
 from staylens.operators.schema_ops import cast_to_schema
+from staylens.operators.skew import heavy_keys
 from staylens.schemas import schema_of
 
 # Fixed value: the listing of a review that names none.
@@ -44,8 +45,22 @@ def clean_review_fields(
     )
 
 
-def clean_reviews(bronze: DataFrame, as_of: AsOf = None, **defaults) -> DataFrame:
-    """Silver reviews: cleaned, each review id once, with the reviewer's history."""
+def unique_reviews(bronze: DataFrame, as_of: AsOf = None, **defaults) -> DataFrame:
+    """Cleaned reviews, each id once (the latest copy)."""
     fields = clean_review_fields(bronze, as_of, **defaults)
-    once = dedupe_latest(fields, ["id"]).withColumn("ingestion_ts", times.clock(as_of))
-    return cast_to_schema(event_history(once), schema_of("Review"))
+    return dedupe_latest(fields, ["id"]).withColumn("ingestion_ts", times.clock(as_of))
+
+
+def with_history(reviews: DataFrame, heavy: DataFrame | None = None) -> DataFrame:
+    """Silver reviews from unique ones: the reviewer's history, cut to the schema."""
+    return cast_to_schema(event_history(reviews, heavy=heavy), schema_of("Review"))
+
+
+def clean_reviews(bronze: DataFrame, as_of: AsOf = None, **defaults) -> DataFrame:
+    """Silver reviews in one lazy plan.
+
+    Heavy reviewers are counted in bronze, a narrow scan ahead of the de-duplication.
+    Jobs write ``unique_reviews`` to a table first and add the history from there.
+    """
+    heavy = heavy_keys(bronze.dropna(subset=["reviewer_id"]), ["reviewer_id"])
+    return with_history(unique_reviews(bronze, as_of, **defaults), heavy)
