@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("scalar_queries",)
+MODULES = ("scalar_queries", "frame_queries", "star_queries", "io_queries", "stream_queries")
 
 
 def load() -> None:

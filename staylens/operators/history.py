@@ -35,14 +35,21 @@ def event_history(
     if heavy is None:
         heavy = heavy_keys(events, [key])
     hot_keys = F.broadcast(heavy)
-    in_order = Window.partitionBy(key).orderBy(at, tie)
-    light = events.join(hot_keys, key, "left_anti").withColumn("end_date", F.lead(at).over(in_order))
+    light = plain_event_history(events.join(hot_keys, key, "left_anti"), key, at, tie)
     hot = _next_of_heavy(events.join(hot_keys, key, "left_semi"), key, at, tie)
-    return (
-        light.unionByName(hot.select(*light.columns))
-        .withColumn("start_date", F.col(at))
-        .withColumn("is_current", F.col("end_date").isNull())
-    )
+    return light.unionByName(_with_validity(hot, at))
+
+
+def plain_event_history(
+    events: DataFrame, key: str = "reviewer_id", at: str = "date", tie: str = "id"
+) -> DataFrame:
+    """The same with one window and nothing else, for input known to have no heavy key."""
+    in_order = Window.partitionBy(key).orderBy(at, tie)
+    return _with_validity(events.withColumn("end_date", F.lead(at).over(in_order)), at)
+
+
+def _with_validity(df: DataFrame, at: str) -> DataFrame:
+    return df.withColumns({"start_date": F.col(at), "is_current": F.col("end_date").isNull()})
 
 
 def _next_of_heavy(events: DataFrame, key: str, at: str, tie: str) -> DataFrame:

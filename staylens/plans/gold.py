@@ -87,7 +87,7 @@ def listing_wide(bases: Mapping[str, DataFrame], review_stats: DataFrame | None
     ids = reduce(DataFrame.unionByName, [b.select("listing_id") for b in bases.values()])
     flagged = [b.withColumn(f"in_{t}", F.lit(True)) for t, b in bases.items()]
     sides = flagged + ([review_stats] if review_stats is not None else [])
-    return join_listings(ids.groupBy("listing_id").agg(), *sides)
+    return join_listings(ids.distinct(), *sides)
 
 
 def review_stats(reviews: DataFrame, since: AsOf = None) -> DataFrame:

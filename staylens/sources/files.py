@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import warnings
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -85,19 +85,31 @@ def read_tables(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(*paths)
 
 
-def found(read: Callable[[], DataFrame]) -> DataFrame | None:
-    """The frame, or ``None`` when Spark finds no data at its path."""
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path or glob matches anything, on whatever file system it lies."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return bool(system.globStatus(target))
+
+
+def read_if_there(
+    spark: SparkSession, path: str, schema: StructType | str | None = None
+) -> DataFrame | None:
+    """A Parquet table, or ``None`` when nothing has been written there yet."""
+    if not path_exists(spark, path):
+        return None
+    reader = spark.read.schema(schema) if schema is not None else spark.read
     try:
-        return read()
+        return reader.parquet(path)
     except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # a folder without files
             return None
         raise
 
 
 def read_optional(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """A table that may not be there yet: then a warning and an empty frame."""
-    table = found(lambda: spark.read.schema(schema).parquet(path))
+    table = read_if_there(spark, path, schema)
     if table is None:
         warnings.warn(f"no data found yet at {path}", stacklevel=2)
         return spark.createDataFrame([], schema)
@@ -106,8 +118,8 @@ def read_optional(spark: SparkSession, path: str, schema: StructType) -> DataFra
 
 def read_available(spark: SparkSession, folder: str, tables: Iterable[str]) -> dict[str, DataFrame]:
     """The tables of a layer that are there, by name."""
-    reads = {t: found(lambda t=t: spark.read.parquet(f"{folder}/{t}.parquet")) for t in tables}
-    return {name: df for name, df in reads.items() if df is not None}
+    reads = {table: read_if_there(spark, f"{folder}/{table}.parquet") for table in tables}
+    return {table: df for table, df in reads.items() if df is not None}
 
 
 def union_files(frames: Iterable[DataFrame]) -> DataFrame:

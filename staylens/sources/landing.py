@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from staylens.functions.times import AsOf, in_late_window
 from staylens.schemas import schema_of
-from staylens.sources.files import file_stem, found, read_csv
+from staylens.sources.files import file_stem, path_exists, read_csv
 from staylens.sources.sinks import write_table
 
 
@@ -46,8 +46,10 @@ def land_ads(
 
     Rows outside the window are written to ``rejected`` when that is given.
     """
-    rows = found(lambda: read_csv(spark, schema_of("adsProviders"), path, as_of))
-    if rows is None or rows.isEmpty():
+    if not path_exists(spark, path):
+        return None
+    rows = read_csv(spark, schema_of("adsProviders"), path, as_of)
+    if rows.isEmpty():
         return None
     accepted, late = split_late(rows, as_of)
     write_table(accepted, target)

@@ -22,8 +22,14 @@ def drain(stream: DataFrame, handle: Batch, checkpoint: str) -> int:
     Batch size is bounded by the source's own option.  The checkpoint remembers what was
     processed; a batch that failed half-way is handed out again with the same number.
     """
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        # Streams switch adaptive execution off; the batch jobs in here want it.
+        batch.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
+        handle(batch, batch_id)
+
     query = (
-        stream.writeStream.foreachBatch(handle)
+        stream.writeStream.foreachBatch(run)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

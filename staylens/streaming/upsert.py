@@ -9,36 +9,33 @@ effect however often it runs.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-from staylens.functions.times import AsOf, clock
+from staylens.functions.times import AsOf
 from staylens.operators.dedupe import dedupe_latest
-from staylens.operators.history import event_history
+from staylens.operators.history import event_history, plain_event_history
 from staylens.operators.schema_ops import cast_to_schema
-from staylens.plans.silver_reviews import clean_review_fields
-from staylens.schemas import schema_of
-from staylens.sources.files import found
+from staylens.operators.skew import heavy_keys
+from staylens.plans.silver_reviews import unique_reviews
+from staylens.schemas import REVIEW, schema_of
+from staylens.sources.files import read_if_there
 from staylens.sources.sinks import write_table
 from staylens.streaming.drain import batch_folder, drain
 
 #: Reviewer buckets per batch folder; a lookup reads the buckets a batch touches.
-BUCKETS = 64
+BUCKETS = 32
 
 _HISTORY = ("start_date", "end_date", "is_current")
+_STORED = f"{REVIEW}, batch_id BIGINT, bucket INT"
 
 
-def _stored_schema() -> StructType:
-    return StructType(schema_of("Review").fields).add("batch_id", "long").add("bucket", "int")
-
-
-def _bucket():
+def _bucket() -> Column:
     return F.pmod(F.xxhash64("reviewer_id"), F.lit(BUCKETS)).cast("int")
 
 
 def stored_versions(spark: SparkSession, path: str) -> DataFrame | None:
-    return found(lambda: spark.read.schema(_stored_schema()).parquet(path))
+    return read_if_there(spark, path, _STORED)
 
 
 def _newest(versions: DataFrame) -> DataFrame:
@@ -60,51 +57,66 @@ def compact(spark: SparkSession, path: str, target: str) -> None:
     """
     versions = stored_versions(spark, path)
     last = versions.agg(F.max("batch_id")).first()[0]
-    rows = _newest(versions).drop("batch_id")
-    write_table(rows, batch_folder(target, last), partition_by=["bucket"])
+    _write(_newest(versions).drop("batch_id", "bucket"), batch_folder(target, last))
+
+
+def _write(rows: DataFrame, folder: str) -> None:
+    # One file per bucket where that is small; a bucket with a hot reviewer is split.
+    by_bucket = rows.withColumn("bucket", _bucket()).hint("rebalance", "bucket")
+    write_table(by_bucket, folder, partition_by=["bucket"])
 
 
-def new_versions(fresh: DataFrame, versions: DataFrame | None) -> DataFrame:
-    """Rows a batch adds: unseen reviews, and reviews whose validity they change.
+def affected_rows(fresh: DataFrame, versions: DataFrame | None) -> DataFrame:
+    """Unseen reviews of a batch and the stored ones whose validity they may change.
 
     A late review only touches what comes after it and the one review right before it,
-    so that is all that is read back and put in order again, per reviewer.
+    so that is all that is read back, per reviewer.  ``_is_new`` tells the two kinds
+    apart, ``_old_end`` is the stored ``end_date``.
     """
-    columns = schema_of("Review").names
+    columns = [c for c in schema_of("Review").names if c not in _HISTORY]
+    no_end = F.lit(None).cast("timestamp")
     if versions is None:
-        return cast_to_schema(event_history(fresh), schema_of("Review"))
-    unseen = fresh.join(versions.select("id").distinct(), "id", "left_anti")
+        return fresh.select(*columns, no_end.alias("_old_end"), F.lit(True).alias("_is_new"))
+    unseen = fresh.join(versions.select("id"), "id", "left_anti")
     touched = unseen.groupBy("reviewer_id").agg(F.min(F.struct("date", "id")).alias("_from"))
     touched = touched.withColumn("bucket", _bucket())
-    known = _newest(versions.join(touched.select("reviewer_id", "bucket"), ["bucket", "reviewer_id"], "left_semi"))
-    known = known.join(touched.drop("bucket"), "reviewer_id")
+    known = _newest(
+        versions.join(touched.select("bucket", "reviewer_id"), ["bucket", "reviewer_id"], "left_semi")
+    ).join(touched.drop("bucket"), "reviewer_id")
+    known = known.select(*columns, F.col("end_date").alias("_old_end"), "_from")
     position = F.struct("date", "id")
-    after = known.filter(position >= F.col("_from"))
+    after = known.filter(position >= F.col("_from")).drop("_from")
     before = (
         known.filter(position < F.col("_from"))
         .groupBy("reviewer_id")
-        .agg(F.max_by(F.struct(*columns), position).alias("_row"))
+        .agg(F.max_by(F.struct(*after.columns), position).alias("_row"))
         .select("_row.*")
     )
-    stored = after.select(*columns).unionByName(before.select(*columns))
-    stored = stored.withColumns({"_old_end": F.col("end_date"), "_is_new": F.lit(False)})
-    added = unseen.withColumns({"_old_end": F.lit(None).cast("timestamp"), "_is_new": F.lit(True)})
-    plain = [c for c in columns if c not in _HISTORY] + ["_old_end", "_is_new"]
-    ordered = event_history(stored.select(*plain).unionByName(added.select(*plain)))
-    changed = ordered.filter("_is_new OR NOT (end_date <=> _old_end)")
+    stored = after.unionByName(before).withColumn("_is_new", F.lit(False))
+    return stored.unionByName(
+        unseen.select(*columns, no_end.alias("_old_end"), F.lit(True).alias("_is_new"))
+    )
+
+
+def changed_versions(affected: DataFrame) -> DataFrame:
+    """The rows a batch adds: new reviews, and new versions of those that end elsewhere now."""
+    # The rows are at hand: one count tells whether any reviewer needs the split at all.
+    heavy = heavy_keys(affected, ["reviewer_id"])
+    history = plain_event_history(affected) if heavy.isEmpty() else event_history(affected)
+    changed = history.filter("_is_new OR NOT (end_date <=> _old_end)")
     return cast_to_schema(changed, schema_of("Review"))
 
 
 def upsert_batch(batch: DataFrame, batch_id: int, path: str, as_of: AsOf = None) -> None:
     """Clean a batch of bronze reviews and add it to the silver table."""
-    spark = batch.sparkSession
-    fresh = dedupe_latest(clean_review_fields(batch, as_of), ["id"])
-    fresh = fresh.withColumn("ingestion_ts", clock(as_of))
-    versions = stored_versions(spark, path)
+    versions = stored_versions(batch.sparkSession, path)
     if versions is not None:
         versions = versions.filter(F.col("batch_id") < batch_id)
-    rows = new_versions(fresh, versions).withColumn("bucket", _bucket())
-    write_table(rows, batch_folder(path, batch_id), partition_by=["bucket"])
+    fresh = unique_reviews(batch, as_of).persist()
+    affected = affected_rows(fresh, versions).persist()
+    _write(changed_versions(affected), batch_folder(path, batch_id))
+    affected.unpersist()
+    fresh.unpersist()
 
 
 def drain_to_silver(bronze: DataFrame, path: str, checkpoint: str, as_of: AsOf = None) -> int:
