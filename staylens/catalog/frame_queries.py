@@ -119,8 +119,7 @@ def join_inner_clean_raw(t: Tables) -> DataFrame:
     """,
 )
 def join_inner_geo(t: Tables) -> DataFrame:
-    located = questions.located_listings(t.dim_location, t.fact_listing)
-    return located.withColumn("price_per_night", F.col("price_per_night").cast("double"))
+    return t.located.withColumn("price_per_night", F.col("price_per_night").cast("double"))
 
 
 # --- aggregations -----------------------------------------------------------------
@@ -510,9 +509,8 @@ def topk_provider_chart(t: Tables) -> DataFrame:
     """,
 )
 def limit_markers(t: Tables) -> DataFrame:
-    located = questions.located_listings(t.dim_location, t.fact_listing)
     poorest = numbers.or_zero(F.col("estimated_revenue_l365d"))
-    return located.orderBy(poorest, "id").limit(questions.MARKERS).select("id", "city", "estimated_revenue_l365d")
+    return t.located.orderBy(poorest, "id").limit(questions.MARKERS).select("id", "city", "estimated_revenue_l365d")
 
 
 @query("sample_preview", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 20")

@@ -12,7 +12,8 @@ from pyspark.sql.types import ArrayType, DateType, DoubleType, FloatType, Timest
 from staylens.catalog.feeds import FEEDS
 from staylens.catalog.twins import AS_OF, twin
 from staylens.functions import arrays
-from staylens.plans import gold, silver_ads, silver_listings, silver_reviews
+from staylens.operators.skew import heavy_keys
+from staylens.plans import gold, questions, silver_ads, silver_listings, silver_reviews
 from staylens.schemas import LISTING_TABLES
 from staylens.session import work_path
 from staylens.sources.sinks import write_table
@@ -147,6 +148,19 @@ class Tables:
     def dim_location(self) -> DataFrame:
         return gold.dim_location(self.base("Location"), self.as_of)
 
+    @cached_property
+    def located(self) -> DataFrame:
+        # Read several times by the reports, so joined once, as the report job does.
+        return self.stored(
+            "located", lambda: questions.located_listings(self.dim_location, self.fact_listing)
+        )
+
+    @cached_property
+    def heavy_cities(self) -> DataFrame:
+        """Heavy cities, counted where the cities come from."""
+        names = self.listing_table("Location").select(F.lower(F.trim("city")).alias("city"))
+        return heavy_keys(names, ["city"])
+
     @cached_property
     def provider_facts(self) -> DataFrame:
         s = self.silver_ads

@@ -199,7 +199,7 @@ def city_filter_default(t: Tables) -> DataFrame:
     """,
 )
 def underperformer_filter(t: Tables) -> DataFrame:
-    low = questions.underperformers(questions.located_listings(t.dim_location, t.fact_listing))
+    low = questions.underperformers(t.located, heavy=t.heavy_cities)
     return low.select(
         "city",
         "id",

@@ -322,7 +322,7 @@ def listing_wide(t: Tables) -> DataFrame:
     """,
 )
 def invest_question(t: Tables) -> DataFrame:
-    answer = questions.invest_answer(t.invest, t.dim_location, t.fact_listing)
+    answer = questions.invest_answer(t.invest, t.located)
     shown = answer["markers"].groupBy("city").agg(F.count(F.lit(1)).alias("markers"))
     kpis = answer["city_kpis"].withColumn("city", F.lower(F.trim("city_name")))
     return kpis.join(shown, "city", "left").select(
@@ -345,7 +345,7 @@ def invest_question(t: Tables) -> DataFrame:
     """,
 )
 def invest_question_markers(t: Tables) -> DataFrame:
-    return questions.invest_answer(t.invest, t.dim_location, t.fact_listing)["markers"]
+    return questions.invest_answer(t.invest, t.located)["markers"]
 
 
 @query("promotion_question", PROVIDER_TABLE_SQL)

@@ -55,8 +55,7 @@ def listings_to_silver(
     statuses = write_tables(
         {t: silver_listings.silver_table(listings, t) for t in LISTING_TABLES}, silver
     )
-    quality = profile.transform_null_counts(listings, columns)
-    return statuses, quality
+    return statuses, profile.quality(listings, columns)
 
 
 def ads_to_silver(
@@ -118,9 +117,11 @@ def answers(spark: SparkSession, target: str) -> dict[str, DataFrame]:
     )
     found: dict[str, DataFrame] = {}
     if {"AggNeighbourhoodInvest", "dimLocation", "factListing"} <= set(marts):
-        reports = questions.invest_answer(
-            marts["AggNeighbourhoodInvest"], marts["dimLocation"], marts["factListing"]
+        # Quantiles and filter both read the joined listings: join them once.
+        located = staged(
+            spark, questions.located_listings(marts["dimLocation"], marts["factListing"]), "located"
         )
+        reports = questions.invest_answer(marts["AggNeighbourhoodInvest"], located)
         found |= {f"invest_{name}": df for name, df in reports.items()}
     if "AggAds" in marts:
         reports = questions.promotion_answer(marts["AggAds"])

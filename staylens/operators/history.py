@@ -34,7 +34,7 @@ def event_history(
     """
     if heavy is None:
         heavy = heavy_keys(events, [key])
-    hot_keys = F.broadcast(heavy)
+    hot_keys = F.broadcast(heavy.select(key))
     light = plain_event_history(events.join(hot_keys, key, "left_anti"), key, at, tie)
     hot = _next_of_heavy(events.join(hot_keys, key, "left_semi"), key, at, tie)
     return light.unionByName(_with_validity(hot, at))

@@ -14,12 +14,13 @@ class EmptyResultError(ValueError):
     """A job was left without rows."""
 
 
+def _nulls(columns: Sequence[str]) -> list[Column]:
+    return [F.count_if(F.col(c).isNull()).alias(f"{c}_nulls") for c in columns]
+
+
 def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row: ``total_rows`` and ``<column>_nulls``."""
-    return df.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        *[F.count_if(F.col(c).isNull()).alias(f"{c}_nulls") for c in columns],
-    )
+    return df.agg(F.count(F.lit(1)).alias("total_rows"), *_nulls(columns))
 
 
 def keep_raw(df: DataFrame, columns: Sequence[str], name: str = "raw") -> DataFrame:
@@ -27,18 +28,23 @@ def keep_raw(df: DataFrame, columns: Sequence[str], name: str = "raw") -> DataFr
     return df.withColumn(name, F.struct(*[F.col(c).cast("string").alias(c) for c in columns]))
 
 
-def _lost(raw: Column, clean: Column) -> Column:
-    return ~is_missing(raw, MISSING_TOKENS) & clean.isNull()
+def _lost(columns: Sequence[str], raw: str) -> list[Column]:
+    return [
+        F.count_if(~is_missing(F.col(f"{raw}.{c}"), MISSING_TOKENS) & F.col(c).isNull()).alias(
+            f"{c}_transform_nulls"
+        )
+        for c in columns
+    ]
 
 
 def transform_null_counts(df: DataFrame, columns: Sequence[str], raw: str = "raw") -> DataFrame:
     """One row: ``<column>_transform_nulls``, values that were there and got lost in cleaning."""
-    return df.agg(
-        *[
-            F.count_if(_lost(F.col(f"{raw}.{c}"), F.col(c))).alias(f"{c}_transform_nulls")
-            for c in columns
-        ]
-    )
+    return df.agg(*_lost(columns, raw))
+
+
+def quality(df: DataFrame, columns: Sequence[str], raw: str = "raw") -> DataFrame:
+    """Both counts in one pass."""
+    return df.agg(F.count(F.lit(1)).alias("total_rows"), *_nulls(columns), *_lost(columns, raw))
 
 
 def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from staylens.functions import display, numbers
 from staylens.operators.quantiles import exact_quantiles
-from staylens.operators.skew import heavy_keys, salted_left_join
+from staylens.operators.skew import salted_left_join
 
 # How many entries the reports show.
 CARDS, REVENUE_CHART, CITY_CHART, MARKERS = 6, 10, 12, 200
@@ -159,21 +159,15 @@ def markers(listings: DataFrame) -> DataFrame:
     )
 
 
-def invest_answer(
-    invest: DataFrame, dim_location: DataFrame, fact_listing: DataFrame
-) -> dict[str, DataFrame]:
-    """Which city and neighbourhood to invest in."""
-    city_names = dim_location.select(F.lower(F.trim("city")).alias("city"))
-    low = underperformers(
-        located_listings(dim_location, fact_listing), heavy=heavy_keys(city_names, ["city"])
-    )
+def invest_answer(invest: DataFrame, located: DataFrame) -> dict[str, DataFrame]:
+    """Which city and neighbourhood to invest in; ``located`` from ``located_listings``."""
     return {
         "cards": neighbourhood_cards(invest),
         "revenue_chart": revenue_chart(invest),
         "cities": cities(invest),
         "city_kpis": city_kpis(invest),
         "city_bookings": city_bookings(invest),
-        "markers": markers(low),
+        "markers": markers(underperformers(located)),
     }
 
 

@@ -80,9 +80,12 @@ def stream_csv(
     return with_ingestion_ts(rows, as_of).withWatermark(WATERMARK_COLUMN, WATERMARK_DELAY)
 
 
-def read_tables(spark: SparkSession, *paths: str) -> DataFrame:
-    """Parquet folders or globs as one frame; a column some files lack is NULL there."""
-    return spark.read.option("mergeSchema", "true").parquet(*paths)
+def read_tables(spark: SparkSession, *paths: str, merge_schemas: bool = False) -> DataFrame:
+    """Parquet folders or globs as one frame.
+
+    ``merge_schemas`` is for files with differing columns; it reads every footer first.
+    """
+    return spark.read.option("mergeSchema", merge_schemas).parquet(*paths)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

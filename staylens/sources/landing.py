@@ -13,6 +13,11 @@ from staylens.sources.files import file_stem, path_exists, read_csv
 from staylens.sources.sinks import write_table
 
 
+#: A CSV file with line breaks in its fields is read by one task.  Cutting its output into
+#: several files gives the jobs after it their parallelism, without a shuffle.
+ROWS_PER_FILE = 1_000_000
+
+
 def land_listings(
     spark: SparkSession, paths: str | Iterable[str], target: str, as_of: AsOf = None
 ) -> DataFrame:
@@ -27,6 +32,7 @@ def land_listings(
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("maxRecordsPerFile", ROWS_PER_FILE)
         .partitionBy("source_file")
         .parquet(target)
     )

@@ -17,16 +17,18 @@ Batch = Callable[[DataFrame, int], None]
 
 
 def drain(stream: DataFrame, handle: Batch, checkpoint: str) -> int:
-    """Process everything that is there now and stop; returns the rows read.
+    """Process everything that is there now and stop; returns the number of batches.
 
     Batch size is bounded by the source's own option.  The checkpoint remembers what was
     processed; a batch that failed half-way is handed out again with the same number.
     """
+    handled: set[int] = set()
 
     def run(batch: DataFrame, batch_id: int) -> None:
         # Streams switch adaptive execution off; the batch jobs in here want it.
         batch.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
         handle(batch, batch_id)
+        handled.add(batch_id)
 
     query = (
         stream.writeStream.foreachBatch(run)
@@ -35,7 +37,7 @@ def drain(stream: DataFrame, handle: Batch, checkpoint: str) -> int:
         .start()
     )
     query.awaitTermination()
-    return sum(p.numInputRows for p in query.recentProgress)
+    return len(handled)
 
 
 def batch_folder(target: str, batch_id: int) -> str:
@@ -60,8 +62,8 @@ def drain_to_bronze(
         writer.parquet(batch_folder(target, batch_id))
         written.append(seen.get.get("rows", 0))
 
-    read = drain(messages, land, checkpoint)
-    if read and not sum(written):
+    batches = drain(messages, land, checkpoint)
+    if batches and not sum(written):
         raise EmptyResultError("no valid review message found")
     return sum(written)
 

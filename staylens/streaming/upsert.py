@@ -5,6 +5,10 @@ before, and a new version of every older review whose ``end_date`` they changed.
 takes the newest version of each review.  No existing file is rewritten, a replayed batch
 overwrites its own folder and looks only at earlier ones, so every batch has the same
 effect however often it runs.
+
+Rows lie in buckets by reviewer, and a batch reads only the buckets of its reviewers: a
+copy of a review names the same reviewer.  What a batch reads back therefore depends on
+the table, so batches should be large; ``compact`` joins many small ones.
 """
 
 from __future__ import annotations
@@ -23,15 +27,15 @@ from staylens.sources.files import read_if_there
 from staylens.sources.sinks import write_table
 from staylens.streaming.drain import batch_folder, drain
 
-#: Reviewer buckets per batch folder; a lookup reads the buckets a batch touches.
+#: Reviewer buckets of a table.  Fixed for its lifetime; large tables want thousands.
 BUCKETS = 32
 
 _HISTORY = ("start_date", "end_date", "is_current")
 _STORED = f"{REVIEW}, batch_id BIGINT, bucket INT"
 
 
-def _bucket() -> Column:
-    return F.pmod(F.xxhash64("reviewer_id"), F.lit(BUCKETS)).cast("int")
+def _bucket(buckets: int) -> Column:
+    return F.pmod(F.xxhash64("reviewer_id"), F.lit(buckets)).cast("int")
 
 
 def stored_versions(spark: SparkSession, path: str) -> DataFrame | None:
@@ -50,19 +54,19 @@ def read_reviews(spark: SparkSession, path: str) -> DataFrame:
     return _newest(versions).select(*schema_of("Review").names)
 
 
-def compact(spark: SparkSession, path: str, target: str) -> None:
+def compact(spark: SparkSession, path: str, target: str, buckets: int = BUCKETS) -> None:
     """Write the current reviews as one fresh table, to replace a long row of batches.
 
     Its folder carries the highest batch number, so the same stream can go on in ``target``.
     """
     versions = stored_versions(spark, path)
     last = versions.agg(F.max("batch_id")).first()[0]
-    _write(_newest(versions).drop("batch_id", "bucket"), batch_folder(target, last))
+    _write(_newest(versions).drop("batch_id", "bucket"), batch_folder(target, last), buckets)
 
 
-def _write(rows: DataFrame, folder: str) -> None:
+def _write(rows: DataFrame, folder: str, buckets: int) -> None:
     # One file per bucket where that is small; a bucket with a hot reviewer is split.
-    by_bucket = rows.withColumn("bucket", _bucket()).hint("rebalance", "bucket")
+    by_bucket = rows.withColumn("bucket", _bucket(buckets)).hint("rebalance", "bucket")
     write_table(by_bucket, folder, partition_by=["bucket"])
 
 
@@ -70,8 +74,8 @@ def affected_rows(fresh: DataFrame, versions: DataFrame | None) -> DataFrame:
     """Unseen reviews of a batch and the stored ones whose validity they may change.
 
     A late review only touches what comes after it and the one review right before it,
-    so that is all that is read back, per reviewer.  ``_is_new`` tells the two kinds
-    apart, ``_old_end`` is the stored ``end_date``.
+    so that is all that is put in order again, per reviewer.  ``_is_new`` tells the two
+    kinds apart, ``_old_end`` is the stored ``end_date``.
     """
     columns = [c for c in schema_of("Review").names if c not in _HISTORY]
     no_end = F.lit(None).cast("timestamp")
@@ -79,10 +83,8 @@ def affected_rows(fresh: DataFrame, versions: DataFrame | None) -> DataFrame:
         return fresh.select(*columns, no_end.alias("_old_end"), F.lit(True).alias("_is_new"))
     unseen = fresh.join(versions.select("id"), "id", "left_anti")
     touched = unseen.groupBy("reviewer_id").agg(F.min(F.struct("date", "id")).alias("_from"))
-    touched = touched.withColumn("bucket", _bucket())
-    known = _newest(
-        versions.join(touched.select("bucket", "reviewer_id"), ["bucket", "reviewer_id"], "left_semi")
-    ).join(touched.drop("bucket"), "reviewer_id")
+    of_touched = versions.join(touched.select("reviewer_id"), "reviewer_id", "left_semi")
+    known = _newest(of_touched).join(touched, "reviewer_id")
     known = known.select(*columns, F.col("end_date").alias("_old_end"), "_from")
     position = F.struct("date", "id")
     after = known.filter(position >= F.col("_from")).drop("_from")
@@ -107,18 +109,24 @@ def changed_versions(affected: DataFrame) -> DataFrame:
     return cast_to_schema(changed, schema_of("Review"))
 
 
-def upsert_batch(batch: DataFrame, batch_id: int, path: str, as_of: AsOf = None) -> None:
+def upsert_batch(
+    batch: DataFrame, batch_id: int, path: str, as_of: AsOf = None, buckets: int = BUCKETS
+) -> None:
     """Clean a batch of bronze reviews and add it to the silver table."""
+    fresh = unique_reviews(batch, as_of).persist()
     versions = stored_versions(batch.sparkSession, path)
     if versions is not None:
-        versions = versions.filter(F.col("batch_id") < batch_id)
-    fresh = unique_reviews(batch, as_of).persist()
+        # At most ``buckets`` numbers come to the driver; they prune the folders to read.
+        touched = [r.bucket for r in fresh.select(_bucket(buckets).alias("bucket")).distinct().collect()]
+        versions = versions.filter((F.col("batch_id") < batch_id) & F.col("bucket").isin(touched))
     affected = affected_rows(fresh, versions).persist()
-    _write(changed_versions(affected), batch_folder(path, batch_id))
+    _write(changed_versions(affected), batch_folder(path, batch_id), buckets)
     affected.unpersist()
     fresh.unpersist()
 
 
-def drain_to_silver(bronze: DataFrame, path: str, checkpoint: str, as_of: AsOf = None) -> int:
+def drain_to_silver(
+    bronze: DataFrame, path: str, checkpoint: str, as_of: AsOf = None, buckets: int = BUCKETS
+) -> int:
     """Run the upsert over everything a stream of bronze reviews holds now."""
-    return drain(bronze, lambda batch, n: upsert_batch(batch, n, path, as_of), checkpoint)
+    return drain(bronze, lambda batch, n: upsert_batch(batch, n, path, as_of, buckets), checkpoint)

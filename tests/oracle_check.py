@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 from pathlib import Path
@@ -15,6 +16,8 @@ import __spark_entry__ as entry
 from staylens.catalog.registry import TABLES
 from staylens.session import local_session
 
+#: Compare doubles to the last bit instead of six digits.
+EXACT = bool(os.environ.get("EXACT"))
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
@@ -27,7 +30,7 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
 
 def comparable(value):
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else f"{value:.6g}" if value else "0"
+        return "nan" if math.isnan(value) else repr(value) if EXACT else f"{value:.6g}"
     return repr(value)
 
 

@@ -75,7 +75,8 @@ def test_event_history(spark, split):
 
 def test_heavy_keys_are_bounded(spark):
     df = spark.range(10_000).select((F.when(F.col("id") < 3400, 0).otherwise(F.col("id"))).alias("k"))
-    assert [r.k for r in heavy_keys(df, ["k"], min_rows=1).collect()] == [0]
+    heavy = heavy_keys(df, ["k"], share=0.01, min_rows=1)
+    assert [(r.k, r._parts) for r in heavy.collect()] == [(0, 34)]  # a third of the rows: 34 tasks' worth
     assert heavy_keys(df, ["k"]).isEmpty()
 
 
@@ -84,7 +85,7 @@ def test_salted_join_equals_plain_join(spark):
     df = spark.createDataFrame(rows, "id BIGINT, k BIGINT")
     groups = spark.createDataFrame([(k, f"g{k}") for k in range(5)], "k BIGINT, name STRING")
     heavy = heavy_keys(df.dropna(), ["k"], share=0.1, min_rows=1)
-    salted = salted_left_join(df, groups, ["k"], [F.col("id")], heavy=heavy, salts=8)
+    salted = salted_left_join(df, groups, ["k"], [F.col("id")], heavy=heavy)
     plain = df.join(groups, "k", "left")
     assert sorted(salted.select("id", "k", "name").collect(), key=str) == sorted(
         plain.select("id", "k", "name").collect(), key=str
