@@ -5,6 +5,8 @@ Everything here is a projection, so it serves batch and streaming frames alike.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -102,8 +104,47 @@ def _kind(document: Column) -> Column:
     return F.regexp_extract(F.schema_of_variant(document), r"^[A-Z]+", 0)
 
 
-def _text(document: Column) -> Column:
-    return F.try_variant_get(document, "$", "string")
+def _starts_with(text: Column, mark: str) -> Column:
+    return F.ltrim(text, F.lit(" \t\r\n")).startswith(mark)
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once per row.
+
+    A filter on a derived column is pushed below the projections it comes from, with
+    every step written out wherever it is used.  Parsing is too dear for that, so its
+    result is bound as the variable of a one-element ``transform``.
+    """
+    return F.transform(F.array(value), use)[0]
+
+
+def _object_text(message: Column) -> Column:
+    """The JSON object in a message, as text, or NULL."""
+
+    def text_of(document: Column) -> Column:
+        return F.try_variant_get(document, "$", "string")
+
+    def valid(text: Column) -> Column:
+        return F.when(F.try_parse_json(text).isNotNull(), text)
+
+    def unwrapped(text: Column) -> Column:
+        return _once(
+            F.try_parse_json(text),
+            lambda document: _once(
+                F.try_variant_get(document, "$.payload", "variant"),
+                lambda inner: _once(
+                    _kind(inner),
+                    lambda kind: F.when(kind == "STRING", _once(text_of(inner), valid))
+                    .when(kind == "OBJECT", F.to_json(inner))
+                    .when(F.coalesce(kind, F.lit("")) != "ARRAY", F.when(document.isNotNull(), text)),
+                ),
+            ),
+        )
+
+    # A message may be a JSON string that holds the JSON text.
+    plain = F.when(_starts_with(message, '"'), text_of(F.try_parse_json(message))).otherwise(message)
+    body = _once(plain, unwrapped)
+    return _once(body, lambda text: F.when(_starts_with(text, "{"), text))
 
 
 def unwrap_payload(messages: DataFrame, value: str = "value") -> DataFrame:
@@ -112,25 +153,7 @@ def unwrap_payload(messages: DataFrame, value: str = "value") -> DataFrame:
     Accepted are an object, JSON text inside a JSON string, and an envelope
     ``{"payload": ...}`` around either.  Lists, scalars and non-JSON are not.
     """
-    parsed = messages.withColumn("_doc", F.try_parse_json(F.col(value)))
-    parsed = parsed.withColumn(
-        "_doc",
-        F.when(_kind(F.col("_doc")) == "STRING", F.try_parse_json(_text(F.col("_doc")))).otherwise(
-            F.col("_doc")
-        ),
-    )
-    parsed = parsed.withColumn("_inner", F.try_variant_get("_doc", "$.payload", "variant"))
-    inner = _kind(F.col("_inner"))
-    body = (
-        F.when(inner == "STRING", F.try_parse_json(_text(F.col("_inner"))))
-        .when(inner.isin("OBJECT", "ARRAY"), F.col("_inner"))
-        .otherwise(F.col("_doc"))
-    )
-    return (
-        parsed.withColumn("_body", body)
-        .withColumn("payload", F.when(_kind(F.col("_body")) == "OBJECT", F.to_json("_body")))
-        .drop("_doc", "_inner", "_body")
-    )
+    return messages.withColumn("payload", _object_text(F.col(value)))
 
 
 def flatten_json(df: DataFrame, column: str, schema: StructType) -> DataFrame:
@@ -170,7 +193,10 @@ def split_messages(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def _fits(document: Column, field: str, kind: str) -> Column:
     part = F.try_variant_get(document, f"$.{field}", "variant")
-    found = F.schema_of_variant(part)
+    return _once(part, lambda value: _once(F.schema_of_variant(value), lambda found: _is(kind, value, found)))
+
+
+def _is(kind: str, part: Column, found: Column) -> Column:
     absent = part.isNull() | (found == "VOID")
     if kind == "string":
         right = found == "STRING"
@@ -190,15 +216,15 @@ def _fits(document: Column, field: str, kind: str) -> Column:
 
 def check_contract(messages: DataFrame, value: str = "value") -> DataFrame:
     """Add ``violations``: the fields that break the contract, or ``not an object``."""
-    parsed = messages.withColumn("_doc", F.try_parse_json(F.col(value)))
-    document = F.col("_doc")
-    broken = F.array_compact(
-        F.array(*[F.when(~_fits(document, f, kind), F.lit(f)) for f, kind in CONTRACT.items()])
-    )
-    return parsed.withColumn(
-        "violations",
-        F.when(_kind(document) == "OBJECT", broken).otherwise(F.array(F.lit("not an object"))),
-    ).drop("_doc")
+
+    def violations(document: Column) -> Column:
+        broken = [F.when(~_fits(document, f, kind), F.lit(f)) for f, kind in CONTRACT.items()]
+        is_object = document.isNotNull() & _starts_with(F.col(value), "{")
+        return F.when(is_object, F.array_compact(F.array(*broken))).otherwise(
+            F.array(F.lit("not an object"))
+        )
+
+    return messages.withColumn("violations", _once(F.try_parse_json(F.col(value)), violations))
 
 
 def split_by_contract(messages: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
