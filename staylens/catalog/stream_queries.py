@@ -11,9 +11,9 @@ from staylens.catalog.registry import Tables, flat, query, time_text
 from staylens.catalog.twins import AS_OF, NOW, flat as flat_sql
 from staylens.operators.schema_ops import cast_to_schema
 from staylens.schemas import schema_of
-from staylens.sources.files import stream_csv
+from staylens.sources.files import read_raw_csv, stream_csv
 from staylens.sources.landing import split_late
-from staylens.sources.sinks import write_table
+from staylens.sources.sinks import review_messages, write_table
 from staylens.streaming import messages, upsert
 from staylens.streaming.drain import drain_append, drain_late_split, drain_to_bronze, windowed_counts
 
@@ -265,3 +265,46 @@ def stream_scd2_current(t: Tables) -> DataFrame:
     stream = review_stream(t, cast_to_schema(events, schema_of("reviews")))
     upsert.drain_to_silver(stream, target, t.work("checkpoint"), t.as_of)
     return flat(upsert.read_reviews(t.spark, target).select("id", "reviewer_id", "start_date", "end_date", "is_current"))
+
+
+END_TO_END_SQL = f"""
+SELECT id, listing_id, reviewer_id, reviewer_name, comment, likes_count,
+  strftime(date, '%Y-%m-%d %H:%M:%S') AS start_date, strftime(lead(date) OVER w, '%Y-%m-%d %H:%M:%S') AS end_date,
+  lead(date) OVER w IS NULL AS is_current
+FROM (SELECT id, coalesce(listing_id, -1) AS listing_id, reviewer_id, reviewer_name, 'ok then' AS comment,
+        coalesce(likes_votes, 0) AS likes_count, CAST(date AS TIMESTAMP) AS date FROM ({BRONZE_SQL}))
+WINDOW w AS (PARTITION BY reviewer_id ORDER BY date, id)
+"""
+
+
+@query("stream_reviews_end_to_end", END_TO_END_SQL)
+def stream_reviews_end_to_end(t: Tables) -> DataFrame:
+    """Messages to bronze to silver in one stream."""
+    bronze, silver = t.work("bronze"), t.work("silver_reviews")
+    upsert.drain_reviews(message_stream(t), bronze, silver, t.work("checkpoint"), t.as_of)
+    return flat(
+        upsert.read_reviews(t.spark, silver).select(
+            "id", "listing_id", "reviewer_id", "reviewer_name", "comment", "likes_count", "start_date", "end_date",
+            "is_current",
+        )
+    )
+
+
+@query(
+    "review_events_from_csv",
+    f"""
+    SELECT CAST(id AS VARCHAR) AS key, reviewer_id, comments, likes_votes, labels, contains_media
+    FROM (SELECT id, reviewer_id, comments, likes_votes, sentiment_label AS labels, contains_media FROM ({NORMALIZED_SQL}))
+    """,
+)
+def review_events_from_csv(t: Tables) -> DataFrame:
+    """Raw CSV rows to typed JSON messages, read back from the message text."""
+    path = t.work("reviews_csv")
+    t.event_feed.repartition(4).write.options(header=True, quote='"', escape='"').csv(path)
+    events, _ = messages.normalize_events(read_raw_csv(t.spark, path), t.as_of)
+    sent = review_messages(events)
+    body = F.from_json("value", "reviewer_id BIGINT, comments STRING, likes_votes BIGINT, sentiment_label ARRAY<STRING>, contains_media BOOLEAN")
+    return sent.select("key", body.alias("b")).select(
+        "key", "b.reviewer_id", "b.comments", "b.likes_votes",
+        F.array_join("b.sentiment_label", "|").alias("labels"), "b.contains_media",
+    )

@@ -1,6 +1,6 @@
-"""The batch jobs, callable from Python or with spark-submit.
+"""The jobs, callable from Python or from the command line.
 
-    spark-submit -m staylens.jobs listings --input 's3a://raw/listings_*.csv.gz' --bronze ... --silver ...
+    python -m staylens.jobs listings --input 's3a://raw/listings_*.csv.gz' --bronze ... --silver ...
 """
 
 from __future__ import annotations
@@ -17,8 +17,10 @@ from staylens.plans import gold, questions, silver_ads, silver_listings, silver_
 from staylens.schemas import LISTING_TABLES, schema_of
 from staylens.session import work_path
 from staylens.sources import landing
-from staylens.sources.files import read_available
-from staylens.sources.sinks import TableStatus, write_table, write_tables
+from staylens.sources.files import read_available, read_raw_csv
+from staylens.sources.sinks import TableStatus, send_reviews, write_table, write_tables
+from staylens.streaming.messages import kafka_messages, normalize_events
+from staylens.streaming.upsert import drain_reviews, read_reviews
 
 # The tracked columns of the type-2 dimensions.
 TRACKED = {
@@ -80,6 +82,19 @@ def reviews_to_silver(
     return write_tables({"Review": silver_reviews.with_history(unique)}, silver)
 
 
+def publish_reviews(
+    spark: SparkSession,
+    paths: Iterable[str],
+    servers: str,
+    topic: str,
+    max_records: int | None = None,
+    as_of: AsOf = None,
+) -> None:
+    """Review CSV files to Kafka as typed JSON events; rows with unreadable numbers stay out."""
+    events, _ = normalize_events(read_raw_csv(spark, paths), as_of)
+    send_reviews(events, servers, topic, max_records)
+
+
 def silver_to_gold(
     spark: SparkSession, silver: str, target: str, as_of: AsOf = None
 ) -> list[TableStatus]:
@@ -88,6 +103,9 @@ def silver_to_gold(
     needed = [t for t in (*gold.BASE_COLUMNS, "Review") if t not in tables]
     if needed:
         raise ValueError("silver tables without data: " + ", ".join(needed))
+    if "batch_id" in tables["Review"].columns:  # kept up to date by the review stream
+        current = read_reviews(spark, f"{silver}/Review.parquet")
+        tables["Review"] = staged(spark, current, "current_reviews")
     stats = staged(spark, gold.review_stats(tables["Review"]), "review_stats")
     wide = staged(spark, gold.listing_wide(gold.listing_bases(tables, unique=True), stats), "listing_wide")
     marts = gold.listing_marts(wide, as_of)
@@ -131,15 +149,21 @@ def answers(spark: SparkSession, target: str) -> dict[str, DataFrame]:
 
 def run(arguments: Iterable[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="staylens.jobs", description=__doc__)
-    parser.add_argument("job", choices=["listings", "ads", "reviews", "gold", "answers"])
+    parser.add_argument(
+        "job", choices=["listings", "ads", "reviews", "publish", "stream", "gold", "answers"]
+    )
     parser.add_argument("--input", nargs="*", default=[], help="CSV files or bronze Parquet")
     parser.add_argument("--bronze")
     parser.add_argument("--silver")
     parser.add_argument("--gold")
+    parser.add_argument("--servers", help="Kafka bootstrap servers")
+    parser.add_argument("--topic")
+    parser.add_argument("--checkpoint", help="where the review stream keeps its progress")
     parser.add_argument("--as-of", help="clock of the run; now when left out")
     args = parser.parse_args(arguments)
     spark = SparkSession.builder.appName(f"staylens {args.job}").getOrCreate()
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    statuses: list[TableStatus] = []
     if args.job == "listings":
         bronze = landing.land_listings(spark, args.input, args.bronze, args.as_of)
         statuses, quality = listings_to_silver(spark, bronze, args.silver)
@@ -150,10 +174,15 @@ def run(arguments: Iterable[str] | None = None) -> None:
     elif args.job == "reviews":
         bronze = spark.read.schema(schema_of("reviews")).parquet(*args.input)
         statuses = reviews_to_silver(spark, bronze, args.silver, args.as_of)
+    elif args.job == "publish":
+        publish_reviews(spark, args.input, args.servers, args.topic, as_of=args.as_of)
+    elif args.job == "stream":
+        messages = kafka_messages(spark, args.servers, args.topic)
+        reviews = f"{args.silver}/Review.parquet"
+        drain_reviews(messages, args.bronze, reviews, args.checkpoint, args.as_of)
     elif args.job == "gold":
         statuses = silver_to_gold(spark, args.silver, args.gold, args.as_of)
     else:
-        statuses = []
         for name, report in answers(spark, args.gold).items():
             print(name)
             report.show(200, truncate=False)

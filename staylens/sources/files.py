@@ -63,6 +63,12 @@ def read_csv(
     return with_ingestion_ts(parse_list_columns(with_lineage(rows), schema), as_of)
 
 
+def read_raw_csv(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
+    """CSV files as they are: the header's columns, every value text."""
+    files = [paths] if isinstance(paths, str) else list(paths)
+    return spark.read.options(**CSV_FORMAT).csv(files)
+
+
 def stream_csv(
     spark: SparkSession,
     schema: StructType,

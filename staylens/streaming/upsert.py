@@ -26,6 +26,7 @@ from staylens.schemas import REVIEW, schema_of
 from staylens.sources.files import read_if_there
 from staylens.sources.sinks import write_table
 from staylens.streaming.drain import batch_folder, drain
+from staylens.streaming.messages import bronze_reviews
 
 #: Reviewer buckets of a table.  Fixed for its lifetime; large tables want thousands.
 BUCKETS = 32
@@ -130,3 +131,25 @@ def drain_to_silver(
 ) -> int:
     """Run the upsert over everything a stream of bronze reviews holds now."""
     return drain(bronze, lambda batch, n: upsert_batch(batch, n, path, as_of, buckets), checkpoint)
+
+
+def drain_reviews(
+    messages: DataFrame,
+    bronze: str,
+    silver: str,
+    checkpoint: str,
+    as_of: AsOf = None,
+    buckets: int = BUCKETS,
+) -> int:
+    """The whole review stream in one query: messages to bronze, bronze to silver.
+
+    The silver step reads the batch back from bronze, so messages are parsed once.
+    """
+
+    def land_and_upsert(batch: DataFrame, batch_id: int) -> None:
+        folder = batch_folder(bronze, batch_id)
+        bronze_reviews(batch, as_of).write.mode("overwrite").parquet(folder)
+        landed = batch.sparkSession.read.schema(schema_of("reviews")).parquet(folder)
+        upsert_batch(landed, batch_id, silver, as_of, buckets)
+
+    return drain(messages, land_and_upsert, checkpoint)

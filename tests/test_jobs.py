@@ -8,11 +8,13 @@ import gzip
 import pytest
 
 from staylens import jobs
+from staylens.operators.schema_ops import cast_to_schema
 from staylens.plans import gold, questions, silver_ads
-from staylens.schemas import schema_of, table_names
+from staylens.schemas import LISTING_TABLES, schema_of, table_names
 from staylens.sources import landing
 from staylens.sources.files import read_csv, read_optional
 from staylens.sources.sinks import TablesFailedError, write_tables
+from staylens.streaming.upsert import upsert_batch
 
 AS_OF = "2024-01-15 00:00:00"
 
@@ -86,14 +88,23 @@ def test_listing_to_answers(spark, bronze, tmp_path):
          (None, 2, "2024-01-03", 7, "Ann"), (2, 3, None, None, "nobody")],
         "listing_id BIGINT, id BIGINT, date STRING, reviewer_id BIGINT, reviewer_name STRING",
     )
-    from staylens.operators.schema_ops import cast_to_schema
-
     jobs.reviews_to_silver(spark, cast_to_schema(reviews, schema_of("reviews")), silver, AS_OF)
     stored = {r.id: r for r in spark.read.parquet(f"{silver}/Review.parquet").collect()}
     assert set(stored) == {1, 2} and stored[2].listing_id == -1
     assert stored[1].end_date == stored[2].date and stored[2].is_current
 
+    # The same reviews kept by the stream give the same facts.
+    streamed = str(tmp_path / "silver_streamed")
+    for table in LISTING_TABLES:
+        spark.read.parquet(f"{silver}/{table}.parquet").write.parquet(f"{streamed}/{table}.parquet")
+    for n in range(2):
+        rows = cast_to_schema(reviews, schema_of("reviews")).filter(f"id > {n}")
+        upsert_batch(rows, n, f"{streamed}/Review.parquet", AS_OF)
+    jobs.silver_to_gold(spark, streamed, str(tmp_path / "gold_streamed"), AS_OF)
+    facts = sorted(map(str, spark.read.parquet(str(tmp_path / "gold_streamed/factReview.parquet")).collect()))
+
     statuses = jobs.silver_to_gold(spark, silver, target, AS_OF)
+    assert sorted(map(str, spark.read.parquet(f"{target}/factReview.parquet").collect())) == facts
     assert "AggAds" not in {s.table for s in statuses}
     again = jobs.silver_to_gold(spark, silver, target, "2024-01-16 00:00:00")
     assert {s.table: s.rows for s in again} == {s.table: s.rows for s in statuses}
