@@ -210,19 +210,31 @@ def agg_count_distinct(t: Tables) -> DataFrame:
     return t.review_feed.groupBy("reviewer_id").agg(F.countDistinct("listing_id").alias("listings"))
 
 
-@query(
-    "agg_quantile_exact",
-    """
-    SELECT l_returnflag, round(quantile_cont(l_extendedprice, 0.25), 4) AS price_q25,
-      round(quantile_cont(l_quantity, 0.8), 4) AS quantity_q80
-    FROM lineitem GROUP BY l_returnflag
-    """,
-)
+QUANTILE_SQL = """
+SELECT l_returnflag, round(quantile_cont(l_extendedprice, 0.25), 4) AS price_q25,
+  round(quantile_cont(l_quantity, 0.8), 4) AS quantity_q80
+FROM lineitem GROUP BY l_returnflag
+"""
+
+
+@query("agg_quantile_exact", QUANTILE_SQL)
 def agg_quantile_exact(t: Tables) -> DataFrame:
+    return _line_quantiles(t.table("lineitem"))
+
+
+@query("agg_quantile_exact_skewed", QUANTILE_SQL)
+def agg_quantile_exact_skewed(t: Tables) -> DataFrame:
+    """The same with the frequent return flags taken as heavy."""
+    lines = t.table("lineitem")
+    return _line_quantiles(lines, heavy_keys(lines, ["l_returnflag"], share=0.3, min_rows=1))
+
+
+def _line_quantiles(lines: DataFrame, heavy: DataFrame | None = None) -> DataFrame:
     limits = exact_quantiles(
-        t.table("lineitem"),
+        lines,
         ["l_returnflag"],
         {"price_q25": (F.col("l_extendedprice"), 0.25), "quantity_q80": (F.col("l_quantity"), 0.8)},
+        heavy,
     )
     return limits.select(
         "l_returnflag",

@@ -117,14 +117,14 @@ def dim_location(t: Tables) -> DataFrame:
 @query(
     "dim_location_insert_only",
     """
-    SELECT n_nationkey AS location_key, CASE WHEN n_regionkey = 2 THEN 'before' ELSE n_name END AS neighbourhood
-    FROM nation
+    SELECT c_custkey AS location_key, CASE WHEN c_nationkey < 12 THEN 'before' ELSE c_mktsegment END AS neighbourhood
+    FROM customer
     """,
 )
 def dim_location_insert_only(t: Tables) -> DataFrame:
-    nations = t.table("nation")
-    known = nations.filter("n_regionkey = 2").selectExpr("n_nationkey AS location_key", "'before' AS neighbourhood")
-    fresh = nations.selectExpr("n_nationkey AS location_key", "n_name AS neighbourhood")
+    customers = t.table("customer")
+    known = customers.filter("c_nationkey < 12").selectExpr("c_custkey AS location_key", "'before' AS neighbourhood")
+    fresh = customers.selectExpr("c_custkey AS location_key", "c_mktsegment AS neighbourhood")
     return insert_only(known, fresh, "location_key")
 
 

@@ -8,8 +8,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Value bins per doubling of the value, for the first, coarse pass.
-BINS_PER_OCTAVE = 32
+from staylens.operators.skew import heavy_keys
+
+#: Value bins per doubling of the value.  Of INT or FLOAT values, no bin holds more than
+#: about a million distinct ones.
+BINS_PER_OCTAVE = 1024
+
+Measures = Mapping[str, tuple[Column, float]]
 
 
 def _coarse_bin(value: Column) -> Column:
@@ -25,16 +30,37 @@ def _match(left: str, right: str, keys: Sequence[str]) -> Column:
 
 
 def exact_quantiles(
-    rows: DataFrame, keys: Sequence[str], measures: Mapping[str, tuple[Column, float]]
+    rows: DataFrame, keys: Sequence[str], measures: Measures, heavy: DataFrame | None = None
 ) -> DataFrame:
     """Exact quantiles with linear interpolation: one row per group, one column per measure.
 
     ``measures`` maps an output name to (value, fraction).  NULL values do not count.
 
-    Spark's exact ``percentile`` keeps all values of a group in one task.  Here the
-    rows are first reduced to a count per value (combined on the map side).  Running
-    counts over coarse value bins then point to the bin that holds the wanted rank,
-    and only that bin is looked at value by value, so no task sees a whole group.
+    ``percentile`` keeps the distinct values of a group in one task, which is right for
+    ordinary groups.  A heavy group is never gathered: see ``_quantiles_of_heavy``.
+    ``heavy`` defaults to ``heavy_keys(rows, keys)``; where ``rows`` is a join, pass the
+    heavy keys of the table the keys come from.
+    """
+    if heavy is None:
+        heavy = heavy_keys(rows, keys)
+    hot_keys = F.broadcast(heavy.select(*keys)).alias("h")
+    is_hot = _match("r", "h", keys)
+    light = (
+        rows.alias("r")
+        .join(hot_keys, is_hot, "left_anti")
+        .groupBy(*keys)
+        .agg(*[F.percentile(v.cast("double"), F.lit(p)).alias(n) for n, (v, p) in measures.items()])
+    )
+    hot = rows.alias("r").join(hot_keys, is_hot, "left_semi")
+    return light.unionByName(_quantiles_of_heavy(hot, keys, measures))
+
+
+def _quantiles_of_heavy(rows: DataFrame, keys: Sequence[str], measures: Measures) -> DataFrame:
+    """The same without gathering a group.
+
+    The rows are first reduced to a count per value (combined on the map side).  Running
+    counts over value bins then point to the bin that holds the wanted rank, and only
+    that bin is looked at value by value.
     """
     group = [*keys, "_measure"]
     values = rows.select(

@@ -158,7 +158,8 @@ def provider_base(details: DataFrame) -> DataFrame:
 
 
 def provider_metrics_base(metrics: DataFrame) -> DataFrame:
-    return dedupe_latest(metrics, ["id"]).select(
+    newest = [F.col("ingestion_ts").desc_nulls_last(), F.col("partition_date").desc_nulls_last()]
+    return dedupe_latest(metrics, ["id"], newest).select(
         F.col("id").alias("provider_id"), *PROVIDER_MEASURES, F.col("ingestion_ts").alias("metrics_ts")
     )
 
@@ -339,9 +340,8 @@ def premium_features(
     the prices in its neighbourhood.  ``heavy``: heavy neighbourhoods, by default counted
     in ``joined``.
     """
-    limits = exact_quantiles(
-        joined, ["neighbourhood"], {"premium_limit": (F.col("price_per_night"), fraction)}
-    )
+    price = {"premium_limit": (F.col("price_per_night"), fraction)}
+    limits = exact_quantiles(joined, ["neighbourhood"], price, heavy)
     labelled = salted_left_join(
         joined, limits, ["neighbourhood"], spread=[F.col("listing_id")], heavy=heavy
     )

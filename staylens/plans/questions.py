@@ -127,9 +127,8 @@ def underperformers(
     """
     named = listings.withColumn("city", F.lower(F.trim("city")))
     revenue, occupancy = _zero("estimated_revenue_l365d"), _zero("estimated_occupancy_l365d")
-    limits = exact_quantiles(
-        named, ["city"], {"revenue_limit": (revenue, fraction), "occupancy_limit": (occupancy, fraction)}
-    )
+    measures = {"revenue_limit": (revenue, fraction), "occupancy_limit": (occupancy, fraction)}
+    limits = exact_quantiles(named, ["city"], measures, heavy)
     low = (
         salted_left_join(named, limits, ["city"], spread=[F.col("id")], heavy=heavy)
         .filter((revenue <= F.col("revenue_limit")) | (occupancy <= F.col("occupancy_limit")))

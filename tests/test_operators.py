@@ -92,14 +92,19 @@ def test_salted_join_equals_plain_join(spark):
     )
 
 
+@pytest.mark.parametrize("split", ["none", "all", "some"])
 @pytest.mark.parametrize("fraction", [0.0, 0.25, 0.5, 0.8, 1.0])
-def test_exact_quantiles(spark, fraction):
+def test_exact_quantiles(spark, fraction, split):
     rng = random.Random(int(fraction * 100))
     rows = [("a", rng.gauss(0, 1000)) for _ in range(501)]
     rows += [("b", float(rng.randrange(4))) for _ in range(200)]
     rows += [("c", -3.5), (None, 1.0), (None, 2.0), ("a", None)]
     df = spark.createDataFrame(rows, "g STRING, v DOUBLE")
-    got = {r.g: r.q for r in exact_quantiles(df, ["g"], {"q": (F.col("v"), fraction)}).collect()}
+    groups = df.select("g").distinct()
+    heavy = {"none": None, "all": groups, "some": groups.filter("g IS NULL OR g = 'a'")}[split]
+    found = exact_quantiles(df, ["g"], {"q": (F.col("v"), fraction)}, heavy).collect()
+    got = {r.g: r.q for r in found}
+    assert len(found) == 4
     for group in ("a", "b", "c", None):
         values = [v for g, v in rows if g == group and v is not None]
         assert got[group] == pytest.approx(np.quantile(values, fraction))
