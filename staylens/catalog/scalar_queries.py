@@ -186,7 +186,18 @@ def city_filter(t: Tables) -> DataFrame:
     """,
 )
 def city_filter_default(t: Tables) -> DataFrame:
-    return flat(questions.in_first_city(t.invest))
+    return flat(questions.in_city_or_first(t.invest))
+
+
+@query(
+    "city_filter_unknown",
+    f"""
+    SELECT {flat_sql('AggNeighbourhoodInvest')} FROM invest
+    WHERE trim(city_name) = (SELECT min(trim(city_name)) FROM invest WHERE trim(city_name) <> '')
+    """,
+)
+def city_filter_unknown(t: Tables) -> DataFrame:
+    return flat(questions.in_city_or_first(t.invest, "Atlantis"))
 
 
 @query(

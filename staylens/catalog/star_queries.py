@@ -352,3 +352,34 @@ def invest_question_markers(t: Tables) -> DataFrame:
 def promotion_question(t: Tables) -> DataFrame:
     return questions.promotion_answer(t.agg_ads)["table"]
 
+
+
+@query(
+    "invest_question_kpi_texts",
+    """
+    SELECT CASE city_name WHEN 'MIDDLE EAST' THEN 'Middle East' ELSE upper(city_name[1]) || lower(city_name[2:]) END AS city,
+      format('{:,}', CAST(sum(neighbourhood_most_views) AS BIGINT)) AS active_listings,
+      format('{:,}', CAST(sum(neighbourhood_most_bookings) AS BIGINT)) AS bookings,
+      '$' || format('{:,.0f}', avg(CAST(avg_order_price AS DOUBLE))) AS avg_price,
+      '$' || format('{:,.0f}', sum(CAST(avg_revenue_l365d AS DOUBLE) * neighbourhood_most_views)) AS total_revenue,
+      format('{:.2f}', avg(CAST(avg_response_rate AS DOUBLE))) || '%' AS avg_response,
+      format('{:,}', CAST(round_even(median(CAST(median_availability AS DOUBLE)), 0) AS BIGINT)) AS median_availability
+    FROM invest GROUP BY city_name
+    """,
+)
+def invest_question_kpi_texts(t: Tables) -> DataFrame:
+    return questions.city_kpi_texts(questions.city_kpis(t.invest))
+
+
+@query(
+    "promotion_question_kpi_texts",
+    """
+    SELECT format('{:.2f}', avg(CAST(provider_conversion_rate AS DOUBLE)) * 100) || '%' AS avg_conversion,
+      '$' || format('{:,.0f}', sum(CAST(avg_campaign_cost AS DOUBLE))) AS total_spend,
+      format('{:,}', CAST(sum(customer_gained) AS BIGINT)) AS total_customers,
+      format('{:,}', count(*)) AS provider_count
+    FROM agg_ads
+    """,
+)
+def promotion_question_kpi_texts(t: Tables) -> DataFrame:
+    return questions.promotion_kpi_texts(questions.promotion_kpis(t.agg_ads))

@@ -63,11 +63,13 @@ def in_city(df: DataFrame, city: str, column: str = "city_name") -> DataFrame:
     return df.filter(F.lower(F.trim(column)) == city.strip().lower())
 
 
-def in_first_city(invest: DataFrame) -> DataFrame:
-    """Rows of the city a page shows when none is asked for: the first by name."""
-    named = invest.withColumn("_city", F.trim("city_name")).filter(F.col("_city") != "")
-    first = named.agg(F.min("_city")).scalar()
-    return named.filter(F.col("_city") == first).drop("_city")
+def in_city_or_first(invest: DataFrame, city: str | None = None) -> DataFrame:
+    """Rows of the asked city; of the first one by name if none is asked for or it is unknown."""
+    name = F.trim("city_name")
+    asked = F.max(F.when(F.lower(name) == (city or "").strip().lower(), F.lower(name)))
+    first = F.lower(F.min(F.when(name != "", name)))
+    shown = invest.agg(F.coalesce(F.nullif(asked, F.lit("")), first).alias("city")).scalar()
+    return invest.filter(F.lower(name) == shown)
 
 
 def city_kpis(invest: DataFrame) -> DataFrame:
@@ -86,6 +88,19 @@ def city_kpis(invest: DataFrame) -> DataFrame:
     )
 
 
+def city_kpi_texts(kpis: DataFrame) -> DataFrame:
+    """``city_kpis`` as a page shows them."""
+    return kpis.select(
+        F.initcap("city_name").alias("city"),
+        display.thousands(F.col("active_listings")).alias("active_listings"),
+        display.thousands(F.col("bookings")).alias("bookings"),
+        display.money(F.col("avg_price")).alias("avg_price"),
+        display.money(F.col("total_revenue")).alias("total_revenue"),
+        display.percent(F.col("avg_response"), 2).alias("avg_response"),
+        display.thousands(F.col("median_availability")).alias("median_availability"),
+    )
+
+
 def city_bookings(invest: DataFrame, k: int = CITY_CHART) -> DataFrame:
     """Top neighbourhoods by bookings in every city."""
     best = Window.partitionBy("city_name").orderBy(
@@ -165,6 +180,7 @@ def invest_answer(invest: DataFrame, located: DataFrame) -> dict[str, DataFrame]
         "revenue_chart": revenue_chart(invest),
         "cities": cities(invest),
         "city_kpis": city_kpis(invest),
+        "city_kpi_texts": city_kpi_texts(city_kpis(invest)),
         "city_bookings": city_bookings(invest),
         "markers": markers(underperformers(located)),
     }
@@ -182,6 +198,16 @@ def promotion_kpis(ads: DataFrame) -> DataFrame:
     )
 
 
+def promotion_kpi_texts(kpis: DataFrame) -> DataFrame:
+    """``promotion_kpis`` as a page shows them."""
+    return kpis.select(
+        display.percent_of_fraction(F.col("avg_conversion")).alias("avg_conversion"),
+        display.money(F.col("total_spend")).alias("total_spend"),
+        display.thousands(F.col("total_customers")).alias("total_customers"),
+        display.thousands(F.col("provider_count")).alias("provider_count"),
+    )
+
+
 def top_providers(ads: DataFrame, k: int = PROVIDER_TABLE) -> DataFrame:
     """Providers with the best conversion, ties by id."""
     return ads.orderBy(F.col("provider_conversion_rate").desc_nulls_last(), "provider_id").limit(k)
@@ -216,6 +242,7 @@ def promotion_answer(ads: DataFrame) -> dict[str, DataFrame]:
     """Which promotion strategy works best."""
     return {
         "kpis": promotion_kpis(ads),
+        "kpi_texts": promotion_kpi_texts(promotion_kpis(ads)),
         "cards": provider_cards(ads),
         "chart": provider_chart(ads),
         "table": provider_table(ads),

@@ -74,9 +74,11 @@ def drain_late_split(
     """Rows inside the late-arrival window to one table, all others to another."""
 
     def split(batch: DataFrame, batch_id: int) -> None:
-        on_time, others = split_late(batch, as_of, column)
+        # Two outputs of one batch: do not fetch it from the source twice.
+        on_time, others = split_late(batch.persist(), as_of, column)
         write_table(on_time, batch_folder(accepted, batch_id))
         write_table(others, batch_folder(late, batch_id))
+        batch.unpersist()
 
     return drain(rows, split, checkpoint)
 
