@@ -20,7 +20,7 @@ from staylens.functions.times import AsOf
 from staylens.operators.dedupe import dedupe_latest
 from staylens.operators.history import event_history, plain_event_history
 from staylens.operators.schema_ops import cast_to_schema
-from staylens.operators.skew import heavy_keys
+from staylens.operators.skew import HEAVY_MIN_ROWS
 from staylens.plans.silver_reviews import unique_reviews
 from staylens.schemas import REVIEW, schema_of
 from staylens.sources.files import read_if_there
@@ -103,9 +103,9 @@ def affected_rows(fresh: DataFrame, versions: DataFrame | None) -> DataFrame:
 
 def changed_versions(affected: DataFrame) -> DataFrame:
     """The rows a batch adds: new reviews, and new versions of those that end elsewhere now."""
-    # The rows are at hand: one count tells whether any reviewer needs the split at all.
-    heavy = heavy_keys(affected, ["reviewer_id"])
-    history = plain_event_history(affected) if heavy.isEmpty() else event_history(affected)
+    # The rows are at hand (persisted): in a small batch no reviewer can be heavy.
+    small = affected.count() <= HEAVY_MIN_ROWS
+    history = plain_event_history(affected) if small else event_history(affected)
     changed = history.filter("_is_new OR NOT (end_date <=> _old_end)")
     return cast_to_schema(changed, schema_of("Review"))
 

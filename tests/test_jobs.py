@@ -77,7 +77,8 @@ def test_listing_to_answers(spark, bronze, tmp_path):
     silver, target = str(tmp_path / "silver"), str(tmp_path / "gold")
     statuses, quality = jobs.listings_to_silver(spark, bronze, silver)
     assert [s.rows for s in statuses] == [2] * 6
-    assert quality.first()["price_transform_nulls"] == 0
+    checked = quality.first()
+    assert (checked["total_rows"], checked["id_nulls"], checked["price_transform_nulls"]) == (4, 1, 0)
     details = {r.id: r for r in spark.read.parquet(f"{silver}/HostDetails.parquet").collect()}
     assert details[2].room_type == "unkown" and details[3_000_000_000].host_is_superhost is True
     prices = {r.id: r.price_per_night for r in spark.read.parquet(f"{silver}/RentMetrics.parquet").collect()}
