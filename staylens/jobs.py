@@ -15,7 +15,7 @@ from staylens.operators import profile
 from staylens.operators.history import insert_only, scd2_merge
 from staylens.plans import gold, questions, silver_ads, silver_listings, silver_reviews
 from staylens.schemas import LISTING_TABLES, schema_of
-from staylens.session import work_path
+from staylens.session import SETTINGS, work_path
 from staylens.sources import landing
 from staylens.sources.files import read_available, read_raw_csv
 from staylens.sources.sinks import TableStatus, send_reviews, write_table, write_tables
@@ -169,7 +169,8 @@ def run(arguments: Iterable[str] | None = None) -> None:
     parser.add_argument("--as-of", help="clock of the run; now when left out")
     args = parser.parse_args(arguments)
     spark = SparkSession.builder.appName(f"staylens {args.job}").getOrCreate()
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
     statuses: list[TableStatus] = []
     if args.job == "listings":
         bronze = landing.land_listings(spark, args.input, args.bronze, args.as_of)

@@ -22,6 +22,7 @@ from staylens.operators.schema_ops import cast_to_schema
 from staylens.operators.skew import salted_left_join
 from staylens.schemas import schema_of
 
+# The silver columns the marts are made of.
 BASE_COLUMNS = {
     "HostDetails": ("host_name", "host_total_listings_count", "property_type", "room_type"),
     "HostMetrics": ("host_response_time", "host_response_rate", "host_acceptance_rate"),
