@@ -20,7 +20,7 @@ from staylens.sources import landing
 from staylens.sources.files import read_available, read_raw_csv
 from staylens.sources.sinks import TableStatus, send_reviews, write_table, write_tables
 from staylens.streaming.messages import kafka_messages, normalize_events
-from staylens.streaming.upsert import drain_reviews, read_reviews
+from staylens.streaming.upsert import BUCKETS, drain_reviews, read_reviews
 
 # The tracked columns of the type-2 dimensions.
 TRACKED = {
@@ -166,6 +166,7 @@ def run(arguments: Iterable[str] | None = None) -> None:
     parser.add_argument("--servers", help="Kafka bootstrap servers")
     parser.add_argument("--topic")
     parser.add_argument("--checkpoint", help="where the review stream keeps its progress")
+    parser.add_argument("--buckets", type=int, default=BUCKETS, help="reviewer buckets of the silver reviews")
     parser.add_argument("--as-of", help="clock of the run; now when left out")
     args = parser.parse_args(arguments)
     spark = SparkSession.builder.appName(f"staylens {args.job}").getOrCreate()
@@ -187,7 +188,7 @@ def run(arguments: Iterable[str] | None = None) -> None:
     elif args.job == "stream":
         messages = kafka_messages(spark, args.servers, args.topic)
         reviews = f"{args.silver}/Review.parquet"
-        drain_reviews(messages, args.bronze, reviews, args.checkpoint, args.as_of)
+        drain_reviews(messages, args.bronze, reviews, args.checkpoint, args.as_of, args.buckets)
     elif args.job == "gold":
         statuses = silver_to_gold(spark, args.silver, args.gold, args.as_of)
     else:

@@ -28,11 +28,14 @@ from staylens.sources.sinks import write_table
 from staylens.streaming.drain import batch_folder, drain
 from staylens.streaming.messages import bronze_reviews
 
-#: Reviewer buckets of a table.  Fixed for its lifetime; large tables want thousands.
+#: Reviewer buckets of a table.  Large tables want thousands; ``compact`` changes the number.
 BUCKETS = 32
 
+#: Batch number of compacted rows; a stream counts from 0.
+COMPACTED = -1
+
 _HISTORY = ("start_date", "end_date", "is_current")
-_STORED = f"{REVIEW}, batch_id BIGINT, bucket INT"
+_STORED = f"{REVIEW}, batch_id BIGINT, buckets INT, bucket INT"
 
 
 def _bucket(buckets: int) -> Column:
@@ -58,17 +61,16 @@ def read_reviews(spark: SparkSession, path: str) -> DataFrame:
 def compact(spark: SparkSession, path: str, target: str, buckets: int = BUCKETS) -> None:
     """Write the current reviews as one fresh table, to replace a long row of batches.
 
-    Its folder carries the highest batch number, so the same stream can go on in ``target``.
+    They become a batch older than any of the stream's, so the same stream goes on in
+    ``target``, and a batch it hands out again cannot overwrite them.
     """
-    versions = stored_versions(spark, path)
-    last = versions.agg(F.max("batch_id")).first()[0]
-    _write(_newest(versions).drop("batch_id", "bucket"), batch_folder(target, last), buckets)
+    _write(read_reviews(spark, path), batch_folder(target, COMPACTED), buckets)
 
 
 def _write(rows: DataFrame, folder: str, buckets: int) -> None:
     # One file per bucket where that is small; a bucket with a hot reviewer is split.
-    by_bucket = rows.withColumn("bucket", _bucket(buckets)).hint("rebalance", "bucket")
-    write_table(by_bucket, folder, partition_by=["bucket"])
+    by_bucket = rows.withColumns({"buckets": F.lit(buckets), "bucket": _bucket(buckets)})
+    write_table(by_bucket.hint("rebalance", "bucket"), folder, partition_by=["buckets", "bucket"])
 
 
 def affected_rows(fresh: DataFrame, versions: DataFrame | None) -> DataFrame:
@@ -114,8 +116,11 @@ def upsert_batch(
     batch: DataFrame, batch_id: int, path: str, as_of: AsOf = None, buckets: int = BUCKETS
 ) -> None:
     """Clean a batch of bronze reviews and add it to the silver table."""
-    fresh = unique_reviews(batch, as_of).persist()
     versions = stored_versions(batch.sparkSession, path)
+    if versions is not None and not versions.filter(F.col("buckets") != buckets).isEmpty():
+        # A folder filter: no file is read unless the table really differs.
+        raise ValueError(f"{path} does not have {buckets} buckets; compact it into a new table")
+    fresh = unique_reviews(batch, as_of).persist()
     if versions is not None:
         # At most ``buckets`` numbers come to the driver; they prune the folders to read.
         touched = [r.bucket for r in fresh.select(_bucket(buckets).alias("bucket")).distinct().collect()]

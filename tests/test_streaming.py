@@ -105,11 +105,15 @@ def test_upsert_equals_one_batch_run(spark, tmp_path, seed):
     currents = upsert.read_reviews(spark, path).filter("is_current").groupBy("reviewer_id").count()
     assert {r["count"] for r in currents.collect()} == {1}
 
+    with pytest.raises(ValueError, match="compact"):
+        upsert.upsert_batch(bronze_frame(spark, batches[0]), 3, path, AS_OF, buckets=8)
     target = str(tmp_path / "compacted")
-    upsert.compact(spark, path, target)
+    upsert.compact(spark, path, target, buckets=8)
+    assert sorted(sortable(state(upsert.read_reviews(spark, target)))) == sorted(expected)
+    upsert.upsert_batch(bronze_frame(spark, batches[2]), 2, target, AS_OF, buckets=8)  # handed out again
     assert sorted(sortable(state(upsert.read_reviews(spark, target)))) == sorted(expected)
     late = [(999, 3, datetime(2024, 1, 2, 0, 30))]
-    upsert.upsert_batch(bronze_frame(spark, late), 3, target, AS_OF)
+    upsert.upsert_batch(bronze_frame(spark, late), 3, target, AS_OF, buckets=8)
     expected = state(clean_reviews(bronze_frame(spark, rows + late), AS_OF))
     assert sorted(sortable(state(upsert.read_reviews(spark, target)))) == sorted(sortable(expected))
 
