@@ -5,23 +5,68 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from staylens.llm import decontaminate, secret_scan, simhash
+from staylens.llm import (
+    decontaminate,
+    html_text,
+    language_model,
+    packing,
+    quality,
+    secret_scan,
+    simhash,
+    spans,
+    topk,
+    wavelet,
+)
 from staylens.llm.common import on_workers, table
+from staylens.session import work_path
+
+
+def op1_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spans.dedup(table(spark, sf_dir, "documents"))
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = work_path(spark, "wavelet_shards")
+    wavelet.write_shards(table(spark, sf_dir, "documents"), folder)
+    found = wavelet.read_documents(wavelet.read_shards(spark, folder))
+    return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.scored(table(spark, sf_dir, "documents"))
+
+
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"))
+
+
 def _ready(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         on_workers(spark)
@@ -33,7 +78,16 @@ def _ready(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
 
 QUERIES = {
     f.__name__: _ready(f)
-    for f in (op3_simhash_near_dedup, op5_secret_scan, op7_benchmark_decontamination)
+    for f in (
+        op1_exact_topk,
+        op2_quality_classifier,
+        op3_simhash_near_dedup,
+        op4_html_extraction,
+        op5_secret_scan,
+        op6_substring_dedup,
+        op7_benchmark_decontamination,
+        op8_wavelet_tokens,
+        op9_language_model,
+        op10_best_fit_packing,
+    )
 }
-#: Where SQL can say the whole of an operator.
-ORACLE_SQL: dict[str, str] = {}
