@@ -91,3 +91,51 @@ QUERIES = {
         op10_best_fit_packing,
     )
 }
+
+#: Where SQL can say the whole of an operator; the others are tested against brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op1_exact_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS q FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+            SELECT a.vec_id AS query_id, b.vec_id, list_dot_product(a.q, b.q)::BIGINT AS score
+            FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 20 = 0
+        ), r AS (
+            SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank FROM s
+        )
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+    """,
+    "op7_benchmark_decontamination": r"""
+        WITH lower_case AS (
+            SELECT 'd' AS side, doc_id::VARCHAR AS id, row_number() OVER () AS r,
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+            FROM documents
+            UNION ALL
+            SELECT 'b', item_id::VARCHAR, row_number() OVER (),
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+            FROM benchmark WHERE item_id IS NOT NULL
+        ), w AS (
+            SELECT side, id, r, regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM lower_case
+        ), g AS (
+            SELECT DISTINCT id, n, array_to_string(words[i : i + n - 1], ' ') AS gram
+            FROM (SELECT id, words, n, unnest(range(1, len(words) - n + 2)) AS i
+                  FROM (SELECT id, words, least(10, len(words)) AS n FROM w WHERE side = 'b' AND len(words) > 0))
+        ), p AS (
+            SELECT r, i, n, array_to_string(words[i : i + n - 1], ' ') AS gram
+            FROM (SELECT r, words, n, unnest(range(1, len(words) - n + 2)) AS i
+                  FROM w, (SELECT DISTINCT n FROM g) WHERE side = 'd' AND len(words) >= n)
+        ), h AS (
+            SELECT p.r, p.i, p.n, g.id FROM p JOIN g USING (n, gram)
+        ), n_hit AS (
+            SELECT r, count(DISTINCT pos) AS n FROM (SELECT r, unnest(range(i, i + n)) AS pos FROM h) GROUP BY r
+        ), items AS (
+            SELECT r, count(*) AS n, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT r, id FROM h) GROUP BY r
+        )
+        SELECT w.id::BIGINT AS doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit.n, 0)::BIGINT AS n_hit,
+               coalesce(items.n, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+               n_hit.n IS NOT NULL AS contaminated
+        FROM w LEFT JOIN n_hit USING (r) LEFT JOIN items USING (r) WHERE side = 'd'
+    """,
+}
