@@ -31,8 +31,15 @@ def percent(value: Column, digits: int) -> Column:
     return F.concat(fixed(value, digits), F.lit("%"))
 
 
+def title_case(value: Column) -> Column:
+    """Every run of letters with a capital first and small letters after: ``Aix-En-Provence``."""
+    parts = F.regexp_extract_all(value, F.lit(r"(\p{L}+|\P{L}+)"), F.lit(1))
+    shown = F.transform(parts, lambda p: F.concat(F.upper(F.substring(p, 1, 1)), F.lower(F.substring(p, 2, 2**31 - 1))))
+    return F.array_join(shown, "")
+
+
 def place_label(city: Column, neighbourhood: Column) -> Column:
-    return F.concat_ws(" · ", F.initcap(city), neighbourhood)
+    return F.concat_ws(" · ", title_case(city), neighbourhood)
 
 
 def list_text(values: Column) -> Column:

@@ -14,6 +14,7 @@ from staylens.functions.text import MISSING_TOKENS, is_missing
 # Fixed patterns: the only number spellings the feeds may use.
 DECIMAL_TEXT = r"^[+-]?\d+(\.\d+)?$"
 INTEGER_TEXT = r"^[+-]?\d+$"
+FLOAT_TEXT = r"^(?i)[+-]?(\d+(_\d+)*\.?(\d+(_\d+)*)?|\.\d+(_\d+)*)(e[+-]?\d+)?$|^(?i)[+-]?(inf|infinity|nan)$"
 CURRENCY_MARKS = r"[$,]"
 PERCENT_MARK = "%"
 
@@ -89,7 +90,10 @@ def event_int(value: Column, type_name: str = "bigint") -> Column:
 
 
 def event_float(value: Column) -> Column:
-    return F.trim(value.cast("string")).try_cast("float")
+    """Float field of a raw event; type suffixes, as in ``1d``, make it unreadable."""
+    text = F.trim(value.cast("string"))
+    number = F.regexp_replace(text, "_", "").try_cast("float")
+    return F.when(text.rlike(FLOAT_TEXT), number)
 
 
 def is_unreadable(value: Column, parsed: Column) -> Column:

@@ -32,13 +32,18 @@ def first_timestamp(*values: Column, as_of: AsOf = None) -> Column:
     return F.coalesce(*[timestamp_or_null(v) for v in values], clock(as_of))
 
 
+# Fixed pattern: text that may be a moment starts with a whole date.
+WHOLE_DATE = r"^\s*\d{4}-\d{2}-\d{2}"
+
+
 def iso_text(value: Column) -> Column:
-    """ISO-8601 text in UTC for anything that reads as a timestamp (no zone: UTC).
+    """ISO-8601 text in UTC for text with a date that reads as a timestamp (no zone: UTC).
 
-    Empty is NULL; text that is no timestamp passes through unchanged.
+    Empty is NULL; text that is no timestamp, such as a year or a time of day alone, passes
+    through unchanged.
     """
     text = F.nullif(value.cast("string"), F.lit(""))
-    moment = timestamp_or_null(F.trim(text))
+    moment = F.when(text.rlike(WHOLE_DATE), timestamp_or_null(F.trim(text)))
     whole = F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss")
     micros = F.date_format(moment, ".SSSSSS")
     shown = F.concat(

@@ -13,6 +13,8 @@ from staylens.operators.skew import heavy_keys, salted_left_join
 
 #: Events of a heavy key are put in order minute by minute.
 SLICE_SECONDS = 60
+#: Where events without a date stand: before all others.
+NO_MOMENT = -(1 << 62)
 
 
 def event_history(
@@ -34,9 +36,11 @@ def event_history(
     """
     if heavy is None:
         heavy = heavy_keys(events, [key])
-    hot_keys = F.broadcast(heavy.select(key))
-    light = plain_event_history(events.join(hot_keys, key, "left_anti"), key, at, tie)
-    hot = _next_of_heavy(events.join(hot_keys, key, "left_semi"), key, at, tie)
+    # NULL is a key like any other, and can be heavy.
+    hot_keys = F.broadcast(heavy.select(F.col(key).alias("_hot")))
+    is_hot = F.col(key).eqNullSafe(F.col("_hot"))
+    light = plain_event_history(events.join(hot_keys, is_hot, "left_anti"), key, at, tie)
+    hot = _next_of_heavy(events.join(hot_keys, is_hot, "left_semi"), key, at, tie)
     return light.unionByName(_with_validity(hot, at))
 
 
@@ -58,29 +62,39 @@ def _next_of_heavy(events: DataFrame, key: str, at: str, tie: str) -> DataFrame:
     All events of one moment except the last end at that very moment, so only the
     distinct moments have to be ordered.  They are, first within a slice of time and
     then slice by slice.  Groups are bounded by the clock, not by the row count.
+
+    A missing key or date is a value of its own in the joins; events without a date come
+    first, as they do in a window.
     """
+    key_and_moment = ["_key", "_moment"]
+    marked = events.withColumns(
+        {
+            "_key": F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit("")),
+            "_moment": F.coalesce(F.unix_micros(F.col(at).cast("timestamp")), F.lit(NO_MOMENT)),
+        }
+    )
     moments = (
-        events.groupBy(key, at)
-        .agg(F.max(tie).alias("_last"))
-        .withColumn("_slice", F.floor(F.unix_timestamp(at) / SLICE_SECONDS))
+        marked.groupBy(*key_and_moment)
+        .agg(F.max(tie).alias("_last"), F.first(at).alias("_at"))
+        .withColumn("_slice", F.floor(F.col("_moment") / (SLICE_SECONDS * 1_000_000)))
     )
-    by_slice = Window.partitionBy(key).orderBy("_slice")
+    by_slice = Window.partitionBy("_key").orderBy("_slice")
     slices = (
-        moments.groupBy(key, "_slice")
-        .agg(F.min(at).alias("_first"))
+        moments.groupBy("_key", "_slice")
+        .agg(F.min_by("_at", "_moment").alias("_first"))
         .withColumn("_after_slice", F.lead("_first").over(by_slice))
         .drop("_first")
     )
-    in_slice = Window.partitionBy(key, "_slice").orderBy(at)
+    in_slice = Window.partitionBy("_key", "_slice").orderBy("_moment")
     successors = (
-        moments.withColumn("_in_slice", F.lead(at).over(in_slice))
-        .join(slices, [key, "_slice"])
-        .select(key, at, "_last", F.coalesce("_in_slice", "_after_slice").alias("_next"))
+        moments.withColumn("_in_slice", F.lead("_at").over(in_slice))
+        .join(slices, ["_key", "_slice"])
+        .select(*key_and_moment, "_last", F.coalesce("_in_slice", "_after_slice").alias("_next"))
     )
-    joined = salted_left_join(events, successors, [key, at], spread=[F.col(tie)])
+    joined = salted_left_join(marked, successors, key_and_moment, spread=[F.col(tie)])
     return joined.withColumn(
         "end_date", F.when(F.col(tie) == F.col("_last"), F.col("_next")).otherwise(F.col(at))
-    ).drop("_last", "_next")
+    ).drop("_last", "_next", *key_and_moment)
 
 
 def scd2_merge(

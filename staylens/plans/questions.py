@@ -32,7 +32,7 @@ def _by_revenue(invest: DataFrame, k: int) -> DataFrame:
 def neighbourhood_cards(invest: DataFrame, k: int = CARDS) -> DataFrame:
     """Top neighbourhoods by revenue, ready for display."""
     return _by_revenue(invest, k).select(
-        F.initcap("city_name").alias("city"),
+        display.title_case(F.col("city_name")).alias("city"),
         F.col("neighbourhood_name").alias("neighbourhood"),
         display.money(F.col("avg_revenue_l365d")).alias("revenue"),
         display.thousands(F.col("neighbourhood_most_bookings")).alias("bookings"),
@@ -91,7 +91,7 @@ def city_kpis(invest: DataFrame) -> DataFrame:
 def city_kpi_texts(kpis: DataFrame) -> DataFrame:
     """``city_kpis`` as a page shows them."""
     return kpis.select(
-        F.initcap("city_name").alias("city"),
+        display.title_case(F.col("city_name")).alias("city"),
         display.thousands(F.col("active_listings")).alias("active_listings"),
         display.thousands(F.col("bookings")).alias("bookings"),
         display.money(F.col("avg_price")).alias("avg_price"),

@@ -47,8 +47,21 @@ def clean_review_fields(
 
 def unique_reviews(bronze: DataFrame, as_of: AsOf = None, **defaults) -> DataFrame:
     """Cleaned reviews, each id once (the latest copy)."""
+    return delivered_reviews(bronze, as_of, **defaults).drop("delivered_ts", "delivered_tie")
+
+
+def delivered_reviews(bronze: DataFrame, as_of: AsOf = None, **defaults) -> DataFrame:
+    """The same with ``delivered_ts`` and ``delivered_tie``, which say how late the copy is.
+
+    The latest copy has the greatest ``delivered_ts``, then the smallest ``delivered_tie``, a
+    hash of what the copy says.  Copies in different batches compare like copies in one.
+    """
     fields = clean_review_fields(bronze, as_of, **defaults)
-    return dedupe_latest(fields, ["id"]).withColumn("ingestion_ts", times.clock(as_of))
+    marked = fields.withColumns(
+        {"delivered_ts": F.col("ingestion_ts"), "delivered_tie": F.xxhash64(*sorted(set(bronze.columns) & set(schema_of("reviews").names)))}
+    )
+    latest = [F.col("delivered_ts").desc_nulls_last(), F.col("delivered_tie")]
+    return dedupe_latest(marked, ["id"], latest, ties=["id"]).withColumn("ingestion_ts", times.clock(as_of))
 
 
 def with_history(reviews: DataFrame, heavy: DataFrame | None = None) -> DataFrame:

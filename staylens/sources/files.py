@@ -30,19 +30,29 @@ def file_stem(path: Column) -> Column:
     return F.regexp_replace(name, r"(\.[^.]+)+$", "")
 
 
-def place_from_path(path: Column) -> dict[str, Column]:
-    """``city`` and ``country``: the last two ``_`` parts of the file stem, if there are two."""
-    parts = F.split(file_stem(path), "_")
+def place_from_path(path: Column, prefix: str | None = None) -> dict[str, Column]:
+    """``city`` and ``country``: the last two ``_`` parts of the file stem, if there are two.
+
+    With ``prefix``, what stems start with (``listings``), the city is all between the prefix
+    and the country, so names of several words stay whole: ``listings_new_york_usa``.
+    """
+    stem = file_stem(path)
+    parts = F.split(stem, "_")
+    city = F.try_element_at(parts, F.lit(-2))
+    if prefix is not None:
+        begin = F.lit(f"{prefix}_")
+        inner = F.array_join(F.slice(F.split(F.substring(stem, F.length(begin) + 1, F.length(stem)), "_"), 1, F.greatest(F.size(parts) - 1 - len(prefix.split("_")), F.lit(0))), " ")
+        city = F.when(stem.startswith(begin) & (inner != ""), inner).otherwise(city)
     return {
-        "city": F.when(F.size(parts) >= 2, F.try_element_at(parts, F.lit(-2))),
+        "city": F.when(F.size(parts) >= 2, city),
         "country": F.when(F.size(parts) >= 2, F.try_element_at(parts, F.lit(-1))),
     }
 
 
-def with_lineage(df: DataFrame, path: Column | None = None) -> DataFrame:
+def with_lineage(df: DataFrame, path: Column | None = None, prefix: str | None = None) -> DataFrame:
     """Add ``filename``, ``city`` and ``country`` from the file each row was read from."""
     source = F.col("_metadata.file_path") if path is None else path
-    return df.withColumn("filename", source).withColumns(place_from_path(F.col("filename")))
+    return df.withColumn("filename", source).withColumns(place_from_path(F.col("filename"), prefix))
 
 
 def with_ingestion_ts(df: DataFrame, as_of: AsOf = None) -> DataFrame:
@@ -50,23 +60,46 @@ def with_ingestion_ts(df: DataFrame, as_of: AsOf = None) -> DataFrame:
 
 
 def read_csv(
-    spark: SparkSession, schema: StructType, paths: str | Iterable[str], as_of: AsOf = None
+    spark: SparkSession,
+    schema: StructType,
+    paths: str | Iterable[str],
+    as_of: AsOf = None,
+    prefix: str | None = None,
 ) -> DataFrame:
     """All files of a CSV feed as one frame, typed, with lineage and ingestion time.
 
-    Quoted line breaks make a CSV file one task, so the feeds should come as many files.
+    The files must have the columns of ``schema`` in its order: a moved column is an error, not
+    a wrong value.  ``prefix`` is for ``place_from_path``.  Quoted line breaks make a CSV file
+    one task, so the feeds should come as many files.
     """
     files = [paths] if isinstance(paths, str) else list(paths or [])
     if not files or not all(files):
         raise ValueError("at least one path is needed")
-    rows = spark.read.schema(text_for_lists(schema)).options(**CSV_FORMAT).csv(files)
-    return with_ingestion_ts(parse_list_columns(with_lineage(rows), schema), as_of)
+    reader = spark.read.schema(text_for_lists(schema)).options(**CSV_FORMAT)
+    rows = reader.option("enforceSchema", "false").csv(files)
+    return with_ingestion_ts(parse_list_columns(with_lineage(rows, prefix=prefix), schema), as_of)
 
 
 def read_raw_csv(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
-    """CSV files as they are: the header's columns, every value text."""
+    """CSV files as they are: the header's columns, every value text.
+
+    Files are read by their own header: those with the same columns in the same order together,
+    all of them joined by name.  A column that a file lacks is NULL in its rows.
+    """
     files = [paths] if isinstance(paths, str) else list(paths)
-    return spark.read.options(**CSV_FORMAT).csv(files)
+    # The first line of every file, with no more than its path: one row per file.
+    heads = (
+        spark.read.option("wholetext", "false")
+        .text(files)
+        .select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"))
+        .filter("at = 0")
+        .groupBy("path")
+        .agg(F.first("value").alias("header"))
+    )
+    groups = heads.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths")).orderBy("header").collect()
+    if not groups:
+        return spark.read.options(**CSV_FORMAT).csv(files)
+    return union_files(spark.read.options(**CSV_FORMAT).csv(list(g.paths)) for g in groups)
 
 
 def stream_csv(

@@ -46,15 +46,22 @@ def split_late(df: DataFrame, as_of: AsOf = None, column: str = "last_updated")
 
 
 def land_ads(
-    spark: SparkSession, path: str, target: str, as_of: AsOf = None, rejected: str | None = None
+    spark: SparkSession,
+    paths: str | Iterable[str],
+    target: str,
+    as_of: AsOf = None,
+    rejected: str | None = None,
 ) -> DataFrame | None:
     """Land provider rows inside the late-arrival window; ``None`` when nothing was delivered.
 
-    Rows outside the window are written to ``rejected`` when that is given.
+    All files and globs of ``paths`` that are there are read.  Rows outside the window are
+    written to ``rejected`` when that is given.
     """
-    if not path_exists(spark, path):
+    given = [paths] if isinstance(paths, str) else list(paths)
+    there = [p for p in given if path_exists(spark, p)]
+    if not there:
         return None
-    rows = read_csv(spark, schema_of("adsProviders"), path, as_of)
+    rows = read_csv(spark, schema_of("adsProviders"), there, as_of)
     if rows.isEmpty():
         return None
     accepted, late = split_late(rows, as_of)

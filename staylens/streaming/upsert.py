@@ -1,27 +1,31 @@
 """Silver reviews kept up to date from a stream, on plain Parquet.
 
 The table only ever grows.  Batch N writes its rows to ``batch_id=N``: reviews not seen
-before, and a new version of every older review whose ``end_date`` they changed.  Reading
-takes the newest version of each review.  No existing file is rewritten, a replayed batch
-overwrites its own folder and looks only at earlier ones, so every batch has the same
-effect however often it runs.
-
-Rows lie in buckets by reviewer, and a batch reads only the buckets of its reviewers: a
-copy of a review names the same reviewer.  What a batch reads back therefore depends on
-the table, so batches should be large; ``compact`` joins many small ones.
+before or delivered again later, and a new version of every older review whose ``end_date``
+they changed.  Reading takes the newest version of each review.  No existing file is
+rewritten, a replayed batch overwrites its own folder and looks only at earlier ones, so every
+batch has the same effect however often it runs.
+
+Of several copies of a review the latest wins, in whatever batches and order they come, as in
+the batch job.  A copy may name another reviewer or date: then it leaves its old place, whose
+neighbours are put in order again, and a row marked ``gone`` is left there.
+
+Rows lie in buckets by reviewer.  A batch reads the whole rows of its reviewers' buckets, and
+six narrow columns of the others to find older copies.  What a batch reads back therefore
+depends on the table, so batches should be large; ``compact`` joins many small ones.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from staylens.functions.times import AsOf
 from staylens.operators.dedupe import dedupe_latest
-from staylens.operators.history import event_history, plain_event_history
+from staylens.operators.history import event_history
 from staylens.operators.schema_ops import cast_to_schema
-from staylens.operators.skew import HEAVY_MIN_ROWS
-from staylens.plans.silver_reviews import unique_reviews
+from staylens.plans.silver_reviews import delivered_reviews
 from staylens.schemas import REVIEW, schema_of
 from staylens.sources.files import read_if_there
 from staylens.sources.sinks import write_table
@@ -35,7 +39,9 @@ BUCKETS = 32
 COMPACTED = -1
 
 _HISTORY = ("start_date", "end_date", "is_current")
-_STORED = f"{REVIEW}, batch_id BIGINT, buckets INT, bucket INT"
+_DELIVERED = "delivered_ts TIMESTAMP, delivered_tie BIGINT"
+_WRITTEN = f"{REVIEW}, {_DELIVERED}, gone BOOLEAN"
+_STORED = f"{_WRITTEN}, batch_id BIGINT, buckets INT, bucket INT"
 
 
 def _bucket(buckets: int) -> Column:
@@ -47,7 +53,13 @@ def stored_versions(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def _newest(versions: DataFrame) -> DataFrame:
-    return dedupe_latest(versions, ["id"], latest=[F.col("batch_id").desc()], ties=["id"])
+    """The newest version of each review.
+
+    A review that moved has a row marked ``gone`` in its old bucket, of the same batch as its
+    new version: whether or not the new one is among ``versions``, the old one is not shown.
+    """
+    latest = [F.col("batch_id").desc(), F.col("gone")]
+    return dedupe_latest(versions, ["id"], latest, ties=["id"]).filter(~F.col("gone"))
 
 
 def read_reviews(spark: SparkSession, path: str) -> DataFrame:
@@ -64,7 +76,10 @@ def compact(spark: SparkSession, path: str, target: str, buckets: int = BUCKETS)
     They become a batch older than any of the stream's, so the same stream goes on in
     ``target``, and a batch it hands out again cannot overwrite them.
     """
-    _write(read_reviews(spark, path), batch_folder(target, COMPACTED), buckets)
+    versions = stored_versions(spark, path)
+    if versions is not None:
+        kept = _newest(versions).select(*StructType.fromDDL(_WRITTEN).names)
+        _write(kept, batch_folder(target, COMPACTED), buckets)
 
 
 def _write(rows: DataFrame, folder: str, buckets: int) -> None:
@@ -73,22 +88,52 @@ def _write(rows: DataFrame, folder: str, buckets: int) -> None:
     write_table(by_bucket.hint("rebalance", "bucket"), folder, partition_by=["buckets", "bucket"])
 
 
-def affected_rows(fresh: DataFrame, versions: DataFrame | None) -> DataFrame:
-    """Unseen reviews of a batch and the stored ones whose validity they may change.
+def accepted_rows(fresh: DataFrame, versions: DataFrame | None) -> DataFrame:
+    """The rows of a batch that are new or later than the stored copy of the review.
 
-    A late review only touches what comes after it and the one review right before it,
-    so that is all that is put in order again, per reviewer.  ``_is_new`` tells the two
-    kinds apart, ``_old_end`` is the stored ``end_date``.
+    ``old_reviewer`` and ``old_date`` tell where that copy stands.
     """
-    columns = [c for c in schema_of("Review").names if c not in _HISTORY]
+    if versions is None:
+        return fresh.withColumns(
+            {"old_reviewer": F.lit(None).cast("bigint"), "old_date": F.lit(None).cast("timestamp")}
+        )
+    narrow = versions.select("id", "reviewer_id", "date", "delivered_ts", "delivered_tie", "gone", "batch_id")
+    stored = _newest(narrow.join(fresh.select("id"), "id", "left_semi")).select(
+        "id",
+        F.col("reviewer_id").alias("old_reviewer"),
+        F.col("date").alias("old_date"),
+        F.struct("delivered_ts", (-F.col("delivered_tie").cast("decimal(20)")).alias("tie")).alias("_old"),
+    )
+    # NULL stands below any moment in a struct, as an undated copy does.
+    later = F.struct("delivered_ts", (-F.col("delivered_tie").cast("decimal(20)")).alias("tie")) > F.col("_old")
+    return fresh.join(stored, "id", "left").filter(F.col("_old").isNull() | later).drop("_old")
+
+
+def touched_reviewers(accepted: DataFrame) -> DataFrame:
+    """``(reviewer_id, _from)``: whose order changes, and from which place on."""
+    new = accepted.select("reviewer_id", F.struct("date", "id").alias("_at"))
+    old = accepted.filter(F.col("old_reviewer").isNotNull()).select(
+        F.col("old_reviewer").alias("reviewer_id"), F.struct(F.col("old_date").alias("date"), "id").alias("_at")
+    )
+    return new.unionByName(old).groupBy("reviewer_id").agg(F.min("_at").alias("_from"))
+
+
+def affected_rows(accepted: DataFrame, versions: DataFrame | None) -> DataFrame:
+    """Accepted rows of a batch and the stored ones whose validity they may change.
+
+    A review only touches what comes after it and the one review right before it, at its new
+    place and at its old one, so that is all that is put in order again, per reviewer.
+    ``_is_new`` tells the two kinds apart, ``_old_end`` is the stored ``end_date``.
+    """
+    columns = [*(c for c in schema_of("Review").names if c not in _HISTORY), "delivered_ts", "delivered_tie"]
     no_end = F.lit(None).cast("timestamp")
+    new = accepted.select(*columns, no_end.alias("_old_end"), F.lit(True).alias("_is_new"))
     if versions is None:
-        return fresh.select(*columns, no_end.alias("_old_end"), F.lit(True).alias("_is_new"))
-    unseen = fresh.join(versions.select("id"), "id", "left_anti")
-    touched = unseen.groupBy("reviewer_id").agg(F.min(F.struct("date", "id")).alias("_from"))
-    of_touched = versions.join(touched.select("reviewer_id"), "reviewer_id", "left_semi")
-    known = _newest(of_touched).join(touched, "reviewer_id")
-    known = known.select(*columns, F.col("end_date").alias("_old_end"), "_from")
+        return new
+    touched = touched_reviewers(accepted)
+    # One join with the reviewers, whose rows may be many: the versions' side can be split.
+    of_touched = versions.join(touched, "reviewer_id").join(accepted.select("id"), "id", "left_anti")
+    known = _newest(of_touched).select(*columns, F.col("end_date").alias("_old_end"), "_from")
     position = F.struct("date", "id")
     after = known.filter(position >= F.col("_from")).drop("_from")
     before = (
@@ -97,19 +142,20 @@ def affected_rows(fresh: DataFrame, versions: DataFrame | None) -> DataFrame:
         .agg(F.max_by(F.struct(*after.columns), position).alias("_row"))
         .select("_row.*")
     )
-    stored = after.unionByName(before).withColumn("_is_new", F.lit(False))
-    return stored.unionByName(
-        unseen.select(*columns, no_end.alias("_old_end"), F.lit(True).alias("_is_new"))
-    )
+    return after.unionByName(before).withColumn("_is_new", F.lit(False)).unionByName(new)
 
 
 def changed_versions(affected: DataFrame) -> DataFrame:
     """The rows a batch adds: new reviews, and new versions of those that end elsewhere now."""
-    # The rows are at hand (persisted): in a small batch no reviewer can be heavy.
-    small = affected.count() <= HEAVY_MIN_ROWS
-    history = plain_event_history(affected) if small else event_history(affected)
-    changed = history.filter("_is_new OR NOT (end_date <=> _old_end)")
-    return cast_to_schema(changed, schema_of("Review"))
+    changed = event_history(affected).filter("_is_new OR NOT (end_date <=> _old_end)")
+    return cast_to_schema(changed.withColumn("gone", F.lit(False)), StructType.fromDDL(_WRITTEN))
+
+
+def left_places(accepted: DataFrame) -> DataFrame:
+    """A row marked ``gone`` for every review that is now another reviewer's."""
+    moved = accepted.filter(F.col("old_reviewer") != F.col("reviewer_id"))
+    rows = moved.select("id", F.col("old_reviewer").alias("reviewer_id"), F.lit(True).alias("gone"))
+    return cast_to_schema(rows, StructType.fromDDL(_WRITTEN))
 
 
 def upsert_batch(
@@ -120,15 +166,19 @@ def upsert_batch(
     if versions is not None and not versions.filter(F.col("buckets") != buckets).isEmpty():
         # A folder filter: no file is read unless the table really differs.
         raise ValueError(f"{path} does not have {buckets} buckets; compact it into a new table")
-    fresh = unique_reviews(batch, as_of).persist()
+    if versions is not None:
+        versions = versions.filter(F.col("batch_id") < batch_id)
+    fresh = delivered_reviews(batch, as_of).persist()
+    accepted = accepted_rows(fresh, versions).persist()
     if versions is not None:
         # At most ``buckets`` numbers come to the driver; they prune the folders to read.
-        touched = [r.bucket for r in fresh.select(_bucket(buckets).alias("bucket")).distinct().collect()]
-        versions = versions.filter((F.col("batch_id") < batch_id) & F.col("bucket").isin(touched))
-    affected = affected_rows(fresh, versions).persist()
-    _write(changed_versions(affected), batch_folder(path, batch_id), buckets)
-    affected.unpersist()
-    fresh.unpersist()
+        touched = touched_reviewers(accepted).select(_bucket(buckets).alias("bucket")).distinct().collect()
+        versions = versions.filter(F.col("bucket").isin([r.bucket for r in touched]))
+    affected = affected_rows(accepted, versions).persist()
+    added = changed_versions(affected).unionByName(left_places(accepted))
+    _write(added, batch_folder(path, batch_id), buckets)
+    for frame in (affected, accepted, fresh):
+        frame.unpersist()
 
 
 def drain_to_silver(

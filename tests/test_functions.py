@@ -7,6 +7,7 @@ import math
 from pyspark.sql import functions as F
 
 from staylens.functions import arrays, display, flags, numbers, text, times
+from staylens.sources import files
 
 
 def test_price(one):
@@ -99,3 +100,29 @@ def test_display(one):
     assert one([1234.5, 1235.5], "DOUBLE", display.thousands) == ["1,234", "1,236"]
     assert one([0.1234], "DOUBLE", display.percent_of_fraction) == ["12.34%"]
     assert one([1234.5], "DOUBLE", lambda c: display.fixed(c, 4)) == ["1234.5000"]
+
+
+def test_title_case_follows_every_run_of_letters(one):
+    values = ["aix-en-provence", "l'aquila", "MIDDLE EAST", "são paulo", "3rd ward", "", None]
+    assert one(values, "STRING", display.title_case) == ["Aix-En-Provence", "L'Aquila", "Middle East", "São Paulo", "3Rd Ward", "", None]
+
+
+def test_times_need_a_date_to_be_moments(one):
+    values = ["12:30", "2024", "2024-01-05", " 2024-01-05 10:00", "", None, "soon"]
+    shown = ["12:30", "2024", "2024-01-05T00:00:00+00:00", "2024-01-05T10:00:00+00:00", None, None, "soon"]
+    assert one(values, "STRING", times.iso_text) == shown
+
+
+def test_event_floats_have_no_type_suffix(one):
+    values = ["1d", "1f", "1.5", "1e3", ".5", "5.", " 2 ", "inf", "x", "", None]
+    got = one(values, "STRING", numbers.event_float)
+    assert got == [None, None, 1.5, 1000.0, 0.5, 5.0, 2.0, float("inf"), None, None, None]
+
+
+def test_city_names_of_several_words_with_a_prefix(spark):
+    paths = ["s3://x/listings_new_york_usa.csv.gz", "/a/listings_paris_france.csv", "other_rome_italy.csv", "listings_usa.csv", "one.csv"]
+    df = spark.createDataFrame([(p,) for p in paths], "p STRING")
+    got = df.select(files.place_from_path(F.col("p"), "listings")["city"]).collect()
+    assert [r[0] for r in got] == ["new york", "paris", "rome", "listings", None]
+    plain = df.select(files.place_from_path(F.col("p"))["city"]).collect()
+    assert [r[0] for r in plain] == ["york", "paris", "rome", "listings", None]

@@ -159,3 +159,40 @@ def test_profile(spark):
     assert profile.null_counts(kept, ["price"]).first() == (4, 3)
     with pytest.raises(profile.EmptyResultError):
         profile.require_rows(df.filter("id > 9"), "prices")
+
+
+def test_event_history_is_the_same_for_heavy_and_ordinary_keys(spark):
+    rng = random.Random(11)
+    start = datetime(2024, 1, 1)
+    rows = [
+        (i, rng.choice([1, 2, None]), rng.choice([None, start + timedelta(seconds=rng.randrange(300))]))
+        for i in range(300)
+    ]
+    rows += [(900, 5, None), (901, 5, None), (902, None, datetime(1960, 1, 1))]
+    df = spark.createDataFrame(rows, "id BIGINT, reviewer_id BIGINT, date TIMESTAMP")
+    none = df.select("reviewer_id").limit(0)
+    light = sorted(map(str, event_history(df, heavy=none).collect()))
+    heavy = sorted(map(str, event_history(df, heavy=df.select("reviewer_id").distinct()).collect()))
+    assert light == heavy and len(light) == len(rows)
+
+
+@pytest.mark.parametrize("fraction", [0.0, 0.3, 0.5, 0.75, 1.0])
+def test_quantiles_are_the_same_for_heavy_and_ordinary_groups(spark, fraction):
+    rng = random.Random(5)
+    inf, nan = float("inf"), float("nan")
+    groups = {
+        "rates": [rng.random() ** 6 for _ in range(400)],
+        "tiny": [rng.choice([-1, 1]) * rng.random() * 10.0 ** -rng.randrange(300) for _ in range(300)],
+        "nan": [1.0, 2.0, nan, 0.5, nan],
+        "inf": [inf, inf, -inf, 3.0, 4.0, 5.0],
+        "mixed": [0.0, -0.0, 1e300, -1e300, 5e-324, 7.0, 7.0, nan],
+        "near": [1.0 + i * 2.0**-52 for i in range(300)],
+    }
+    rows = [(g, v) for g, vs in groups.items() for v in vs]
+    df = spark.createDataFrame(rows, "g STRING, v DOUBLE")
+    measures = {"q": (F.col("v"), fraction)}
+    light = {r.g: r.q for r in exact_quantiles(df, ["g"], measures, df.select("g").limit(0)).collect()}
+    heavy = {r.g: r.q for r in exact_quantiles(df, ["g"], measures, df.select("g").distinct()).collect()}
+    assert set(light) == set(heavy) == set(groups)
+    for g in groups:
+        assert heavy[g] == pytest.approx(light[g], rel=1e-12, nan_ok=True), g

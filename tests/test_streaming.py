@@ -170,3 +170,39 @@ def test_normalize_events(spark):
     assert (row.id, row.reviewer_id, row.comments, row.likes_votes, row.sentiment_label) == (1, 7, "other", 3, ["x", "y"])
     assert row.ingestion_ts == "2024-03-01T00:00:00+00:00" and events.columns == list(messages.CONTRACT)
     assert [r.id for r in rejected.collect()] == ["2"]
+
+
+@pytest.mark.parametrize("buckets", [1, 32])
+def test_the_latest_copy_wins_in_any_order_and_layout(spark, tmp_path, buckets):
+    rng = random.Random(9)
+    start = datetime(2024, 1, 1)
+    rows = [
+        (
+            rng.randrange(25),
+            rng.randrange(5),
+            start + timedelta(hours=rng.randrange(60)),
+            rng.choice([None, start + timedelta(days=rng.randrange(4))]),
+            f"text {rng.randrange(3)}",
+        )
+        for _ in range(90)
+    ]
+
+    def frame(part):
+        df = spark.createDataFrame(part, "id BIGINT, reviewer_id BIGINT, date TIMESTAMP, ingestion_ts TIMESTAMP, comments STRING")
+        return cast_to_schema(df, schema_of("reviews"))
+
+    path = str(tmp_path / "silver")
+    batches = [rows[i : i + 18] for i in range(0, 90, 18)]
+    for n, part in enumerate(batches):
+        upsert.upsert_batch(frame(part), n, path, AS_OF, buckets)
+    shown = lambda df: sorted(map(str, df.select(*schema_of("Review").names).collect()))
+    expected = shown(clean_reviews(frame(rows), AS_OF))
+    assert shown(upsert.read_reviews(spark, path)) == expected
+    upsert.upsert_batch(frame(batches[4]), 4, path, AS_OF, buckets)  # replayed
+    assert shown(upsert.read_reviews(spark, path)) == expected
+    currents = upsert.read_reviews(spark, path).filter("is_current").groupBy("reviewer_id").count().collect()
+    assert {r["count"] for r in currents} == {1}
+    target = str(tmp_path / "compacted")
+    upsert.compact(spark, path, target, buckets)
+    upsert.upsert_batch(frame(batches[0]), 7, target, AS_OF, buckets)  # older copies change nothing
+    assert shown(upsert.read_reviews(spark, target)) == expected
