@@ -79,8 +79,8 @@ SELECT
   CAST(c.c_custkey % 4 AS INT) AS number_of_reviews_l30d,
   CAST(c.c_custkey % 50 AS INT) AS availability_eoy,
   CAST(c.c_custkey % 20 AS INT) AS number_of_reviews_ly,
-  CAST(o.n_orders * 17 AS INT) AS estimated_occupancy_l365d,
-  CAST(floor(o.cents / 4500) AS INT) AS estimated_revenue_l365d,
+  CAST(CASE WHEN c.c_custkey % 12 = 0 THEN NULL ELSE o.n_orders * 17 END AS INT) AS estimated_occupancy_l365d,
+  CAST(CASE WHEN c.c_custkey % 12 = 0 THEN NULL ELSE floor(o.cents / 4500) END AS INT) AS estimated_revenue_l365d,
   CAST('2019-01-01' AS TIMESTAMP) AS first_review,
   CAST(CASE WHEN c.c_custkey % 3 = 0 THEN NULL ELSE '2024-01-01' END AS TIMESTAMP) AS last_review,
   CAST((c.c_custkey % 64) / 8e0 - 1 AS FLOAT) AS review_scores_rating,
@@ -100,7 +100,7 @@ JOIN nation n ON c.c_nationkey = n.n_nationkey
 JOIN region r ON n.n_regionkey = r.r_regionkey
 LEFT JOIN (SELECT o_custkey, count(*) AS n_orders,
                   CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS cents
-           FROM orders WHERE o_orderstatus = 'F' GROUP BY o_custkey) o ON c.c_custkey = o.o_custkey
+           FROM orders GROUP BY o_custkey) o ON c.c_custkey = o.o_custkey
 """
 
 REVIEW_FEED = """
@@ -108,10 +108,10 @@ SELECT
   CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE o_custkey END AS listing_id,
   o_orderkey AS id,
   CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE CAST(o_orderdate AS TIMESTAMP) END AS date,
-  CASE WHEN o_orderkey % 23 = 0 THEN NULL ELSE o_custkey % 400 END AS reviewer_id,
+  CASE WHEN o_orderkey % 23 = 0 THEN NULL ELSE (o_custkey + 3 * copy) % 400 END AS reviewer_id,
   CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE ' Guest ' || CAST(o_custkey % 400 AS STRING) || ' ' END AS reviewer_name,
   CASE WHEN o_orderkey % 9 = 0 THEN NULL
-       ELSE '  great   stay ' || o_orderpriority || '  ' END AS comments,
+       ELSE CASE copy WHEN 0 THEN '  great   stay ' ELSE ' an older  text ' END || o_orderpriority || '  ' END AS comments,
   CASE o_orderkey % 5 WHEN 0 THEN NULL WHEN 1 THEN ' EN ' ELSE 'de' END AS language,
   CAST(CASE o_orderkey % 6 WHEN 0 THEN NULL WHEN 1 THEN CAST('NaN' AS DOUBLE)
        ELSE (o_orderkey % 16) / 16e0 END AS FLOAT) AS sentiment_score,
@@ -150,7 +150,7 @@ SELECT
   CAST(NULL AS TIMESTAMP) AS ingestion_ts
 FROM supplier s
 JOIN nation n ON s.s_nationkey = n.n_nationkey
-JOIN (SELECT l_suppkey, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS impressions, count(*) AS clicks,
+LEFT JOIN (SELECT l_suppkey, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS impressions, count(*) AS clicks,
              CAST(sum(CAST(round(l_discount * 100) AS BIGINT)) AS BIGINT) AS discounts,
              CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS spend_cents,
              count(DISTINCT l_orderkey) AS campaigns
@@ -171,8 +171,9 @@ SELECT
   CASE event_id % 4 WHEN 0 THEN '["a"," b ",""]' WHEN 1 THEN 'x, y ,,' WHEN 2 THEN '' ELSE NULL END AS sentiment_label,
   CASE WHEN event_id % 6 = 0 THEN NULL ELSE CAST(event_id % 6 AS STRING) END AS likes_votes,
   '7' AS likes_count,
-  CASE event_id % 6 WHEN 0 THEN '2024-01-05T10:00:00Z' WHEN 1 THEN '2024-01-05 10:00:00.250'
-       WHEN 2 THEN 'yesterday' WHEN 3 THEN '' WHEN 4 THEN NULL ELSE '2024-01-05T10:00:00+02:00' END AS event_ingestion_time,
+  CASE event_id % 9 WHEN 0 THEN '2024-01-05T10:00:00Z' WHEN 1 THEN '2024-01-05 10:00:00.250'
+       WHEN 2 THEN 'yesterday' WHEN 3 THEN '' WHEN 4 THEN NULL WHEN 5 THEN '12:30' WHEN 6 THEN '2024'
+       WHEN 7 THEN '2024-01-05' ELSE '2024-01-05T10:00:00+02:00' END AS event_ingestion_time,
   CASE event_id % 5 WHEN 0 THEN 't' WHEN 1 THEN ' Yes ' WHEN 2 THEN '' WHEN 3 THEN NULL ELSE '1' END AS contains_media
 FROM events
 """

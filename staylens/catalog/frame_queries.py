@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staylens.catalog.registry import Tables, flat, query, time_text
-from staylens.catalog.twins import NOW, as_double, flat as flat_sql, is_missing, price
+from staylens.catalog.twins import NOW, as_double, flat as flat_sql, is_missing, price, title_sql
 from staylens.functions import numbers
 from staylens.operators import profile
 from staylens.operators.dedupe import dedupe_latest
@@ -422,21 +422,16 @@ def ml_premium_features(t: Tables) -> DataFrame:
 
 # --- top-k ------------------------------------------------------------------------
 
-CARDS_SQL = """
-SELECT city_name AS city_raw, upper(city_name[1]) || lower(city_name[2:]) AS city, neighbourhood_name AS neighbourhood,
-  '$' || format('{:,.0f}', CAST(avg_revenue_l365d AS DOUBLE)) AS revenue,
-  format('{:,}', neighbourhood_most_bookings) AS bookings, format('{:,}', neighbourhood_most_views) AS views,
-  '$' || format('{:,.0f}', CAST(avg_order_price AS DOUBLE)) AS avg_price,
-  format('{:.1f}', CAST(avg_response_rate AS DOUBLE)) || '%' AS response_rate,
-  format('{:,}', CAST(floor(median_availability) AS BIGINT)) AS availability,
+CARDS_SQL = f"""
+SELECT {title_sql('city_name')} AS city, neighbourhood_name AS neighbourhood,
+  '$' || format('{{:,.0f}}', CAST(avg_revenue_l365d AS DOUBLE)) AS revenue,
+  format('{{:,}}', neighbourhood_most_bookings) AS bookings, format('{{:,}}', neighbourhood_most_views) AS views,
+  '$' || format('{{:,.0f}}', CAST(avg_order_price AS DOUBLE)) AS avg_price,
+  format('{{:.1f}}', CAST(avg_response_rate AS DOUBLE)) || '%' AS response_rate,
+  format('{{:,}}', CAST(floor(median_availability) AS BIGINT)) AS availability,
   array_to_string(neighbourhood_needed_boost, ', ') AS boost
 FROM invest ORDER BY avg_revenue_l365d DESC NULLS LAST, city_name, neighbourhood_name LIMIT 6
 """
-# initcap works word by word: the two-word region needs its second capital.
-CARDS_SQL = (
-    "SELECT * EXCLUDE (city_raw) REPLACE (CASE city_raw WHEN 'MIDDLE EAST' THEN 'Middle East' ELSE city END AS city) "
-    f"FROM ({CARDS_SQL})"
-)
 
 
 @query("topk_neighbourhood_cards", CARDS_SQL)
@@ -446,9 +441,8 @@ def topk_neighbourhood_cards(t: Tables) -> DataFrame:
 
 @query(
     "topk_revenue_chart",
-    """
-    SELECT CASE city_name WHEN 'MIDDLE EAST' THEN 'Middle East' ELSE upper(city_name[1]) || lower(city_name[2:]) END
-        || ' · ' || neighbourhood_name AS label,
+    f"""
+    SELECT {title_sql('city_name')} || ' · ' || neighbourhood_name AS label,
       round(CAST(coalesce(avg_revenue_l365d, 0) AS DOUBLE), 2) AS revenue,
       coalesce(neighbourhood_most_bookings, 0) AS bookings
     FROM invest ORDER BY avg_revenue_l365d DESC NULLS LAST, city_name, neighbourhood_name LIMIT 10

@@ -76,10 +76,11 @@ def csv_array_schema(t: Tables) -> DataFrame:
     return rows.select("id", "sentiment_label")
 
 
-@query("parquet_scan", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice > 100000")
+@query("parquet_scan", "SELECT o_orderkey, o_totalprice FROM orders UNION ALL SELECT o_orderkey, o_totalprice FROM orders")
 def parquet_scan(t: Tables) -> DataFrame:
-    orders = read_tables(t.spark, f"{t.folder}/order*.parquet")
-    return orders.filter("o_totalprice > 100000").select("o_orderkey", "o_totalprice")
+    """A glob and a path as one frame, every row of both."""
+    orders = read_tables(t.spark, f"{t.folder}/order*.parquet", f"{t.folder}/orders.parquet")
+    return orders.select("o_orderkey", "o_totalprice")
 
 
 @query("parquet_sink", "SELECT l_orderkey, l_linenumber, l_returnflag FROM lineitem")
@@ -120,6 +121,25 @@ def bronze_ads_landing(t: Tables) -> DataFrame:
     return shown_ads(landing.land_ads(t.spark, path, t.work("bronze_ads"), t.as_of))
 
 
+ON_TIME_SQL = f"last_updated BETWEEN {NOW} - INTERVAL 48 HOURS AND {NOW} + INTERVAL 48 HOURS"
+
+
+@query("bronze_ads_landing_many_files", f"{ADS_SHOWN_SQL} WHERE {ON_TIME_SQL}")
+def bronze_ads_landing_many_files(t: Tables) -> DataFrame:
+    """Several deliveries in one run; one of them is not there."""
+    even = F.col("id") % 2 == 0
+    paths = [write_csv(t, awkward_ads(t).filter(part), "adsProviders") for part in (even, ~even)]
+    return shown_ads(landing.land_ads(t.spark, [*paths, f"{paths[0]}-absent"], t.work("bronze_ads"), t.as_of))
+
+
+@query("bronze_ads_rejected", f"{ADS_SHOWN_SQL} WHERE NOT coalesce({ON_TIME_SQL}, false)")
+def bronze_ads_rejected(t: Tables) -> DataFrame:
+    """Rows outside the late window are kept apart, undated ones as well."""
+    path, late = write_csv(t, awkward_ads(t), "adsProviders"), t.work("late_ads")
+    landing.land_ads(t.spark, path, t.work("bronze_ads"), t.as_of, late)
+    return shown_ads(t.spark.read.parquet(late))
+
+
 @query(
     "review_event_sink",
     """

@@ -22,7 +22,7 @@ from staylens.catalog.twins import (
 )
 from staylens.functions import arrays, display, flags, numbers, text, times
 from staylens.operators import schema_ops
-from staylens.plans import gold, questions
+from staylens.plans import gold, questions, silver_reviews
 from staylens.sources.files import with_ingestion_ts, with_lineage
 from staylens.streaming.messages import flatten_json
 
@@ -137,7 +137,7 @@ def json_parse_rows(t: Tables) -> DataFrame:
     "SELECT id, reviewer_id FROM review_feed WHERE id IS NOT NULL AND reviewer_id IS NOT NULL",
 )
 def not_null_filter(t: Tables) -> DataFrame:
-    return t.review_feed.dropna(subset=["id", "reviewer_id"]).select("id", "reviewer_id")
+    return silver_reviews.clean_review_fields(t.review_feed, t.as_of).select("id", "reviewer_id")
 
 
 @query(
@@ -378,11 +378,8 @@ def percent_normalize(t: Tables) -> DataFrame:
 )
 def numeric_default(t: Tables) -> DataFrame:
     columns = ["availability_30", "bedrooms", "estimated_revenue_l365d"]
-    return (
-        t.listing_feed.select("id", *columns)
-        .fillna(0, subset=columns)
-        .withColumnRenamed("estimated_revenue_l365d", "revenue")
-    )
+    zeros = t.listing_feed.withColumns({c: numbers.or_zero(F.col(c)) for c in columns})
+    return zeros.select("id", *columns).withColumnRenamed("estimated_revenue_l365d", "revenue")
 
 
 @query(
@@ -398,9 +395,12 @@ def nan_default(t: Tables) -> DataFrame:
     return t.review_feed.select("id", score.alias("score"))
 
 
-@query("sentinel_default", "SELECT id, coalesce(listing_id, -1) AS listing_id FROM review_feed")
+@query(
+    "sentinel_default",
+    "SELECT id, coalesce(listing_id, -1) AS listing_id FROM review_feed WHERE id IS NOT NULL AND reviewer_id IS NOT NULL",
+)
 def sentinel_default(t: Tables) -> DataFrame:
-    return t.review_feed.select("id", F.coalesce("listing_id", F.lit(-1)).alias("listing_id"))
+    return silver_reviews.clean_review_fields(t.review_feed, t.as_of).select("id", "listing_id")
 
 
 @query(
@@ -501,6 +501,7 @@ def timestamp_normalize(t: Tables) -> DataFrame:
         WHEN '2024-01-05T10:00:00Z' THEN '2024-01-05T10:00:00+00:00'
         WHEN '2024-01-05 10:00:00.250' THEN '2024-01-05T10:00:00.250000+00:00'
         WHEN '2024-01-05T10:00:00+02:00' THEN '2024-01-05T08:00:00+00:00'
+        WHEN '2024-01-05' THEN '2024-01-05T00:00:00+00:00'
         ELSE nullif(event_ingestion_time, '') END AS at
     FROM event_feed
     """,

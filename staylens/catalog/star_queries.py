@@ -15,7 +15,7 @@ from staylens.catalog.frame_queries import (
     PROVIDER_TABLE_SQL,
 )
 from staylens.catalog.registry import Tables, flat, query
-from staylens.catalog.twins import NOW, flat as flat_sql
+from staylens.catalog.twins import NOW, flat as flat_sql, title_sql
 from staylens.operators.history import insert_only, scd2_merge
 from staylens.operators.skew import heavy_keys
 from staylens.plans import gold, questions, silver_ads, silver_listings, silver_reviews
@@ -348,6 +348,24 @@ def invest_question_markers(t: Tables) -> DataFrame:
     return questions.invest_answer(t.invest, t.located)["markers"]
 
 
+@query(
+    "invest_question_city",
+    """
+    SELECT 'kpis' AS part, CAST(sum(neighbourhood_most_views) AS BIGINT) AS id,
+      CAST(sum(neighbourhood_most_bookings) AS BIGINT) AS n FROM invest WHERE city_name = 'ASIA'
+    UNION ALL SELECT 'markers', id, CAST(NULL AS BIGINT) FROM low_listings WHERE city = 'asia'
+    QUALIFY row_number() OVER (ORDER BY coalesce(estimated_revenue_l365d, 0), id) <= 200
+    """,
+)
+def invest_question_city(t: Tables) -> DataFrame:
+    """The page of one city, asked for in another spelling."""
+    page = questions.invest_answer(t.invest, t.located, " Asia ")
+    kpis = page["city_kpis"].select(F.lit("kpis").alias("part"), F.col("active_listings").cast("bigint").alias("id"), F.col("bookings").cast("bigint").alias("n"))
+    return kpis.unionByName(
+        page["markers"].select(F.lit("markers").alias("part"), F.col("listing_id").alias("id"), F.lit(None).cast("bigint").alias("n"))
+    )
+
+
 @query("promotion_question", PROVIDER_TABLE_SQL)
 def promotion_question(t: Tables) -> DataFrame:
     return questions.promotion_answer(t.agg_ads)["table"]
@@ -356,14 +374,14 @@ def promotion_question(t: Tables) -> DataFrame:
 
 @query(
     "invest_question_kpi_texts",
-    """
-    SELECT CASE city_name WHEN 'MIDDLE EAST' THEN 'Middle East' ELSE upper(city_name[1]) || lower(city_name[2:]) END AS city,
-      format('{:,}', CAST(sum(neighbourhood_most_views) AS BIGINT)) AS active_listings,
-      format('{:,}', CAST(sum(neighbourhood_most_bookings) AS BIGINT)) AS bookings,
-      '$' || format('{:,.0f}', avg(CAST(avg_order_price AS DOUBLE))) AS avg_price,
-      '$' || format('{:,.0f}', sum(CAST(avg_revenue_l365d AS DOUBLE) * neighbourhood_most_views)) AS total_revenue,
-      format('{:.2f}', avg(CAST(avg_response_rate AS DOUBLE))) || '%' AS avg_response,
-      format('{:,}', CAST(round_even(median(CAST(median_availability AS DOUBLE)), 0) AS BIGINT)) AS median_availability
+    f"""
+    SELECT {title_sql('city_name')} AS city,
+      format('{{:,}}', CAST(sum(neighbourhood_most_views) AS BIGINT)) AS active_listings,
+      format('{{:,}}', CAST(sum(neighbourhood_most_bookings) AS BIGINT)) AS bookings,
+      '$' || format('{{:,.0f}}', avg(CAST(avg_order_price AS DOUBLE))) AS avg_price,
+      '$' || format('{{:,.0f}}', sum(CAST(avg_revenue_l365d AS DOUBLE) * neighbourhood_most_views)) AS total_revenue,
+      format('{{:.2f}}', avg(CAST(avg_response_rate AS DOUBLE))) || '%' AS avg_response,
+      format('{{:,}}', CAST(round_even(median(CAST(median_availability AS DOUBLE)), 0) AS BIGINT)) AS median_availability
     FROM invest GROUP BY city_name
     """,
 )

@@ -215,6 +215,7 @@ SELECT TRY_CAST(id AS BIGINT) AS id, TRY_CAST(nullif(listing_id, '') AS BIGINT)
   CASE event_ingestion_time WHEN '2024-01-05T10:00:00Z' THEN '2024-01-05T10:00:00+00:00'
     WHEN '2024-01-05 10:00:00.250' THEN '2024-01-05T10:00:00.250000+00:00'
     WHEN '2024-01-05T10:00:00+02:00' THEN '2024-01-05T08:00:00+00:00'
+    WHEN '2024-01-05' THEN '2024-01-05T00:00:00+00:00'
     ELSE nullif(event_ingestion_time, '') END AS event_ingestion_time,
   lower(trim(nullif(contains_media, ''))) IN ('true', '1', 'yes', 'y') AS contains_media,
   '{AS_OF.replace(" ", "T")}+00:00' AS ingestion_ts

@@ -269,3 +269,11 @@ def twin(sql: str) -> str:
     if not needed:
         return sql
     return "WITH " + ",\n".join(f"{n} AS ({STEPS[n]})" for n in needed) + "\n" + sql
+
+
+def title_sql(column: str) -> str:
+    """Runs of letters with a capital first and small letters after."""
+    return (
+        f"array_to_string(list_transform(regexp_extract_all({column}, '\\p{{L}}+|\\P{{L}}+'), "
+        "lambda w: upper(w[1]) || lower(w[2:])), '')"
+    )

@@ -17,10 +17,10 @@ from staylens.plans import gold, questions, silver_ads, silver_listings, silver_
 from staylens.schemas import LISTING_TABLES, schema_of
 from staylens.session import SETTINGS, work_path
 from staylens.sources import landing
-from staylens.sources.files import read_available, read_raw_csv
+from staylens.sources.files import read_available, read_raw_csv, remove_path
 from staylens.sources.sinks import TableStatus, send_reviews, write_table, write_tables
-from staylens.streaming.messages import kafka_messages, normalize_events
-from staylens.streaming.upsert import BUCKETS, drain_reviews, read_reviews
+from staylens.streaming.messages import MAX_BATCH_MESSAGES, kafka_messages, normalize_events
+from staylens.streaming.upsert import BUCKETS, compact, drain_reviews, read_reviews
 
 # The tracked columns of the type-2 dimensions.
 TRACKED = {
@@ -33,15 +33,29 @@ TRACKED = {
 }
 
 
-def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write an intermediate once and read it back.
+class Workspace:
+    """The intermediate tables of one job, removed at its end.
 
-    Several outputs share it without computing it again, its lineage is cut, and a lost
-    executor costs a re-read of files instead of a recomputation.
+    Several outputs share a staged table without computing it again, its lineage is cut, and a
+    lost executor costs a re-read of files instead of a recomputation.
     """
-    path = work_path(spark, name)
-    write_table(df, path)
-    return spark.read.parquet(path)
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def staged(self, df: DataFrame, name: str) -> DataFrame:
+        path = work_path(self.spark, name)
+        self.paths.append(path)
+        write_table(df, path)
+        return self.spark.read.parquet(path)
+
+    def __enter__(self) -> Workspace:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        for path in self.paths:
+            remove_path(self.spark, path)
 
 
 def listings_to_silver(
@@ -53,10 +67,11 @@ def listings_to_silver(
     one more scan of the profiled columns and no shuffle.
     """
     cleaned = silver_listings.clean_listings(bronze)
-    listings = staged(spark, silver_listings.one_row_per_listing(cleaned), "listings")
-    statuses = write_tables(
-        {t: silver_listings.silver_table(listings, t) for t in LISTING_TABLES}, silver
-    )
+    with Workspace(spark) as work:
+        listings = work.staged(silver_listings.one_row_per_listing(cleaned), "listings")
+        statuses = write_tables(
+            {t: silver_listings.silver_table(listings, t) for t in LISTING_TABLES}, silver
+        )
     return statuses, listing_quality(bronze)
 
 
@@ -84,9 +99,10 @@ def reviews_to_silver(
 
     For review streams see ``staylens.streaming.upsert``, which adds to the table.
     """
-    unique = staged(spark, silver_reviews.unique_reviews(bronze, as_of), "reviews")
-    profile.require_rows(unique, "reviews")
-    return write_tables({"Review": silver_reviews.with_history(unique)}, silver)
+    with Workspace(spark) as work:
+        unique = work.staged(silver_reviews.unique_reviews(bronze, as_of), "reviews")
+        profile.require_rows(unique, "reviews")
+        return write_tables({"Review": silver_reviews.with_history(unique)}, silver)
 
 
 def publish_reviews(
@@ -103,18 +119,35 @@ def publish_reviews(
 
 
 def silver_to_gold(
-    spark: SparkSession, silver: str, target: str, as_of: AsOf = None
+    spark: SparkSession,
+    silver: str,
+    target: str,
+    as_of: AsOf = None,
+    since: AsOf = None,
+    close_vanished: bool = False,
 ) -> list[TableStatus]:
-    """All marts.  Type-2 dimensions are merged into their history, dimLocation only grows."""
+    """All marts.  Type-2 dimensions are merged into their history, dimLocation only grows.
+
+    ``since`` restricts the review counts to newer reviews, ``close_vanished`` closes the rows
+    of keys that the snapshot no longer has.
+    """
+    with Workspace(spark) as work:
+        return _silver_to_gold(work, silver, target, as_of, since, close_vanished)
+
+
+def _silver_to_gold(
+    work: Workspace, silver: str, target: str, as_of: AsOf, since: AsOf, close_vanished: bool
+) -> list[TableStatus]:
+    spark, staged = work.spark, work.staged
     tables = read_available(spark, silver, [*gold.BASE_COLUMNS, "Review", "providerDetails", "providerMetrics"])
     needed = [t for t in (*gold.BASE_COLUMNS, "Review") if t not in tables]
     if needed:
         raise ValueError("silver tables without data: " + ", ".join(needed))
     if "batch_id" in tables["Review"].columns:  # kept up to date by the review stream
         current = read_reviews(spark, f"{silver}/Review.parquet")
-        tables["Review"] = staged(spark, current, "current_reviews")
-    stats = staged(spark, gold.review_stats(tables["Review"]), "review_stats")
-    wide = staged(spark, gold.listing_wide(gold.listing_bases(tables, unique=True), stats), "listing_wide")
+        tables["Review"] = staged(current.drop("comment", "language", "sentiment_label"), "current_reviews")
+    stats = staged(gold.review_stats(tables["Review"], since), "review_stats")
+    wide = staged(gold.listing_wide(gold.listing_bases(tables, unique=True), stats), "listing_wide")
     marts = gold.listing_marts(wide, as_of)
     marts["factReview"] = gold.fact_review(tables["Review"], stats, as_of)
     marts["dimReviewer"] = gold.dim_reviewer(tables["Review"])
@@ -127,26 +160,31 @@ def silver_to_gold(
             continue
         if name in TRACKED:
             key, tracked = TRACKED[name]
-            merged = scd2_merge(history, marts[name], key, tracked, as_of)
+            merged = scd2_merge(history, marts[name], key, tracked, as_of, close_vanished)
         else:
             merged = insert_only(history, marts[name], "location_key")
-        # The old table is read while its successor is built: finish that first.
-        marts[name] = staged(spark, merged, name)
+        # The old table stays in place until its successor is written, so it can be read here.
+        marts[name] = merged
     return write_tables(marts, target)
 
 
-def answers(spark: SparkSession, target: str) -> dict[str, DataFrame]:
-    """Both business questions from the published marts; marts without data are left out."""
+def answers(spark: SparkSession, target: str, city: str | None = None) -> dict[str, DataFrame]:
+    """Both business questions from the published marts; marts without data are left out.
+
+    ``city`` asks for the page of one city: see ``questions.invest_answer``.
+    """
     marts = read_available(
         spark, target, ["AggNeighbourhoodInvest", "dimLocation", "factListing", "AggAds"]
     )
     found: dict[str, DataFrame] = {}
     if {"AggNeighbourhoodInvest", "dimLocation", "factListing"} <= set(marts):
         # Quantiles and filter both read the joined listings: join them once.
-        located = staged(
-            spark, questions.located_listings(marts["dimLocation"], marts["factListing"]), "located"
-        )
-        reports = questions.invest_answer(marts["AggNeighbourhoodInvest"], located)
+        places = marts["dimLocation"]
+        if city is not None:
+            places = questions.in_city(places, questions.shown_city(marts["AggNeighbourhoodInvest"], city), "city")
+        joined = questions.located_listings(places, marts["factListing"])
+        located = Workspace(spark).staged(joined, "located")  # the reports are read after this returns
+        reports = questions.invest_answer(marts["AggNeighbourhoodInvest"], located, city)
         found |= {f"invest_{name}": df for name, df in reports.items()}
     if "AggAds" in marts:
         reports = questions.promotion_answer(marts["AggAds"])
@@ -157,7 +195,7 @@ def answers(spark: SparkSession, target: str) -> dict[str, DataFrame]:
 def run(arguments: Iterable[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="staylens.jobs", description=__doc__)
     parser.add_argument(
-        "job", choices=["listings", "ads", "reviews", "publish", "stream", "gold", "answers"]
+        "job", choices=["listings", "ads", "reviews", "publish", "stream", "compact", "gold", "answers"]
     )
     parser.add_argument("--input", nargs="*", default=[], help="CSV files or bronze Parquet")
     parser.add_argument("--bronze")
@@ -167,6 +205,12 @@ def run(arguments: Iterable[str] | None = None) -> None:
     parser.add_argument("--topic")
     parser.add_argument("--checkpoint", help="where the review stream keeps its progress")
     parser.add_argument("--buckets", type=int, default=BUCKETS, help="reviewer buckets of the silver reviews")
+    parser.add_argument("--rejected", help="where ads outside the late window go; <bronze>_late when left out")
+    parser.add_argument("--messages-per-batch", type=int, default=MAX_BATCH_MESSAGES)
+    parser.add_argument("--max-records", type=int, help="publish no more reviews than this")
+    parser.add_argument("--since", help="count reviews from this moment on")
+    parser.add_argument("--close-vanished", action="store_true", help="close keys that a snapshot lacks")
+    parser.add_argument("--city", help="answer for one city, the first one where it is unknown")
     parser.add_argument("--as-of", help="clock of the run; now when left out")
     args = parser.parse_args(arguments)
     spark = SparkSession.builder.appName(f"staylens {args.job}").getOrCreate()
@@ -178,21 +222,24 @@ def run(arguments: Iterable[str] | None = None) -> None:
         statuses, quality = listings_to_silver(spark, bronze, args.silver)
         quality.show(truncate=False, vertical=True)
     elif args.job == "ads":
-        bronze = landing.land_ads(spark, args.input[0], args.bronze, args.as_of)
+        late = args.rejected or f"{args.bronze}_late"
+        bronze = landing.land_ads(spark, args.input, args.bronze, args.as_of, rejected=late)
         statuses = [] if bronze is None else ads_to_silver(spark, bronze, args.silver, args.as_of)
     elif args.job == "reviews":
         bronze = spark.read.schema(schema_of("reviews")).parquet(*args.input)
         statuses = reviews_to_silver(spark, bronze, args.silver, args.as_of)
     elif args.job == "publish":
-        publish_reviews(spark, args.input, args.servers, args.topic, as_of=args.as_of)
+        publish_reviews(spark, args.input, args.servers, args.topic, args.max_records, args.as_of)
+    elif args.job == "compact":
+        compact(spark, f"{args.silver}/Review.parquet", args.input[0], args.buckets)
     elif args.job == "stream":
-        messages = kafka_messages(spark, args.servers, args.topic)
+        messages = kafka_messages(spark, args.servers, args.topic, args.messages_per_batch)
         reviews = f"{args.silver}/Review.parquet"
         drain_reviews(messages, args.bronze, reviews, args.checkpoint, args.as_of, args.buckets)
     elif args.job == "gold":
-        statuses = silver_to_gold(spark, args.silver, args.gold, args.as_of)
+        statuses = silver_to_gold(spark, args.silver, args.gold, args.as_of, args.since, args.close_vanished)
     else:
-        for name, report in answers(spark, args.gold).items():
+        for name, report in answers(spark, args.gold, args.city).items():
             print(name)
             report.show(200, truncate=False)
     for status in statuses:

@@ -2,16 +2,31 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from staylens.functions import display, numbers
 from staylens.operators.quantiles import exact_quantiles
 from staylens.operators.skew import salted_left_join
+from staylens.schemas import schema_of
 
 # How many entries the reports show.
 CARDS, REVENUE_CHART, CITY_CHART, MARKERS = 6, 10, 12, 200
 PROVIDER_CARDS, PROVIDER_CHART, PROVIDER_TABLE = 3, 12, 20
+# The columns of the investment mart that the reports show.
+SHOWN_COLUMNS = (
+    "city_name",
+    "neighbourhood_name",
+    "avg_revenue_l365d",
+    "neighbourhood_most_bookings",
+    "neighbourhood_most_views",
+    "avg_order_price",
+    "avg_response_rate",
+    "median_availability",
+    "neighbourhood_needed_boost",
+)
 # Fixed value: the share of a city's listings that counts as underperforming.
 LOW_FRACTION = 0.25
 
@@ -63,13 +78,21 @@ def in_city(df: DataFrame, city: str, column: str = "city_name") -> DataFrame:
     return df.filter(F.lower(F.trim(column)) == city.strip().lower())
 
 
-def in_city_or_first(invest: DataFrame, city: str | None = None) -> DataFrame:
-    """Rows of the asked city; of the first one by name if none is asked for or it is unknown."""
+def _asked_or_first(city: str | None) -> Column:
     name = F.trim("city_name")
     asked = F.max(F.when(F.lower(name) == (city or "").strip().lower(), F.lower(name)))
-    first = F.lower(F.min(F.when(name != "", name)))
-    shown = invest.agg(F.coalesce(F.nullif(asked, F.lit("")), first).alias("city")).scalar()
-    return invest.filter(F.lower(name) == shown)
+    return F.coalesce(F.nullif(asked, F.lit("")), F.lower(F.min(F.when(name != "", name))))
+
+
+def in_city_or_first(invest: DataFrame, city: str | None = None) -> DataFrame:
+    """Rows of the asked city; of the first one by name if none is asked for or it is unknown."""
+    shown = invest.agg(_asked_or_first(city).alias("city")).scalar()
+    return invest.filter(F.lower(F.trim("city_name")) == shown)
+
+
+def shown_city(invest: DataFrame, city: str | None = None) -> str:
+    """The name, in lower case, of the city that ``in_city_or_first`` shows; empty without any."""
+    return invest.agg(_asked_or_first(city)).head()[0] or ""
 
 
 def city_kpis(invest: DataFrame) -> DataFrame:
@@ -173,8 +196,29 @@ def markers(listings: DataFrame) -> DataFrame:
     )
 
 
-def invest_answer(invest: DataFrame, located: DataFrame) -> dict[str, DataFrame]:
-    """Which city and neighbourhood to invest in; ``located`` from ``located_listings``."""
+def invest_answer(invest: DataFrame, located: DataFrame, city: str | None = None) -> dict[str, DataFrame]:
+    """Which city and neighbourhood to invest in; ``located`` from ``located_listings``.
+
+    With ``city``, the page of that city, or of the first one by name where it is unknown: its
+    figures, bookings and markers.  ``located`` may then hold the listings of that city only.
+    A mart that lacks columns the reports show is named in a warning, and its reports are empty.
+    """
+    missing = [c for c in SHOWN_COLUMNS if c not in invest.columns]
+    if missing:
+        warnings.warn("the investment mart lacks " + ", ".join(missing), stacklevel=2)
+        empty = located.sparkSession.createDataFrame([], schema_of("AggNeighbourhoodInvest"))
+        invest = empty
+    if city is not None:
+        shown = in_city_or_first(invest, city)
+        name = shown_city(invest, city)
+        own = located.withColumn("city", F.lower(F.trim("city"))).filter(F.col("city") == name)
+        return {
+            "cities": cities(invest),
+            "city_kpis": city_kpis(shown),
+            "city_kpi_texts": city_kpi_texts(city_kpis(shown)),
+            "city_bookings": city_bookings(shown),
+            "markers": markers(underperformers(own)),
+        }
     return {
         "cards": neighbourhood_cards(invest),
         "revenue_chart": revenue_chart(invest),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from staylens.functions import arrays, flags, numbers, text, times
 from staylens.operators.dedupe import dedupe_latest
-from staylens.operators.schema_ops import LISTING_RENAMES, project_to
+from staylens.operators.schema_ops import LISTING_RENAMES, project_to, source_names
 from staylens.schemas import LISTING_TABLES, schema_of
 
 # Which columns the rules apply to.
@@ -118,8 +118,15 @@ def _table_rules(table: str) -> dict[str, Column]:
 
 
 def one_row_per_listing(cleaned: DataFrame) -> DataFrame:
-    """Listings with an id, the latest row of each: the only shuffle of the listing job."""
-    return dedupe_latest(cleaned.filter(F.col("id").isNotNull()), ["id"])
+    """Listings with an id, the latest row of each: the only shuffle of the listing job.
+
+    Only the columns of the silver tables go through it.
+    """
+    needed = {"id", "ingestion_ts"}
+    for table in LISTING_TABLES:
+        needed.update(source_names(schema_of(table), LISTING_RENAMES).values())
+    kept = cleaned.select(*[c for c in cleaned.columns if c in needed])
+    return dedupe_latest(kept.filter(F.col("id").isNotNull()), ["id"])
 
 
 def silver_table(listings: DataFrame, table: str) -> DataFrame:

@@ -127,19 +127,53 @@ def read_tables(spark: SparkSession, *paths: str, merge_schemas: bool = False) -
     return spark.read.option("mergeSchema", merge_schemas).parquet(*paths)
 
 
+def _located(spark: SparkSession, path: str):
+    """A Hadoop path and its file system.  Needs a session with a JVM beside it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path or glob matches anything, on whatever file system it lies."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    target, system = _located(spark, path)
     return bool(system.globStatus(target))
 
 
+def hidden_path(path: str, kind: str) -> str:
+    """A name beside a table that Spark's readers skip."""
+    folder, _, name = path.rstrip("/").rpartition("/")
+    return f"{folder}/.{kind}-{name}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    target, system = _located(spark, path)
+    system.delete(target, True)
+
+
+def publish(spark: SparkSession, fresh: str, path: str) -> None:
+    """Put a completely written table in the place of another, which is kept as the previous one.
+
+    Between its two renames the table is absent; ``read_if_there`` then reads the previous one.
+    """
+    target, system = _located(spark, path)
+    previous, _ = _located(spark, hidden_path(path, "previous"))
+    written, _ = _located(spark, fresh)
+    if system.exists(target):
+        system.delete(previous, True)
+        if not system.rename(target, previous):
+            raise OSError(f"{path} cannot be set aside")
+    if not system.rename(written, target):
+        raise OSError(f"{fresh} cannot be put in the place of {path}")
+
+
 def read_if_there(
     spark: SparkSession, path: str, schema: StructType | str | None = None
 ) -> DataFrame | None:
     """A Parquet table, or ``None`` when nothing has been written there yet."""
     if not path_exists(spark, path):
-        return None
+        path = hidden_path(path, "previous")  # a switch was interrupted, if that is there
+        if not path_exists(spark, path):
+            return None
     reader = spark.read.schema(schema) if schema is not None else spark.read
     try:
         return reader.parquet(path)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staylens.operators.profile import counted
+from staylens.sources.files import hidden_path, path_exists, publish
 
 
 @dataclass(frozen=True)
@@ -34,9 +35,18 @@ class TablesFailedError(RuntimeError):
 def write_table(
     df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()
 ) -> None:
-    """Write Parquet.  ``overwrite`` replaces the whole table, also a partitioned one."""
+    """Write Parquet.  ``overwrite`` replaces the whole table, also a partitioned one.
+
+    A table that is there is replaced by renaming, once its successor is written completely: a
+    write that fails leaves it as it was.  Its last state is kept beside it, hidden.
+    """
+    spark = df.sparkSession
+    replace = mode == "overwrite" and path_exists(spark, path)
+    target = hidden_path(path, "new") if replace else path
     writer = df.write.mode(mode).option("partitionOverwriteMode", "static")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(target)
+    if replace:
+        publish(spark, target, path)
 
 
 def write_tables(

@@ -72,7 +72,7 @@ def check(spark, con, folder: str, name: str) -> str | None:
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "0.01"
     folder = f"/root/testdata/sf{sf}"
-    spark = local_session(8)
+    spark = local_session(int(os.environ.get("CORES", "8")))
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(folder)
     names = sys.argv[2:] or list(entry.queries())

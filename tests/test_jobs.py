@@ -12,8 +12,8 @@ from staylens.operators.schema_ops import cast_to_schema
 from staylens.plans import gold, questions, silver_ads
 from staylens.schemas import LISTING_TABLES, schema_of, table_names
 from staylens.sources import landing
-from staylens.sources.files import read_csv, read_optional
-from staylens.sources.sinks import TablesFailedError, write_tables
+from staylens.sources.files import read_csv, read_if_there, read_optional, read_raw_csv
+from staylens.sources.sinks import TablesFailedError, write_table, write_tables
 from staylens.streaming.upsert import upsert_batch
 
 AS_OF = "2024-01-15 00:00:00"
@@ -164,3 +164,72 @@ def test_one_failing_table_does_not_stop_the_others(spark, tmp_path):
 def test_missing_table_is_empty_with_a_warning(spark, tmp_path):
     with pytest.warns(UserWarning, match="no data"):
         assert read_optional(spark, str(tmp_path / "no.parquet"), schema_of("AggAds")).isEmpty()
+
+
+def ads_file(path, rows):
+    with open(path, "w", newline="") as file:
+        writer = csv.DictWriter(file, schema_of("adsProviders").names)
+        writer.writeheader()
+        writer.writerows(rows)
+    return str(path)
+
+
+def test_every_ads_file_is_landed_and_late_rows_are_kept(spark, tmp_path):
+    on_time, late = "2024-01-14 00:00:00", "2022-01-14 00:00:00"
+    ads_file(tmp_path / "ads_1.csv", [{"id": 1, "last_updated": on_time}, {"id": 2, "last_updated": late}])
+    ads_file(tmp_path / "ads_2.csv", [{"id": 3, "last_updated": on_time}, {"id": 4, "last_updated": ""}])
+    files, bronze = [str(tmp_path / f"ads_{n}.csv") for n in (1, 2, 3)], str(tmp_path / "bronze")
+    jobs.run(["ads", "--input", *files, "--bronze", bronze, "--silver", str(tmp_path / "silver"), "--as-of", AS_OF])
+    assert sorted(r.id for r in spark.read.parquet(bronze).collect()) == [1, 3]
+    assert sorted(r.id for r in spark.read.parquet(f"{bronze}_late").collect()) == [2, 4]
+    assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "silver/providerMetrics.parquet")).collect()) == [1, 3]
+
+
+def test_raw_csv_is_read_by_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,listing_id,reviewer_id\n1,10,100\n3,"3\n0",300\n')
+    (tmp_path / "b.csv").write_text("reviewer_id,id,listing_id\n200,2,20\n")
+    (tmp_path / "c.csv").write_text("id,reviewer_id\n4,400\n")
+    rows = read_raw_csv(spark, str(tmp_path)).select("id", "listing_id", "reviewer_id").collect()
+    assert sorted(map(tuple, rows)) == [("1", "10", "100"), ("2", "20", "200"), ("3", "3\n0", "300"), ("4", None, "400")]
+
+
+def test_a_moved_column_is_an_error(spark, tmp_path):
+    names = schema_of("adsProviders").names
+    moved = [names[1], names[0], *names[2:]]
+    (tmp_path / "ads.csv").write_text(",".join(moved) + "\n" + "," * (len(names) - 1) + "\n")
+    with pytest.raises(Exception, match="header"):
+        read_csv(spark, schema_of("adsProviders"), str(tmp_path / "ads.csv")).collect()
+
+
+def test_a_failed_write_leaves_the_table(spark, tmp_path):
+    path = str(tmp_path / "t.parquet")
+    write_table(spark.range(3), path)
+    with pytest.raises(Exception, match="broken"):
+        write_table(spark.range(9).selectExpr("if(id > 5, raise_error('broken'), id) AS id"), path)
+    assert spark.read.parquet(path).count() == 3
+    write_table(spark.read.parquet(path).selectExpr("id + 1 AS id"), path)  # read while it is replaced
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [1, 2, 3]
+    # A switch that was cut off between its renames: the previous state is still found.
+    (tmp_path / "t.parquet").rename(tmp_path / "moved")
+    assert sorted(r.id for r in read_if_there(spark, path).collect()) == [0, 1, 2]
+
+
+def test_answers_for_one_city(spark):
+    invest = spark.createDataFrame(
+        [("lyon", "Old", 9.0), ("aix-en-provence", "Mill", 5.0), ("lyon", "New", 1.0)],
+        "city_name STRING, neighbourhood_name STRING, avg_revenue_l365d DOUBLE",
+    )
+    invest = cast_to_schema(invest, schema_of("AggNeighbourhoodInvest"))
+    located = spark.createDataFrame(
+        [(1, " Lyon", "Old", 1.0, 2.0, 10, 3, 5.0), (2, "Aix-en-Provence", "Mill", 1.0, 2.0, 20, 3, 5.0)],
+        "id BIGINT, city STRING, neighbourhood STRING, latitude DOUBLE, longitude DOUBLE, estimated_revenue_l365d INT, "
+        "estimated_occupancy_l365d INT, price_per_night DOUBLE",
+    )
+    page = questions.invest_answer(invest, located, " LYON ")
+    assert [r.city for r in page["city_kpi_texts"].collect()] == ["Lyon"]
+    assert [r.listing_id for r in page["markers"].collect()] == [1]
+    first = questions.invest_answer(invest, located, "nowhere")
+    assert [r.city for r in first["city_kpi_texts"].collect()] == ["Aix-En-Provence"]
+    assert [r.listing_id for r in first["markers"].collect()] == [2]
+    with pytest.warns(UserWarning, match="avg_order_price"):
+        assert questions.invest_answer(invest.drop("avg_order_price"), located)["cards"].isEmpty()
