@@ -24,11 +24,12 @@ from staylens.llm.common import texts
 
 LEAST_SENTENCES = 3
 LEAST_WORDS = 20
-#: Words after which a sentence without a full stop is cut, counted from its start.
-LONGEST = 10
+#: A long sentence is cut after a word with a comma or of ``LONG_WORD`` letters, once it has
+#: ``CLAUSE`` words: by what it says, so that copies are cut alike again soon after a change.
+CLAUSE, LONG_WORD, LONGEST = 5, 8, 10
 #: A sentence ends after its full stop and white space, at a line break, or when it is too long.
 PIECE = re.compile(r"\S+\s*")
-STOPS = (".", "!", "?", "…", "。")
+STOPS = ".!?…。"
 
 
 def sentences(text: str) -> tuple[list[str], list[int], list[int]]:
@@ -46,10 +47,12 @@ def sentences(text: str) -> tuple[list[str], list[int], list[int]]:
         end += len(piece)
         word = piece.rstrip()
         words.append(word)
-        if word.endswith(STOPS) or len(words) == LONGEST or "\n" in piece:
+        size = len(words)
+        clause = size >= CLAUSE and (size == LONGEST or len(word) >= LONG_WORD or word[-1] == ",")
+        if clause or word[-1] in STOPS or "\n" in piece:
             found.append(" ".join(words).lower())
             ends.append(end)
-            sizes.append(len(words))
+            sizes.append(size)
             words = []
     if words:
         found.append(" ".join(words).lower())
