@@ -200,7 +200,8 @@ def packed(docs: DataFrame, path: str | None = None, end: int = END, capacity: i
     """Where every piece of ``docs`` goes: ``doc_id, piece, start, length, ids_crc32, sequence_id, offset``."""
     found = pieces(docs, path, end, capacity, **columns)
     digests = found.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
-    return pack(digests, capacity)
+    # Written first: a range sort reads its input twice, and texts should be encoded once.
+    return pack(staged(digests, "packing_pieces"), capacity)
 
 
 def sequences(docs: DataFrame, path: str | None = None, end: int = END, capacity: int = CAPACITY, **columns: str) -> DataFrame:
@@ -208,7 +209,7 @@ def sequences(docs: DataFrame, path: str | None = None, end: int = END, capacity
 
     A sequence holds at most ``capacity`` tokens, which bounds what is gathered per group.
     """
-    found = pieces(docs, path, end, capacity, **columns)
+    found = staged(pieces(docs, path, end, capacity, **columns), "packing_pieces")
     parts = pack(found.withColumn("ids_crc32", F.crc32("ids")), capacity)
     return (
         parts.groupBy("sequence_id")
