@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import os
 import re
+from itertools import islice
+from unicodedata import is_normalized
 
 import numpy as np
 
@@ -19,10 +21,13 @@ SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 NO_SPACE = re.compile("[\x1c-\x1f]")
 WORDS = re.compile(f"[^{SPACE}]+")
 SPACED_WORDS = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
+UNEVEN = "\u03a3\u0130"
+DOUBLE = ("  ", "\n ", " \n", "\n\n")
 #: Punctuation that is always a token run of its own after a letter or digit.
 TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-#: Chunks remembered per worker and file, and the longest one remembered.
-MEMORY = 500_000
+#: Chunks remembered per worker and file (about 250 MB), and the longest one remembered.  When
+#: they are too many, the half seen first stays: frequent words come early.
+MEMORY = 1_000_000
 LONGEST = 64
 #: Unseen chunks per call of the library.
 TOGETHER = 256
@@ -43,13 +48,16 @@ class Encoder:
         self.mark, self.separator = next(iter(special.items()))
         #: With a normalizer, the file drops white space; without, it is part of the ids.
         self.drops_space = isinstance(self.tokenizer.normalizer, Sequence)
-        self.memory: dict[str, bytes] = {}
+        self.memory: dict[str, bytes] = {"": b""}
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def _chunks(self, text: str) -> list[str]:
         if not self.drops_space:
+            # Single blanks and line breaks only, as in most texts: cut before and after them.
+            if text.replace("\n", "").isprintable() and not any(d in text for d in DOUBLE):
+                return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
             return SPACED_WORDS.findall(text)
         return WORDS.findall(text) if NO_SPACE.search(text) else text.split()
 
@@ -82,22 +90,36 @@ class Encoder:
         for chunk, core, tail in split:
             self.memory[chunk] = self.memory[core] + self.memory[tail]
 
+    def _folded(self, text: str) -> str:
+        """The text in lower case where the file does nothing else to it before it does that.
+
+        A text that is composed, and still is in lower case, is not changed by composing it.
+        The two letters whose lower case depends on the letters around them are left alone.
+        """
+        if not self.drops_space or any(c in text for c in UNEVEN):
+            return text
+        folded = text.lower()
+        return folded if is_normalized("NFC", text) and is_normalized("NFC", folded) else text
+
     def ids(self, texts: list[str]) -> list[bytes]:
+        """The ids of every text; unseen chunks of all of them are encoded together."""
         if len(self.memory) > MEMORY:
-            self.memory.clear()
-        result = []
+            self.memory = dict(islice(self.memory.items(), MEMORY // 2))
+        split: list[list[str] | None] = []
         for text in texts:
-            if any(s in text for s in self.special):
-                result.append(self._whole(text))
+            folded = self._folded(text)
+            if any(s in folded or s in text for s in self.special):
+                split.append(None)
                 continue
-            chunks = self._chunks(text)
-            unseen = set(chunks).difference(self.memory)
-            if unseen:
-                self._learn(unseen)
-            result.append(b"".join(map(self.memory.__getitem__, chunks)))
-            for chunk in unseen:
-                if len(chunk) > LONGEST:
-                    self.memory.pop(chunk, None)
+            split.append(self._chunks(folded))
+        unseen = set().union(*(s for s in split if s)).difference(self.memory)
+        if unseen:
+            self._learn(unseen)
+        known = self.memory.__getitem__
+        result = [self._whole(t) if s is None else b"".join(map(known, s)) for t, s in zip(texts, split, strict=True)]
+        for chunk in unseen:
+            if len(chunk) > LONGEST:
+                self.memory.pop(chunk, None)
         return result
 
 

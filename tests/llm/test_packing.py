@@ -13,7 +13,7 @@ from staylens.llm import packing, tokens
 
 TEXTS = [
     "", " ", "Hello, world! It's a test.", "a\x1cb c\x85d e", "we'll 've 'S l'aquila.'s", "x<|endoftext|>y <|startoftext|>",
-    "  a \n\n b\t\r\n ", "É é ΣΑΣ ß İ ﬁ ǅ", "foo's, bar''. x1.5 ³² 漢字,   z", "a.́b é ́x", "end  ", "a" * 3000, "don't " * 9,
+    "\nfoo bar\nbaz ", " a\nb", "a\0b c", "<|ENDOFTEXT|> A", "H\u0331 \u1e96 E\u0301 \u00c9", "  a \n\n b\t\r\n ", "É é ΣΑΣ ß İ ﬁ ǅ", "foo's, bar''. x1.5 ³² 漢字,   z", "a.́b é ́x", "end  ", "a" * 3000, "don't " * 9,
 ]
 
 
