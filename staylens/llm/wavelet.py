@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from staylens.llm.common import texts
+from staylens.llm.common import staged, texts
 from staylens.llm.tokens import encoder, public_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -155,8 +155,8 @@ def write_shards(
 ) -> None:
     """Encode documents in ascending order of id, each followed by ``end``, into shard files.
 
-    Rows without an id come last; equal ids are in the order of their texts.  A null text is an
-    empty one.  Documents are range-partitioned, and a partition becomes one file of shards.
+    Rows without an id come last; equal ids are in the order of a hash of their texts.  A null
+    text is an empty one.  Documents are range-partitioned, and a partition becomes one file of shards.
     """
     path = path or public_path(TOKENIZER)
     last = np.array([end], dtype="<u4").tobytes()
@@ -199,10 +199,11 @@ def write_shards(
         if doc_ids:
             yield shard(part, nth, doc_ids, raw)
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    order = [F.col("doc_id").asc_nulls_last(), F.col("text").asc_nulls_first()]
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
+    order = [F.col("doc_id").asc_nulls_last(), F.col("text_hash")]
     ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    ordered.mapInArrow(run, SCHEMA).write.option("compression", "zstd").parquet(folder)
+    ordered.select("doc_id", "text").mapInArrow(run, SCHEMA).write.option("compression", "zstd").parquet(folder)
 
 
 def read_shards(spark: SparkSession, folder: str) -> DataFrame:
@@ -236,7 +237,8 @@ def read_documents(shards: DataFrame) -> DataFrame:
                     names=["doc_id", "start", "n_tokens", "ids"],
                 )
 
-    located = shards.join(directory(shards), ["part", "nth"])
+    # A table of its own, so that its size is known and the shards need not be shuffled.
+    located = shards.join(staged(directory(shards), "wavelet_directory"), ["part", "nth"])
     return located.mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
 
 

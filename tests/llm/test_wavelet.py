@@ -32,7 +32,7 @@ def test_round_trip_access_count_and_locate(n, most):
 
 def test_files_hold_the_documents(spark):
     rows = [(i * 7 % 50, f"Some words, number {i}; and more é " * (i % 6)) for i in range(50)]
-    rows += [(3, rows[3][1]), (60, None), (61, ""), (None, "without an id"), (62, "long " * 30_000)]
+    rows += [rows[3], (60, None), (61, ""), (None, "without an id"), (62, "long " * 30_000)]
     folder = work_path(spark, "test_shards")
     wavelet.write_shards(documents(spark, rows, "1 AS start"), folder, shard_tokens=100)
     shards = wavelet.read_shards(spark, folder)
