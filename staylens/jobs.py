@@ -145,7 +145,7 @@ def _silver_to_gold(
         raise ValueError("silver tables without data: " + ", ".join(needed))
     if "batch_id" in tables["Review"].columns:  # kept up to date by the review stream
         current = read_reviews(spark, f"{silver}/Review.parquet")
-        tables["Review"] = staged(current.drop("comment", "language", "sentiment_label"), "current_reviews")
+        tables["Review"] = staged(current, "current_reviews")
     stats = staged(gold.review_stats(tables["Review"], since), "review_stats")
     wide = staged(gold.listing_wide(gold.listing_bases(tables, unique=True), stats), "listing_wide")
     marts = gold.listing_marts(wide, as_of)
