@@ -38,7 +38,7 @@ END = b"\n"
 #: Distinct words a counting task holds before it sends what it has.
 HELD_WORDS = 400_000
 #: Bytes of text that are scored together with the counts of their words.
-BLOCK_BYTES = 12_000_000
+BLOCK_BYTES = 20_000_000
 FOLDS, HELD_OUT = 7, 2
 
 
@@ -99,11 +99,15 @@ def _rows(features: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.nda
     return features % ROWS, _mix(features * CLASSES + classes[:, None], 4) % ROWS
 
 
-def _log_softmax(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    logits = weights[rows[:, 0]]
+def _logits(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    logits = weights.take(rows[:, 0], axis=0)
     for i in range(1, rows.shape[1]):
-        logits = logits + weights[rows[:, i]]
-    logits -= logits.max(axis=1, keepdims=True)
+        logits += weights.take(rows[:, i], axis=0)
+    return np.clip(logits, -40, 40, out=logits)
+
+
+def _log_softmax(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    logits = _logits(weights, rows)
     return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
 
 
@@ -122,16 +126,36 @@ def log_probabilities(weights: Weights, features: np.ndarray, buckets: np.ndarra
 
 def _step(weights: np.ndarray, squares: np.ndarray, rows: np.ndarray, target: np.ndarray) -> None:
     """One adaptive gradient step on the rows that a batch touches."""
-    error = np.exp(_log_softmax(weights, rows))
+    error = np.exp(_logits(weights, rows))
+    error /= error.sum(axis=1, keepdims=True)
     error[np.arange(len(target)), target] -= 1
-    flat = rows.ravel()
+    touched, change = _sums(error, rows)
+    squares[touched] += np.einsum("ij,ij->i", change, change) / change.shape[1]
+    weights[touched] -= change * (STEP / np.sqrt(squares[touched]))[:, None]
+
+
+def _sums(values: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ``rows`` and, for each, the sum of the values of the positions that have it.
+
+    The n-th occurrences of all rows are added at once, most frequent rows first; what is left
+    of the few most frequent is summed row by row.
+    """
+    flat = rows.ravel().astype(np.uint16)
     order = np.argsort(flat, kind="stable")
     ordered = flat[order]
     starts = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
-    touched = ordered[starts]
-    change = np.add.reduceat(error[order // rows.shape[1]], starts, axis=0)
-    squares[touched] += (change**2).mean(axis=1)
-    weights[touched] -= STEP * change / np.sqrt(squares[touched])[:, None]
+    sizes = np.diff(np.append(starts, len(flat)))
+    by_size = np.argsort(-sizes, kind="stable")
+    starts, sizes = starts[by_size], sizes[by_size]
+    sorted_values = values.take(order // rows.shape[1], axis=0)
+    total = sorted_values.take(starts, axis=0)
+    nth = 1
+    while (more := int(np.searchsorted(-sizes, -nth, side="left"))) > 48:
+        total[:more] += sorted_values.take(starts[:more] + nth, axis=0)
+        nth += 1
+    for i in range(more):
+        total[i] += sorted_values[starts[i] + nth : starts[i] + sizes[i]].sum(axis=0)
+    return ordered[starts].astype(np.int64), total
 
 
 def train_on(weights: Weights, squares: Weights, buckets: np.ndarray, features: np.ndarray) -> None:
