@@ -1,12 +1,12 @@
-"""Exact top-k by inner product, with sequential access to sorted lists only.
+"""Exact top-k by inner product, aggregating sorted lists without random access.
 
 Every component of the candidates is a list sorted by value.  For a query, a list is read from
 its top where the query's component is positive and from its bottom where it is negative, so
-contributions only fall.  After each round of reading, a candidate has a lower and an upper
-score bound: what was seen of it, plus the least (the next unread) contribution of each list in
-which it was not seen.  An outsider, seen nowhere, has the sum of all next contributions as its
-upper bound.  Reading stops when neither an outsider nor any but a few candidates can reach the
-k-th best lower bound; the scores of those few are then resolved.
+contributions only fall.  A candidate's lower score bound is what was seen of it plus the least
+that the other lists can give, its upper bound has the next unread contribution of those lists
+instead.  An outsider, seen in no list yet, has the sum of all next contributions as its upper
+bound.  Reading stops as soon as no outsider can reach the k-th best lower bound, or none is
+left; then the final scores of the candidates whose upper bound reaches it are resolved.
 """
 
 from __future__ import annotations
@@ -21,61 +21,72 @@ from staylens.llm.common import staged
 #: Candidates whose lists one task holds at a time, and queries that read them there.
 CANDIDATES = 8192
 QUERIES = 1024
-#: Parts in which a list is read; bounds are looked at after each.
+#: Parts in which a list is read; outsiders are looked at after each.
 ROUNDS = 16
-#: Reading goes on while more than this share of a block might still qualify.
-RESOLVE = 0.05
+#: Above this share of candidates to resolve, the block is multiplied as it lies.
+GATHER = 0.2
 
 
 class Lists:
-    """The sorted lists of a block of candidates: per component, rows and values by falling value."""
+    """The sorted lists of a block of candidates: per component, rows and values by falling value.
+
+    Values are whole numbers held as doubles, so sums are exact up to 2**53.
+    """
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray) -> None:
         order = np.argsort(ids, kind="stable")
-        self.ids, self.vectors = ids[order], np.ascontiguousarray(vectors[order])
+        self.ids, self.vectors = ids[order], np.ascontiguousarray(vectors[order], dtype=np.float64)
         self.rows = np.argsort(-self.vectors.T, axis=1, kind="stable").astype(np.int32)
-        self.values = np.take_along_axis(self.vectors.T, self.rows, axis=1).astype(np.float64)
+        self.values = np.take_along_axis(self.vectors.T, self.rows, axis=1)
+        #: what a place of a list is worth above its last place, read from the top or the bottom
+        self.above = (self.values - self.values[:, -1:], self.values - self.values[:, :1])
 
     def top(self, own: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of the ``k`` best but ``own``, best first, ties to the smaller id."""
         n = len(self.ids)
+        query = query.astype(np.float64)
         skipped = slice(np.searchsorted(self.ids, own), np.searchsorted(self.ids, own, side="right"))
         # Lists of positive components are read from the top, of negative ones from the bottom.
-        sides = [(np.flatnonzero(query > 0), 1), (np.flatnonzero(query < 0), -1)]
-        worst = sum(float(self.values[c, -1 if way > 0 else 0] @ query[c]) for c, way in sides)
-        # The sum, over the lists a row was seen in, of what it has there above the worst.
-        seen = np.zeros(n)
+        sides = [(np.flatnonzero(query > 0), 0), (np.flatnonzero(query < 0), 1)]
+        worst = sum(float(self.values[c, side - 1] @ query[c]) for c, side in sides)
+        seen, outside = np.zeros(n), np.ones(n, dtype=bool)
         step = -(-n // ROUNDS)
         for at in range(0, n, step):
             end = min(at + step, n)
-            for c, way in sides:
-                part = slice(at, end) if way > 0 else slice(n - end, n - at)
-                least = self.values[c, -1 if way > 0 else 0]
-                gain = (self.values[c, part] - least[:, None]) * query[c][:, None]
-                seen += np.bincount(self.rows[c, part].ravel(), weights=gain.ravel(), minlength=n)
-            if end == n or n <= k + 1:
-                continue
+            for c, side in sides:
+                part = slice(n - end, n - at) if side else slice(at, end)
+                rows = self.rows[c, part].ravel()
+                gain = self.above[side][c, part]
+                gain *= query[c][:, None]
+                seen += np.bincount(rows, weights=gain.ravel(), minlength=n)
+                outside[rows] = False
+            outside[skipped] = False
             lower = seen + worst
             lower[skipped] = -np.inf
-            kth = np.partition(lower, n - k)[n - k]
-            following = [self.values[c, end if way > 0 else n - end - 1] for c, way in sides]
-            if sum(float(v @ query[c]) for v, (c, _) in zip(following, sides, strict=True)) >= kth:
-                continue  # an outsider, seen in no list, might qualify
-            # Each list a row was not seen in gives at most the next value above the worst.
-            upper = lower.copy()
-            for v, (c, way) in zip(following, sides, strict=True):
-                most = (v - self.values[c, -1 if way > 0 else 0]) * query[c]
-                rows = self.rows[c, slice(0, end) if way > 0 else slice(n - end, n)]
-                upper += most.sum() - np.bincount(rows.ravel(), weights=np.repeat(most, rows.shape[1]), minlength=n)
-            may = np.flatnonzero(upper >= kth)
-            if len(may) <= max(k, RESOLVE * n):
-                return self._best(may, self.vectors[may] @ query, k)
-        rest = np.delete(np.arange(n), np.arange(skipped.start, skipped.stop))
-        return self._best(rest, np.rint(seen[rest] + worst).astype(np.int64), k)
+            if end == n:
+                break
+            kth = np.partition(lower, n - k)[n - k] if n > k else -np.inf
+            # What a list has next above its worst, and so gives at most to rows not seen in it.
+            following = [self.above[side][c, n - end - 1 if side else end] * query[c] for c, side in sides]
+            if outside.any() and worst + sum(float(f.sum()) for f in following) >= kth:
+                continue
+            upper = lower + sum(float(f.sum()) for f in following)
+            for (c, side), most in zip(sides, following, strict=True):
+                rows = self.rows[c, slice(n - end, n) if side else slice(0, end)]
+                upper -= np.bincount(rows.ravel(), weights=np.repeat(most, rows.shape[1]), minlength=n)
+            may = np.flatnonzero((upper >= kth) & (upper > -np.inf))
+            few = len(may) < GATHER * n
+            scores = self.vectors[may] @ query if few else (self.vectors @ query)[may]
+            return self._best(may, scores, k)
+        rest = np.flatnonzero(lower > -np.inf)
+        return self._best(rest, lower[rest], k)
 
     def _best(self, rows: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(rows) > 4 * k:  # all ties with the k-th best stay
+            least = np.partition(scores, len(rows) - k)[len(rows) - k]
+            rows, scores = rows[scores >= least], scores[scores >= least]
         order = np.lexsort((self.ids[rows], -scores))[:k]
-        return self.ids[rows[order]], scores[order]
+        return self.ids[rows[order]], np.rint(scores[order]).astype(np.int64)
 
 
 def quantised(vectors: DataFrame, is_query: Column, scale: float, id_col: str, vector_col: str) -> DataFrame:
