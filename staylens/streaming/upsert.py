@@ -23,8 +23,9 @@ from pyspark.sql.types import StructType
 
 from staylens.functions.times import AsOf
 from staylens.operators.dedupe import dedupe_latest
-from staylens.operators.history import event_history
+from staylens.operators.history import event_history, plain_event_history
 from staylens.operators.schema_ops import cast_to_schema
+from staylens.operators.skew import HEAVY_MIN_ROWS
 from staylens.plans.silver_reviews import delivered_reviews
 from staylens.schemas import REVIEW, schema_of
 from staylens.sources.files import read_if_there
@@ -147,7 +148,11 @@ def affected_rows(accepted: DataFrame, versions: DataFrame | None) -> DataFrame:
 
 def changed_versions(affected: DataFrame) -> DataFrame:
     """The rows a batch adds: new reviews, and new versions of those that end elsewhere now."""
-    changed = event_history(affected).filter("_is_new OR NOT (end_date <=> _old_end)")
+    # The rows are at hand (persisted).  Up to this many no reviewer can be heavy, so the plan for
+    # heavy ones, which gives the same rows, is not even made.
+    small = affected.count() <= HEAVY_MIN_ROWS
+    history = plain_event_history(affected) if small else event_history(affected)
+    changed = history.filter("_is_new OR NOT (end_date <=> _old_end)")
     return cast_to_schema(changed.withColumn("gone", F.lit(False)), StructType.fromDDL(_WRITTEN))
 
 
