@@ -23,6 +23,8 @@ BROADCAST_BYTES = 32_000_000
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 #: Multiplier of the polynomial window hash, odd.
 BASE = np.uint64(0x9E3779B97F4A7C15)
+#: Column in which ``clean`` carries the hits of the parts before.
+HITS = "_decontaminate_hits"
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -222,29 +224,59 @@ def clean(
 
     A document with more than ``drop_share`` of its words hit goes; from the others the hit
     spans are cut.  Documents without a hit are returned as they are, null texts included.
-    A benchmark of several parts is applied part after part, which removes the same passages
-    as each part's windows are looked for in what is left.
+    The hits of all parts of a large benchmark are found in the whole text and united, as in
+    ``mark``; the share and the cuts are settled once, after the last part.
     """
-    for part in parts(benchmark, item_col, "text", limit):
-        docs = _clean_part(docs, part, drop_share, window, text_col)
-    return docs
+    at = docs.columns.index(text_col)
+    *others, last = parts(benchmark, item_col, "text", limit)
+    rows = docs.withColumn(HITS, F.lit(None).cast("array<int>")) if others else docs
+    for part in others:
+        rows = _add_hits(rows, part, window, at)
+    return _cut_hits(rows, docs, last, drop_share, window, at)
 
 
-def _clean_part(docs: DataFrame, part: list[tuple[str, bytes]], drop_share: float, window: int, text_col: str) -> DataFrame:
-    windows = docs.sparkSession.sparkContext.broadcast(Windows.of(part, window))
-    at = docs.columns.index(text_col)
+def _united(known: Windows, raw: bytes, before: list[int] | None) -> tuple[int, np.ndarray]:
+    """Number of words, and which are hit by these windows or were ``before``."""
+    n, hit, _ = known.hits(raw)
+    if before:
+        hit[before] = True
+    return n, hit
+
+
+def _add_hits(rows: DataFrame, part: list[tuple[str, bytes]], window: int, at: int) -> DataFrame:
+    windows = rows.sparkSession.sparkContext.broadcast(Windows.of(part, window))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = windows.value
+        for batch in batches:
+            found = []
+            for raw, before in zip(utf8(batch.column(at)), batch.column(batch.num_columns - 1).to_pylist(), strict=True):
+                found.append(np.flatnonzero(_united(known, raw, before)[1]).astype(np.int32))
+            arrays = [*batch.columns[:-1], pa.array(found, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(arrays, names=batch.schema.names)
+
+    return rows.mapInArrow(run, rows.schema)
+
+
+def _cut_hits(
+    rows: DataFrame, docs: DataFrame, part: list[tuple[str, bytes]], drop_share: float, window: int, at: int
+) -> DataFrame:
+    windows = rows.sparkSession.sparkContext.broadcast(Windows.of(part, window))
+    width = len(docs.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = windows.value
         for batch in batches:
             column, keep = batch.column(at).to_pylist(), np.ones(batch.num_rows, dtype=bool)
-            for i, raw in enumerate(utf8(batch.column(at))):
-                n, hit, _ = known.hits(raw)
+            marked = batch.column(width).to_pylist() if batch.num_columns > width else [None] * batch.num_rows
+            for i, (raw, before) in enumerate(zip(utf8(batch.column(at)), marked, strict=True)):
+                n, hit = _united(known, raw, before)
                 if hit.any():
                     keep[i] = hit.sum() <= drop_share * n
                     column[i] = remove_hits(raw, hit)
-            arrays = list(batch.columns)
+            arrays = list(batch.columns[:width])
             arrays[at] = pa.array(column, batch.schema.field(at).type)
-            yield pa.RecordBatch.from_arrays(arrays, schema=batch.schema).filter(pa.array(keep))
+            schema = pa.schema([batch.schema.field(i) for i in range(width)])
+            yield pa.RecordBatch.from_arrays(arrays, schema=schema).filter(pa.array(keep))
 
-    return docs.mapInArrow(run, docs.schema)
+    return rows.mapInArrow(run, docs.schema)

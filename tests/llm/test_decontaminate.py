@@ -79,3 +79,24 @@ def test_clean_cuts_spans_drops_and_leaves_the_rest(spark):
     df = documents(spark, [(1, f"{filler}. {passage.title()}! {filler}"), (2, passage), (3, filler), (4, None)], "1 AS keep")
     rows = {r.doc_id: r.text for r in decontaminate.clean(df, benchmark).collect()}
     assert rows == {1: f"{filler}. ! {filler}", 3: filler, 4: None}
+
+
+def test_clean_unites_the_hits_of_all_parts(spark):
+    # Overlapping windows, words that only a cut would join, and a share reached by both parts together.
+    a = [f"a{i}" for i in range(14)]
+    items = [(1, " ".join(a[:10])), (2, " ".join(a[4:])), (3, " ".join(f"c{i}" for i in range(10)))]
+    c = items[2][1].split()
+    benchmark = spark.createDataFrame(items, "item_id LONG, text STRING")
+    filler = " ".join(f"w{i}" for i in range(30))
+    rows = [
+        (1, f"{filler} {' '.join(a)} end"),
+        (2, f"{filler} {' '.join(c[:5])} {items[0][1]} {' '.join(c[5:])} end"),
+        (3, f"{items[0][1]} x {items[2][1]} {' '.join(filler.split()[:12])}"),
+        (4, None),
+    ]
+    df = documents(spark, rows, "1 AS keep")
+    want = {r.doc_id: r.text for r in decontaminate.clean(df, benchmark).collect()}
+    assert set(want) == {1, 2, 4} and want[1] == f"{filler}  end"
+    parts = decontaminate.clean(df, benchmark, limit=30)
+    assert parts.columns == df.columns
+    assert {r.doc_id: r.text for r in parts.collect()} == want
