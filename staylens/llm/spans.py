@@ -12,6 +12,7 @@ passage is covered to its last sentence.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,9 +25,11 @@ from staylens.llm.common import texts
 
 LEAST_SENTENCES = 3
 LEAST_WORDS = 20
-#: A long sentence is cut after a word with a comma or of ``LONG_WORD`` letters, once it has
-#: ``CLAUSE`` words: by what it says, so that copies are cut alike again soon after a change.
-CLAUSE, LONG_WORD, LONGEST = 5, 8, 10
+#: A sentence of over ``LONGEST`` words is cut after the word with the least hash of every ``NEAR``
+#: consecutive words, so a cut depends on a few words on either side of it, not on the cut before.
+#: Of a passage all copies are cut alike but for ``2 * NEAR - 1`` words at its start and ``2 * NEAR - 2``
+#: at its end; the 30 words left of 51 hold a run, which has at most ``LEAST_SENTENCES * LONGEST``.
+NEAR, LONGEST = 6, 10
 #: A sentence ends after its full stop and white space, at a line break, or when it is too long.
 PIECE = re.compile(r"\S+\s*")
 STOPS = ".!?…。"
@@ -38,28 +41,33 @@ def sentences(text: str) -> tuple[list[str], list[int], list[int]]:
     A sentence owns the white space after it, so the ends cut the whole text (what comes before
     the first word belongs to the first sentence).
     """
-    found: list[str] = []
-    ends: list[int] = []
-    sizes: list[int] = []
-    words: list[str] = []
-    end = 0
-    for piece in PIECE.findall(text, len(text) - len(text.lstrip())):
-        end += len(piece)
-        word = piece.rstrip()
-        words.append(word)
-        size = len(words)
-        clause = size >= CLAUSE and (size == LONGEST or len(word) >= LONG_WORD or word[-1] == ",")
-        if clause or word[-1] in STOPS or "\n" in piece:
-            found.append(" ".join(words).lower())
-            ends.append(end)
-            sizes.append(size)
-            words = []
-    if words:
-        found.append(" ".join(words).lower())
-        ends.append(end)
-        sizes.append(len(words))
     lead = len(text) - len(text.lstrip())
-    return found, [e + lead for e in ends], sizes
+    pieces = PIECE.findall(text, lead)
+    if not pieces:
+        return [], [], []
+    words = [p.rstrip() for p in pieces]
+    stop = np.array([w[-1] in STOPS or "\n" in p for w, p in zip(words, pieces, strict=True)])
+    stop[-1] = True
+    last = np.flatnonzero(stop | least_words_of(words, stop))
+    ends = (np.cumsum(np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces)))[last] + lead).tolist()
+    sizes = np.diff(last, prepend=-1).tolist()
+    found = [" ".join(words[a : b + 1]).lower() for a, b in zip([0, *(last[:-1] + 1).tolist()], last.tolist(), strict=True)]
+    return found, ends, sizes
+
+
+def least_words_of(words: list[str], stop: np.ndarray) -> np.ndarray:
+    """Which words have the least hash, the last of equal ones, of ``NEAR`` words of one long sentence."""
+    least = np.zeros(len(words), dtype=bool)
+    sizes = np.diff(np.flatnonzero(stop), prepend=-1)
+    long = np.repeat(sizes > LONGEST, sizes)
+    if not long.any():
+        return least
+    hashes = np.fromiter((zlib.crc32(w.lower().encode("utf-8", "replace")) for w in words), dtype=np.uint32, count=len(words))
+    stops = np.concatenate([[0], np.cumsum(stop)])
+    whole = np.flatnonzero((stops[NEAR - 1 : -1] == stops[:-NEAR]) & long[: 1 - NEAR])
+    window = np.lib.stride_tricks.sliding_window_view(hashes, NEAR)[whole, ::-1]
+    least[whole + NEAR - 1 - window.argmin(axis=1)] = True
+    return least
 
 
 def runs(sizes: list[int], least_sentences: int, least_words: int) -> list[tuple[int, int]]:
@@ -114,6 +122,9 @@ def occurrences(docs: DataFrame, least_sentences: int, least_words: int, id_col:
         keep = np.append(True, ~same)
         every, rank = every[keep], rank[keep]
         again = np.append(False, every[1:, 0] == every[:-1, 0])
+        # In document order: rows of one document lie together and compress well.
+        order = np.argsort(rank, kind="stable")
+        every, rank, again = every[order], rank[order], again[order]
         names = np.array(sorted(set(owners)), dtype=object)
         no_id, ids, keys = (np.array([o[i] for o in names], dtype=k) for i, k in ((0, bool), (1, np.int64), (2, np.int64)))
         for at in range(0, len(every), 1 << 16):

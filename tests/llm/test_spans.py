@@ -72,3 +72,21 @@ def test_passage_goes_from_all_but_the_first(spark):
 
 def test_empty_table(spark):
     assert spans.dedup(documents(spark, [])).collect() == []
+
+
+def test_passages_of_51_words_at_every_offset_without_punctuation(spark):
+    rng = random.Random(8)
+    passage = [f"p{rng.randrange(10**6)}" for _ in range(51)]
+    rows = []
+    for i in range(40):
+        before = [f"b{rng.randrange(10**6)}" for _ in range(i)]
+        after = [f"e{rng.randrange(10**6)}" for _ in range(30)]
+        rows.append((i, " ".join(before + passage + after)))
+    got = {r.doc_id: r for r in spans.dedup(documents(spark, rows)).collect()}
+    assert got[0].text == rows[0][1]
+    for i in range(1, 40):
+        left = set(got[i].text.split())
+        assert got[i].removed_words >= 51 - 4 * spans.NEAR + 3
+        # Only words of the passage go, and none from its middle stays.
+        assert not left & set(passage[2 * spans.NEAR - 1 : 51 - 2 * spans.NEAR + 2])
+        assert all(w in left or w in passage for w in rows[i][1].split())
