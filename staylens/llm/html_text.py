@@ -28,8 +28,17 @@ from staylens.llm.html_pages import labelled_pages
 
 # How the markup language treats its elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe textarea title svg math select option object canvas".split())
+RAW = frozenset("script style template iframe textarea title svg".split())
 NEVER = RAW | frozenset("head button input form nav".split())
+#: Nodes that stand in a line of text: they neither close a paragraph nor end its block.
+PHRASING = RAW - {"title"} | frozenset("area audio button embed img input link meta param source track video".split())
+#: Their text belongs to the block around them.  What separates words on the page does so in the text.
+THROUGH = frozenset(
+    "object canvas noscript select optgroup option picture map ruby rb rt rtc rp output meter progress slot nobr "
+    "math semantics annotation annotation-xml mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded "
+    "mphantom msub msup msubsup munder mover munderover mmultiscripts mprescripts mtable mtr mtd".split()
+)
+APARTED = frozenset("img svg iframe embed input textarea audio video button object canvas select optgroup option mspace mtr mtd".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike "
     "strong sub sup time tt u var wbr".split()
@@ -37,7 +46,7 @@ INLINE = frozenset(
 #: An opening tag closes an open element of its own kind up to the nearest of these.
 CLOSES = {
     "p": {"p"}, "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"},
-    "td": {"td", "th", "p"}, "th": {"td", "th", "p"}, "option": {"option"},
+    "td": {"td", "th", "p"}, "th": {"td", "th", "p"},
 }
 #: Blocks close an open paragraph.
 SCOPES = frozenset("html body table td th ul ol dl div section article main aside nav header footer form blockquote".split())
@@ -77,13 +86,16 @@ def parse(source: str) -> Page:
     """The tree and its text blocks; broken, unclosed and cut-off markup is read as far as it goes.
 
     Inline elements are no nodes: their text belongs to the block around them.  Elements whose
-    inside is no text for readers are nodes without blocks.
+    inside is no text for readers are nodes without blocks.  A button, audio or video has blocks
+    of its own within a block that goes on after it.
     """
     nodes = [Node("#root", -1)]
     stack = [0]
     links = 0
     parts: list[str] = []
     blocks: list[tuple[int, str]] = []
+    #: Text before an open phrasing node, by the depth of that node.
+    waiting: dict[int, list[str]] = {}
 
     def end_block() -> None:
         text = " ".join("".join(parts).split())
@@ -99,8 +111,11 @@ def parse(source: str) -> Page:
             nodes[stack[-1]].link_chars += size
 
     def close_to(depth: int) -> None:
-        end_block()
-        del stack[depth:]
+        # What waits is text of a node further up: of the one that stays, it goes on.
+        while len(stack) > depth:
+            end_block()
+            stack.pop()
+            parts.extend(waiting.pop(len(stack), ()))
 
     at, end = 0, len(source)
     while at < end:
@@ -118,6 +133,10 @@ def parse(source: str) -> Page:
         name, marked = token["name"].lower(), False
         if name[0] == "*":
             name, marked = name[1:], True
+        if name in APARTED:
+            parts.append(" ")
+        if name in THROUGH:
+            continue
         if token["close"]:
             if name in INLINE:
                 links -= name == "a" and links > 0
@@ -125,24 +144,26 @@ def parse(source: str) -> Page:
             for depth in range(len(stack) - 1, 0, -1):
                 if nodes[stack[depth]].tag == name:
                     close_to(depth)
-                    links = 0
+                    links = links if name in PHRASING else 0
                     break
             else:
-                end_block()
+                if name not in PHRASING:
+                    end_block()
             continue
         if name in INLINE:
             links += name == "a"
             if name == "br":
                 parts.append(" ")
             continue
-        end_block()
-        closes = CLOSES.get(name, {"p"})
-        for depth in range(len(stack) - 1, 0, -1):
-            tag = nodes[stack[depth]].tag
-            if tag in closes:
-                close_to(depth)
-            elif tag in SCOPES:
-                break
+        if name not in PHRASING:
+            end_block()
+            closes = CLOSES.get(name, {"p"})
+            for depth in range(len(stack) - 1, 0, -1):
+                tag = nodes[stack[depth]].tag
+                if tag in closes:
+                    close_to(depth)
+                elif tag in SCOPES or tag in PHRASING:
+                    break
         names = tuple(w for m in NAMES.finditer(token["rest"]) for w in WORD.findall((m[1] or m[2] or m[3] or "").lower()))
         nodes.append(Node(name, stack[-1], names, marked))
         nodes[stack[-1]].children.append(len(nodes) - 1)
@@ -152,8 +173,13 @@ def parse(source: str) -> Page:
             close = re.compile(rf"</{re.escape(name)}\s*[^>]*(?:>|\Z)", re.I).search(source, at)
             at = close.end() if close else end
             continue
+        if name in PHRASING:
+            waiting[len(stack)] = parts[:]
+            parts.clear()
+        else:
+            links = 0
         stack.append(len(nodes) - 1)
-        links = 0
+    close_to(1)
     end_block()
     return Page(nodes, blocks)
 

@@ -63,3 +63,30 @@ def test_rows(spark):
     assert got[:4] == [("1", "u", text, len(text))] * 2 + [("2", "None", "", 0), ("3", "w", got[3][2], len(got[3][2]))]
     assert got[3][3] > 1_000_000 and got[4] == ("None", "v", "", 0)
     assert html_text.extract(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize(
+    "inside",
+    ["<img src=x>", "<svg><text>no</text></svg>", "<script>var x = '<p>no</p>'</script>", "<iframe src=x>no</iframe>",
+     "<input name=q>", "<button>no</button>", "<button><p>no</p></button>", "<video src=x></video>", "<style>no</style>"],
+)
+def test_elements_in_a_line_of_text_do_not_end_its_block(inside):
+    words = "some words that are long enough to be read by people"
+    source = f"<body><div><p>{words} {inside} and {words}</p><p>Another one, {words}</p></div></body>"
+    page = html_text.parse(source)
+    said = [(page.nodes[n].tag, t) for n, t in page.blocks if "no" not in t.split()]
+    assert said == [("p", f"{words} and {words}"), ("p", f"Another one, {words}")]
+
+
+def test_text_of_math_and_objects_is_kept():
+    words = "some words that are long enough to be read by people"
+    source = (
+        f"<body><article><h1>T</h1><p>{words} <math><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow></math> holds, "
+        f"<object data=x><param name=y>a map</object> {words}</p><p>{words} <noscript>plainly</noscript></p></article></body>"
+    )
+    assert html_text.main_text(source, MODEL).split("\n")[1:] == [f"{words} x=2 holds, a map {words}", f"{words} plainly"]
+
+
+def test_unclosed_button_does_not_swallow_its_paragraph():
+    page = html_text.parse("<div><p>one <button>go</p><p>two</p></div>")
+    assert [(page.nodes[n].tag, t) for n, t in page.blocks] == [("button", "go"), ("p", "one"), ("p", "two")]
