@@ -11,6 +11,7 @@ from staylens.llm import (
     decontaminate,
     html_text,
     language_model,
+    manifest,
     packing,
     quality,
     secret_scan,
@@ -67,6 +68,16 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of all documents, checked against texts of which half have lost their line breaks."""
+    text = F.col("text")
+    odd = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    claim = {"text": F.when(odd, F.replace(text, F.lit("\n"), F.lit(""))).otherwise(text)}
+    found = manifest.manifest(table(spark, sf_dir, "documents"), claim=claim)
+    proof = F.sha2(F.array_join("proof", "").cast("binary"), 256).alias("proof_sha256")
+    return found.select("doc_id", "leaf", "subroot", "root", proof, "folded_root", "verified")
+
+
 def _ready(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         on_workers(spark)
@@ -89,6 +100,7 @@ QUERIES = {
         op8_wavelet_tokens,
         op9_language_model,
         op10_best_fit_packing,
+        op11_merkle_manifest,
     )
 }
 
@@ -138,4 +150,67 @@ ORACLE_SQL: dict[str, str] = {
                n_hit.n IS NOT NULL AS contaminated
         FROM w LEFT JOIN n_hit USING (r) LEFT JOIN items USING (r) WHERE side = 'd'
     """,
+    # A tree is a source; tree 0 is the one over the sources.  crc32 is spelt out bit by bit.
+    "op11_merkle_manifest": r"""
+        WITH RECURSIVE said AS (
+            SELECT row_number() OVER () AS r, doc_id, source, text,
+                   concat(CASE WHEN doc_id IS NULL THEN '-' ELSE strlen(doc_id::VARCHAR) || ':' || doc_id END,
+                          CASE WHEN source IS NULL THEN '-' ELSE strlen(source) || ':' || source END,
+                          CASE WHEN lang IS NULL THEN '-' ELSE strlen(lang) || ':' || lang END,
+                          CASE WHEN n_chars IS NULL THEN '-' ELSE strlen(n_chars::VARCHAR) || ':' || n_chars END) AS head,
+                   (list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ord(x)::UBIGINT)),
+                       lambda c, b: list_reduce([xor(c, b), 0::UBIGINT, 0::UBIGINT, 0::UBIGINT, 0::UBIGINT, 0::UBIGINT,
+                                                 0::UBIGINT, 0::UBIGINT, 0::UBIGINT],
+                           lambda x, y: xor(x >> 1, 3988292384::UBIGINT * (x & 1::UBIGINT)) + y)) & 1) = 1 AS even
+            FROM documents
+        ), leaves AS (
+            SELECT *, sha256(head || CASE WHEN text IS NULL THEN '-' ELSE strlen(text) || ':' || text END) AS leaf,
+                   CASE WHEN even THEN replace(text, chr(10), '') ELSE text END AS shown
+            FROM said
+        ), placed AS (
+            SELECT r, doc_id, leaf, sha256(head || CASE WHEN shown IS NULL THEN '-' ELSE strlen(shown) || ':' || shown END) AS claimed,
+                   dense_rank() OVER (ORDER BY source NULLS FIRST) AS tree,
+                   row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+                   count(*) OVER (PARTITION BY source) AS n
+            FROM leaves
+        ), up AS (
+            SELECT tree, 0 AS level, pos, n, leaf AS h FROM placed
+            UNION ALL
+            SELECT tree, level + 1, pos // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY pos))
+            FROM up WHERE n > 1 GROUP BY tree, level, pos // 3, n
+        ), subroots AS (
+            SELECT tree, level AS height, h FROM up WHERE n = 1
+        ), over AS (
+            SELECT 0 AS tree, 0 AS level, tree - 1 AS pos, (SELECT count(*) FROM subroots) AS n, h FROM subroots
+            UNION ALL
+            SELECT 0, level + 1, pos // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY pos))
+            FROM over WHERE n > 1 GROUP BY level, pos // 3, n
+        ), nodes AS (
+            SELECT * FROM up WHERE n > 1 UNION ALL SELECT * FROM over WHERE n > 1
+        ), ways AS (
+            SELECT r, p.tree, height, level, (pos // (3 ** level)::BIGINT)::BIGINT AS at, level AS step
+            FROM placed p JOIN subroots s USING (tree), unnest(range(height)) t(level)
+            UNION ALL
+            SELECT r, 0, height, level, ((tree - 1) // (3 ** level)::BIGINT)::BIGINT, height + level
+            FROM placed p JOIN subroots s USING (tree), (SELECT DISTINCT level FROM over WHERE n > 1)
+        ), steps AS (
+            SELECT w.r, w.step, coalesce(string_agg(x.h, '' ORDER BY x.pos) FILTER (x.pos < w.at), '') AS before,
+                   coalesce(string_agg(x.h, '' ORDER BY x.pos) FILTER (x.pos > w.at), '') AS after
+            FROM ways w JOIN nodes x ON x.tree = w.tree AND x.level = w.level AND x.pos // 3 = w.at // 3
+            GROUP BY w.r, w.step
+        ), folded AS (
+            SELECT r, 0 AS step, claimed AS h FROM placed
+            UNION ALL
+            SELECT f.r, f.step + 1, sha256(s.before || f.h || s.after) FROM folded f JOIN steps s ON s.r = f.r AND s.step = f.step
+        ), ends AS (
+            SELECT r, arg_max(h, step) AS folded_root FROM folded GROUP BY r
+        ), proofs AS (
+            SELECT r, sha256(string_agg(before || after, '' ORDER BY step)) AS proof_sha256 FROM steps GROUP BY r
+        ), top AS (
+            SELECT h AS root FROM over WHERE n = 1
+        )
+        SELECT p.doc_id, p.leaf, s.h AS subroot, top.root, coalesce(proof_sha256, sha256('')) AS proof_sha256,
+               e.folded_root, e.folded_root = top.root AS verified
+        FROM placed p JOIN subroots s USING (tree) JOIN ends e USING (r) LEFT JOIN proofs USING (r), top
+    """,
 }

@@ -13,7 +13,7 @@ FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="benchmark tables are not here")
 
 
-@pytest.mark.parametrize("name", ["op1_exact_topk", "op7_benchmark_decontamination"])
+@pytest.mark.parametrize("name", ["op1_exact_topk", "op7_benchmark_decontamination", "op11_merkle_manifest"])
 def test_query_agrees_with_sql(spark, name):
     assert name in entry.oracle_sql()
     assert check(spark, connect(FOLDER), FOLDER, name) is None
