@@ -13,6 +13,7 @@ from staylens.llm import (
     language_model,
     manifest,
     packing,
+    pieces,
     quality,
     secret_scan,
     simhash,
@@ -78,6 +79,18 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "leaf", "subroot", "root", proof, "folded_root", "verified")
 
 
+def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and decoded text of every document, as digests."""
+    found = pieces.encoded(table(spark, sf_dir, "documents"))
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(ids.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def _ready(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         on_workers(spark)
@@ -101,6 +114,7 @@ QUERIES = {
         op9_language_model,
         op10_best_fit_packing,
         op11_merkle_manifest,
+        op12_sentencepiece,
     )
 }
 
