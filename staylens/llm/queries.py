@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from staylens.llm import (
+    align,
     decontaminate,
     html_text,
     language_model,
@@ -91,6 +92,11 @@ def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups, links and link counts of the two tokenizers over all documents."""
+    return align.statistics(table(spark, sf_dir, "documents"))
+
+
 def _ready(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         on_workers(spark)
@@ -115,6 +121,7 @@ QUERIES = {
         op10_best_fit_packing,
         op11_merkle_manifest,
         op12_sentencepiece,
+        op13_token_alignment,
     )
 }
 
