@@ -5,9 +5,10 @@ hash-set intersection of the ends, sorted, cuts both id lists into groups: the s
 both tokenizers cover with whole tokens.  Within a group every token of one side is linked to every
 token of the other.
 
-A text is aligned word by word: before white space that follows a word, and before the punctuation
-behind it, both tokenizers cut, so those places are common ends and the groups of a text are those
-of its words, one after the other.  A worker remembers the groups of words it has seen.
+A text is cut into words: before white space that follows a word, and before the punctuation behind
+it, both tokenizers cut, so those places are common ends and the groups of a text are those of its
+words, one after the other.  A worker remembers the groups of words it has seen; unseen words of
+many texts are aligned together, as if they were one text.
 
 How often a pair of ids is linked is counted in documents over all of them.  Documents go through in
 blocks.  A block sends each of its pairs once, with the number of its documents that hold it; the
@@ -34,11 +35,13 @@ from staylens.llm.pieces import BLANK, MODEL, pieces
 from staylens.llm.tokens import SPACE, TAIL, Encoder, public_path
 
 TOKENIZER = "byte_bpe_50k.json"
-#: Words, and parts of words, remembered per worker (some 250 MB), and the longest one remembered.
-MEMORY = 400_000
+#: Words remembered per worker (some 250 MB), and the longest one remembered.
+MEMORY = 600_000
 LONGEST = 64
 #: A word with the white space before it.  Tabs and the like may be one piece with what they follow.
-WORDS = re.compile(f"[{SPACE}]*[^{SPACE}]+(?:(?![ \n])[{SPACE}][{SPACE}]*[^{SPACE}]*)*|[{SPACE}]+")
+WORD = f"[{SPACE}]*[^{SPACE}]+(?:(?![ \n])[{SPACE}][{SPACE}]*[^{SPACE}]*)*|[{SPACE}]+"
+#: Punctuation up to the end of a word.
+LAST = f"[{re.escape(TAIL)}]+(?=[ \n]|\\Z)"
 #: Texts handled together, and the links after which a block of documents ends.
 TOGETHER = 64
 BLOCK_LINKS = 2_000_000
@@ -100,55 +103,48 @@ class Aligner:
             raise ValueError(f"{path_a} or {path_b} changes white space or joins words")
         self.bytes_a, self.bytes_b = self.a.token_bytes(), self.b.token_bytes()
         self.size_a, self.size_b = ([len(x) for x in of] for of in (self.bytes_a, self.bytes_b))
+        # Letters and digits that are never one piece with punctuation.
+        joined = "".join({x for x, y in self.b.joined if y in TAIL and x.isalnum()})
+        letter = f"[^\\W_{re.escape(joined)}]"
+        plain = f"[{SPACE}]*{letter}+(?=[ \n]|\\Z|{LAST})"
+        self.split = re.compile(f"{plain}|(?<={letter}){LAST}|[{SPACE}]*[^{SPACE}]*{letter}(?={LAST})|{WORD}")
+        self.marked = re.compile("|".join(map(re.escape, self.a.special)))
         self.words: dict[str, Known] = {}
-        self.parts: dict[str, Known] = {}
-
-    def _cut(self, word: str) -> list[str]:
-        """A word and the punctuation after it, where neither side joins them."""
-        core = word.rstrip(TAIL)
-        n = len(core)
-        if not 0 < n < len(word) or not core[-1].isalnum() or word[n - 1 : n + 1] in self.b.joined:
-            return [word]
-        return [core, word[n:]]
-
-    def _known(self, text: str, a: list[int], b: list[int]) -> Known:
-        raw = text.encode()
-        if b"".join(map(self.bytes_a.__getitem__, a)) != raw or b"".join(map(self.bytes_b.__getitem__, b)) != raw:
-            return 0, 0, None, b""
-        said, links = [], array("q")
-        for x, y in slices(a, b, self.size_a, self.size_b):
-            if len(x) == len(y) == 1:
-                said.append(f"{x[0]}|{y[0]}")
-                links.append(x[0] << 32 | y[0])
-            else:
-                said.append(f"{','.join(map(str, x))}|{','.join(map(str, y))}")
-                links.extend([i << 32 | j for i in x for j in y])
-        return len(a), len(b), ";".join(said), links.tobytes()
 
     def _ids(self, new: list[str]) -> list[bytes]:
         """The first side's ids, many in one call but where a special token's string is in the way."""
-        marked = re.compile("|".join(map(re.escape, self.a.special)))
-        self.a.memory = {x: self.a._whole(x) for x in new if marked.search(x)}
+        self.a.memory = {x: self.a._whole(x) for x in new if self.marked.search(x)}
         self.a._encode([x for x in new if x not in self.a.memory])
         return [self.a.memory[x] for x in new]
 
-    def _learn(self, unseen: set[str]) -> None:
-        cut = [(word, self._cut(word)) for word in unseen]
-        new = list(set(chain.from_iterable(p for _, p in cut)).difference(self.parts))
-        for part, raw in zip(new, self._ids(new), strict=True):
-            own = self.b._chunk(part.replace(" ", BLANK))
-            self.parts[part] = self._known(part, array("I", raw).tolist(), array("I", own).tolist())
-        known = self.parts
-        for word, found in cut:
-            if len(found) == 1:
-                self.words[word] = known[word]
-                continue
-            x, y = known[found[0]], known[found[1]]
-            said = None if x[2] is None or y[2] is None else f"{x[2]};{y[2]}"
-            self.words[word] = (x[0] + y[0], x[1] + y[1], said, x[3] + y[3])
-        for part in new:
-            if len(part) > LONGEST:
-                del self.parts[part]
+    def _learn(self, new: list[str]) -> None:
+        """Align unseen words, all of them as one text: where they meet, both sides end."""
+        flat_a: list[int] = []
+        flat_b: list[int] = []
+        sizes = []
+        bytes_a, bytes_b = self.bytes_a.__getitem__, self.bytes_b.__getitem__
+        for word, raw in zip(new, self._ids(new), strict=True):
+            a, b = array("I", raw).tolist(), array("I", self.b._chunk(word.replace(" ", BLANK))).tolist()
+            said = word.encode()
+            if b"".join(map(bytes_a, a)) == said == b"".join(map(bytes_b, b)):
+                flat_a += a
+                flat_b += b
+                sizes.append((word, len(a), len(b)))
+            else:
+                self.words[word] = (0, 0, None, b"")
+        found = slices(flat_a, flat_b, self.size_a, self.size_b)
+        for word, n_a, n_b in sizes:
+            groups, links, left = [], array("q"), n_a
+            while left:
+                a, b = next(found)
+                left -= len(a)
+                if len(a) == len(b) == 1:
+                    groups.append(f"{a[0]}|{b[0]}")
+                    links.append(a[0] << 32 | b[0])
+                else:
+                    groups.append(f"{','.join(map(str, a))}|{','.join(map(str, b))}")
+                    links.extend([i << 32 | j for i in a for j in b])
+            self.words[word] = (n_a, n_b, ";".join(groups), links.tobytes())
 
     def align(self, some: list[str]) -> list[tuple[int, int, str, bytes]]:
         """Per text the tokens of either side, the groups as text and the links.
@@ -156,16 +152,13 @@ class Aligner:
         Without tokens (zeros and an empty text) are texts that are empty, and those where the joined tokens
         of a side are not a blank and the text.
         """
-        for memory in (self.words, self.parts):
-            if len(memory) > MEMORY:
-                kept = dict(islice(memory.items(), MEMORY // 2))
-                memory.clear()
-                memory.update(kept)
+        if len(self.words) > MEMORY:
+            self.words = dict(islice(self.words.items(), MEMORY // 2))
         normal = self.b.library.normalize
         # The model may change a text; then its tokens are not the text's bytes.
         whole = [t if t and BLANK not in t and normal(t) == BLANK + t.replace(" ", BLANK) else "" for t in some]
-        split = [WORDS.findall(" " + t) if t else [] for t in whole]
-        unseen = set(chain.from_iterable(split)).difference(self.words)
+        split = [self.split.findall(" " + t) if t else [] for t in whole]
+        unseen = list(set(chain.from_iterable(split)).difference(self.words))
         if unseen:
             self._learn(unseen)
         known = self.words.__getitem__
