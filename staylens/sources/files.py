@@ -139,6 +139,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(system.globStatus(target))
 
 
+def folder_names(spark: SparkSession, pattern: str) -> list[str]:
+    """The names of the folders that a glob matches."""
+    target, system = _located(spark, pattern)
+    return [status.getPath().getName() for status in system.globStatus(target) or []]
+
+
 def hidden_path(path: str, kind: str) -> str:
     """A name beside a table that Spark's readers skip."""
     folder, _, name = path.rstrip("/").rpartition("/")

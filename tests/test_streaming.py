@@ -206,3 +206,100 @@ def test_the_latest_copy_wins_in_any_order_and_layout(spark, tmp_path, buckets):
     upsert.compact(spark, path, target, buckets)
     upsert.upsert_batch(frame(batches[0]), 7, target, AS_OF, buckets)  # older copies change nothing
     assert shown(upsert.read_reviews(spark, target)) == expected
+
+
+def silver_rows(df):
+    return sorted(map(str, df.select(*schema_of("Review").names).collect()))
+
+
+@pytest.mark.parametrize(("buckets", "months"), [(1, 1), (5, 1)])
+def test_reviews_that_move_between_slices_and_reviewers(spark, tmp_path, buckets, months):
+    rng = random.Random(11)
+    start = datetime(2023, 1, 1)
+    rows = [
+        (rng.randrange(20), rng.randrange(3), rng.choice([None, start + timedelta(days=rng.randrange(500))]), start + timedelta(hours=n), f"t{n}")
+        for n in range(80)
+    ]
+
+    def frame(part):
+        df = spark.createDataFrame(part, "id BIGINT, reviewer_id BIGINT, date TIMESTAMP, ingestion_ts TIMESTAMP, comments STRING")
+        return cast_to_schema(df, schema_of("reviews"))
+
+    path = str(tmp_path / "silver")
+    for n in range(4):
+        upsert.upsert_batch(frame(rows[20 * n : 20 * n + 20]), n, path, AS_OF, buckets, months)
+        seen = rows[: 20 * n + 20]
+        assert silver_rows(upsert.read_reviews(spark, path)) == silver_rows(clean_reviews(frame(seen), AS_OF))
+    with pytest.raises(ValueError, match="compact"):
+        upsert.upsert_batch(frame(rows[:1]), 4, path, AS_OF, buckets, months + 1)
+
+
+def test_a_batch_reads_touched_buckets_and_late_slices_only(spark, tmp_path, monkeypatch):
+    start, buckets = datetime(2022, 1, 15), 8
+    # One review per reviewer and month, over two years.
+    old = [(100 * r + m, r, start + timedelta(days=30 * m)) for r in range(12) for m in range(24)]
+    path = str(tmp_path / "silver")
+    upsert.upsert_batch(bronze_frame(spark, old), 0, path, AS_OF, buckets, 1)
+    before = {f: os.stat(f).st_mtime_ns for f in map(str, (tmp_path / "silver").rglob("*.parquet"))}
+    read = {}
+
+    def watched(name):
+        real = getattr(upsert, name)
+
+        def run(rows, stored):
+            read[name] = stored
+            return real(rows, stored)
+
+        monkeypatch.setattr(upsert, name, run)
+
+    watched("accepted_rows")
+    watched("affected_rows")
+    new = [(9000, 3, datetime(2024, 2, 1)), (9001, 7, datetime(2024, 2, 2))]
+    upsert.upsert_batch(bronze_frame(spark, new), 1, path, AS_OF, buckets, 1)
+
+    def bucket_of(values):
+        df = spark.createDataFrame([(v,) for v in values], "k BIGINT")
+        return {r.b for r in df.select(upsert._bucket(buckets, "k").alias("b")).collect()}
+
+    files = lambda df: {r[0] for r in df.select("_metadata.file_path").distinct().collect()}
+    rows = read["affected_rows"]
+    assert {r.bucket for r in rows.select("bucket").distinct().collect()} == bucket_of([3, 7])
+    last = max(at for _, _, at in old)
+    assert {r["slice"] for r in rows.select("slice").distinct().collect()} == {last.year * 12 + last.month - 1}
+    assert len(files(rows)) == len(bucket_of([3, 7]))
+    ids = read["accepted_rows"]
+    assert {r.bucket for r in ids.select("bucket").distinct().collect()} <= bucket_of([9000, 9001])
+    # No old file is touched, and the state is that of one batch run.
+    assert all(os.stat(f).st_mtime_ns == at for f, at in before.items())
+    assert silver_rows(upsert.read_reviews(spark, path)) == silver_rows(clean_reviews(bronze_frame(spark, old + new), AS_OF))
+    # An early date reads from there on.
+    upsert.upsert_batch(bronze_frame(spark, [(9002, 3, datetime(2023, 6, 1))]), 2, path, AS_OF, buckets, 1)
+    months = {r["slice"] for r in read["affected_rows"].select("slice").distinct().collect()}
+    assert min(months) == 2023 * 12 + 4 and max(months) == 2024 * 12 + 1
+
+
+def test_a_batch_cut_off_between_index_and_rows_is_written_again(spark, tmp_path, monkeypatch):
+    path, rows = str(tmp_path / "silver"), random_reviews(40, 3)
+    real = upsert._write
+    upsert.upsert_batch(bronze_frame(spark, rows[:20]), 0, path, AS_OF)
+
+    def fails(*_):
+        raise OSError("no disk")
+
+    monkeypatch.setattr(upsert, "_write", fails)
+    with pytest.raises(OSError, match="no disk"):
+        upsert.upsert_batch(bronze_frame(spark, rows[20:]), 1, path, AS_OF)
+    monkeypatch.setattr(upsert, "_write", real)
+    upsert.upsert_batch(bronze_frame(spark, rows[20:]), 1, path, AS_OF)
+    assert silver_rows(upsert.read_reviews(spark, path)) == silver_rows(clean_reviews(bronze_frame(spark, rows), AS_OF))
+
+
+def test_a_table_without_an_index_is_compacted_first(spark, tmp_path):
+    path, target, rows = str(tmp_path / "silver"), str(tmp_path / "new"), random_reviews(30, 4)
+    upsert.upsert_batch(bronze_frame(spark, rows[:20]), 0, path, AS_OF)
+    (tmp_path / "silver" / "_index").rename(tmp_path / "aside")
+    with pytest.raises(ValueError, match="index"):
+        upsert.upsert_batch(bronze_frame(spark, rows[20:]), 1, path, AS_OF)
+    upsert.compact(spark, path, target)
+    upsert.upsert_batch(bronze_frame(spark, rows[20:]), 1, target, AS_OF)
+    assert silver_rows(upsert.read_reviews(spark, target)) == silver_rows(clean_reviews(bronze_frame(spark, rows), AS_OF))
