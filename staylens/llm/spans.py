@@ -30,6 +30,10 @@ LEAST_WORDS = 20
 #: Of a passage all copies are cut alike but for ``2 * NEAR - 1`` words at its start and ``2 * NEAR - 2``
 #: at its end; the 30 words left of 51 hold a run, which has at most ``LEAST_SENTENCES * LONGEST``.
 NEAR, LONGEST = 6, 10
+#: Bits of the hash of a run beside its 64, and bits for the number of its sentences (31 are for the first).
+EXTRA, UNITS = 23, 9
+#: An odd number that spreads rows.
+SPREAD = np.int64(0x5851F42D4C957F2D)
 #: A sentence ends after its full stop and white space, at a line break, or when it is too long.
 PIECE = re.compile(r"\S+\s*")
 STOPS = ".!?…。"
@@ -84,11 +88,13 @@ def runs(sizes: list[int], least_sentences: int, least_words: int) -> list[tuple
 
 
 def occurrences(docs: DataFrame, least_sentences: int, least_words: int, id_col: str, text_col: str) -> DataFrame:
-    """``(run, no_id, doc_id, text_hash, first, end, again)``: what a task knows of its runs.
+    """``(run, doc_id, text_hash, at)``: what a task knows of its runs, in four longs a row.
 
-    For each run a task sends its first occurrence, which competes with those of other tasks.
-    Its other occurrences are repeats whatever the others hold (``again``); they keep their own
-    place in the shuffle, so a run that is everywhere sends a row per task.
+    A run is identified by 87 bits of its hash: ``run``, and ``EXTRA`` bits in ``at``.  Below them ``at`` has
+    the run's first sentence and how many it has.  For each run a task sends its first occurrence,
+    which competes with those of other tasks.  Its other occurrences are repeats whatever the others
+    hold: their ``at`` is negative, and ``run`` is a number of their own, which spreads them in the shuffle,
+    so a run that is everywhere sends a row per task.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,11 +109,13 @@ def occurrences(docs: DataFrame, least_sentences: int, least_words: int, id_col:
                 joined = "\n".join(said).encode()
                 lengths = np.fromiter((len(s.encode()) + 1 for s in said), dtype=np.int64, count=len(said))
                 at = np.concatenate([[0], np.cumsum(lengths)]).tolist()
-                digest = xxhash.xxh64_intdigest
-                hashes = np.array([digest(joined[at[a] : at[b] - 1]) for a, b in spans], dtype=np.uint64).view(np.int64)
-                rows = np.empty((len(spans), 4), dtype=np.int64)
-                rows[:, 0], rows[:, 1] = hashes, len(owners)
-                rows[:, 2:] = spans
+                digest = xxhash.xxh3_128_digest
+                hashes = np.frombuffer(b"".join([digest(joined[at[a] : at[b] - 1]) for a, b in spans]), dtype=np.int64)
+                rows = np.empty((len(spans), 3), dtype=np.int64)
+                places = np.array(spans, dtype=np.int64)
+                extra = hashes[1::2] & ((1 << EXTRA) - 1)
+                rows[:, 0], rows[:, 1] = hashes[::2], len(owners)
+                rows[:, 2] = extra << (63 - EXTRA) | places[:, 0] << UNITS | (places[:, 1] - places[:, 0])
                 found.append(rows)
                 owners.append((doc is None, doc or 0, key))
         if not found:
@@ -116,12 +124,15 @@ def occurrences(docs: DataFrame, least_sentences: int, least_words: int, id_col:
         # Owners in the order in which first occurrences are chosen; equal owners are one.
         ranked = {o: i for i, o in enumerate(sorted(set(owners)))}
         rank = np.array([ranked[o] for o in owners], dtype=np.int64)[every[:, 1]]
-        order = np.lexsort((every[:, 2], rank, every[:, 0]))
-        every, rank = every[order], rank[order]
-        same = (every[1:, 0] == every[:-1, 0]) & (rank[1:] == rank[:-1]) & (every[1:, 2] == every[:-1, 2])
-        keep = np.append(True, ~same)
-        every, rank = every[keep], rank[keep]
-        again = np.append(False, every[1:, 0] == every[:-1, 0])
+        extra = every[:, 2] >> (63 - EXTRA)
+        order = np.lexsort((every[:, 2], rank, extra, every[:, 0]))
+        every, rank, extra = every[order], rank[order], extra[order]
+        alike = (every[1:, 0] == every[:-1, 0]) & (extra[1:] == extra[:-1])
+        keep = np.append(True, ~(alike & (rank[1:] == rank[:-1]) & (every[1:, 2] == every[:-1, 2])))
+        # Of equal rows the first one stays, so what follows a row is alike if it was before.
+        every, rank, again = every[keep], rank[keep], np.append(False, alike)[keep]
+        every[again, 0] ^= (rank[again] * SPREAD + every[again, 2]) * SPREAD
+        every[again, 2] |= np.int64(-1 << 63)
         # In document order: rows of one document lie together and compress well.
         order = np.argsort(rank, kind="stable")
         every, rank, again = every[order], rank[order], again[order]
@@ -131,35 +142,37 @@ def occurrences(docs: DataFrame, least_sentences: int, least_words: int, id_col:
             part = slice(at, at + (1 << 16))
             own = rank[part]
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(every[part, 0]), pa.array(no_id[own]), pa.array(ids[own]), pa.array(keys[own]),
-                    pa.array(every[part, 2].astype(np.int32)), pa.array(every[part, 3].astype(np.int32)), pa.array(again[part]),
-                ],
-                names=["run", "no_id", "doc_id", "text_hash", "first", "end", "again"],
-            )
+                [pa.array(every[part, 0]), pa.array(ids[own], mask=no_id[own]), pa.array(keys[own]), pa.array(every[part, 2])],
+                names=["run", "doc_id", "text_hash", "at"],
+            )
 
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("text_hash"),
         F.col(text_col).cast("string").alias("text"),
     )
-    return rows.mapInArrow(
-        run, "run long, no_id boolean, doc_id long, text_hash long, first int, end int, again boolean"
-    )
+    return rows.mapInArrow(run, "run long, doc_id long, text_hash long, at long")
 
 
 def repeats(
     docs: DataFrame, least_sentences: int, least_words: int, id_col: str, text_col: str
 ) -> DataFrame:
     """``(no_id, doc_id, text_hash, spans)``: runs of sentences to remove, per document that has any."""
-    found = occurrences(docs, least_sentences, least_words, id_col, text_col)
-    # Repeats within a task are spread by their place; the rest meet by run.
-    place = F.xxhash64("run", "no_id", "doc_id", "text_hash", "first")
-    keyed = found.withColumn("key", F.when(F.col("again"), place).otherwise(F.col("run")))
-    order = Window.partitionBy("key", "run", "again").orderBy("no_id", "doc_id", "text_hash", "first")
+    if least_words >= 1 << UNITS or least_sentences >= 1 << UNITS:
+        raise ValueError(f"a run has fewer than {1 << UNITS} sentences and words at least")
+    found = occurrences(docs, least_sentences, least_words, id_col, text_col).repartition("run")
+    first = F.shiftrightunsigned(F.shiftleft("at", EXTRA + 1), EXTRA + 1 + UNITS)
+    placed = found.select(
+        "run", "doc_id", "text_hash", F.shiftrightunsigned("at", 63 - EXTRA).alias("extra"), first.alias("first"),
+        (first + F.col("at").bitwiseAND((1 << UNITS) - 1)).alias("end"),
+    )
+    order = Window.partitionBy("run", "extra").orderBy(F.col("doc_id").asc_nulls_last(), "text_hash", "first")
     # Equal places are one document whose copies were read by several tasks.
-    later = keyed.withColumn("nth", F.rank().over(order)).filter("again OR nth > 1")
-    return later.groupBy("no_id", "doc_id", "text_hash").agg(F.collect_list(F.struct("first", "end")).alias("spans"))
+    again = F.col("extra") >= 1 << EXTRA
+    later = placed.withColumn("nth", F.rank().over(order)).filter(again | (F.col("nth") > 1))
+    keys = {"no_id": F.col("doc_id").isNull(), "doc_id": F.coalesce("doc_id", F.lit(0))}
+    spans = F.collect_list(F.struct("first", "end")).alias("spans")
+    return later.withColumns(keys).groupBy("no_id", "doc_id", "text_hash").agg(spans)
 
 
 def dedup(
