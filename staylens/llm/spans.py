@@ -11,7 +11,6 @@ passage is covered to its last sentence.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -35,38 +34,60 @@ EXTRA, UNITS = 23, 9
 #: An odd number that spreads rows.
 SPREAD = np.int64(0x5851F42D4C957F2D)
 #: A sentence ends after its full stop and white space, at a line break, or when it is too long.
-PIECE = re.compile(r"\S+\s*")
 STOPS = ".!?…。"
+#: White space by code point; there is none beyond the ideographic blank.
+IS_SPACE = np.array([chr(c).isspace() for c in range(0x3002)])
+STOP_CODES = np.array([ord(c) for c in STOPS], dtype=np.uint32)
 
 
-def sentences(text: str) -> tuple[list[str], list[int], list[int]]:
-    """Normalised sentences, where each ends in the text, and their words.
+def cuts(text: str) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The words of a text in lower case, the last word of every sentence, and where every word's piece ends.
 
-    A sentence owns the white space after it, so the ends cut the whole text (what comes before
-    the first word belongs to the first sentence).
+    A piece is a word with the white space after it, so the ends cut the whole text (what comes before
+    the first word belongs to the first piece).
     """
-    lead = len(text) - len(text.lstrip())
-    pieces = PIECE.findall(text, lead)
-    if not pieces:
-        return [], [], []
-    words = [p.rstrip() for p in pieces]
-    stop = np.array([w[-1] in STOPS or "\n" in p for w, p in zip(words, pieces, strict=True)])
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    space = IS_SPACE[np.minimum(points, len(IS_SPACE) - 1)]
+    starts = np.flatnonzero(~space & np.append(True, space[:-1])) if len(points) else np.empty(0, dtype=np.int64)
+    if not len(starts):
+        return [], starts, starts
+    stop = np.isin(points[~space & np.append(space[1:], True)], STOP_CODES)
+    of_break = np.searchsorted(starts, np.flatnonzero(points == ord("\n")), side="right") - 1
+    stop[of_break[of_break >= 0]] = True
     stop[-1] = True
+    low = text.lower()
+    words = low.encode("utf-8", "replace").split()
+    if len(words) != len(starts):  # bytes are cut at fewer kinds of white space
+        words = [w.encode("utf-8", "replace") for w in low.split()]
     last = np.flatnonzero(stop | least_words_of(words, stop))
-    ends = (np.cumsum(np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces)))[last] + lead).tolist()
-    sizes = np.diff(last, prepend=-1).tolist()
-    found = [" ".join(words[a : b + 1]).lower() for a, b in zip([0, *(last[:-1] + 1).tolist()], last.tolist(), strict=True)]
-    return found, ends, sizes
+    return words, last, np.append(starts[1:], len(text))
+
+
+def sentences(text: str) -> tuple[list[str], list[int], list[int]]:
+    """Normalised sentences, where each ends in the text, and their words."""
+    words, last, ends = cuts(text)
+    joined, at = coded_sentences(words, last)
+    found = [bytes(joined[a : b - 1]).decode() for a, b in zip(at[:-1], at[1:], strict=True)]
+    return found, ends[last].tolist(), np.diff(last, prepend=-1).tolist()
+
+
+def coded_sentences(words: list[bytes], last: np.ndarray) -> tuple[bytearray, list[int]]:
+    """Normalised sentences, a line each, and where every line starts (and would start after the last)."""
+    joined = bytearray(b" ".join(words))
+    at = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1)[last]
+    if len(at):
+        np.frombuffer(joined, dtype=np.uint8)[at[:-1] - 1] = ord("\n")
+    return joined, [0, *at.tolist()]
 
 
-def least_words_of(words: list[str], stop: np.ndarray) -> np.ndarray:
+def least_words_of(words: list[bytes], stop: np.ndarray) -> np.ndarray:
     """Which words have the least hash, the last of equal ones, of ``NEAR`` words of one long sentence."""
     least = np.zeros(len(words), dtype=bool)
     sizes = np.diff(np.flatnonzero(stop), prepend=-1)
     long = np.repeat(sizes > LONGEST, sizes)
     if not long.any():
         return least
-    hashes = np.fromiter((zlib.crc32(w.lower().encode("utf-8", "replace")) for w in words), dtype=np.uint32, count=len(words))
+    hashes = np.fromiter(map(zlib.crc32, words), dtype=np.uint32, count=len(words))
     stops = np.concatenate([[0], np.cumsum(stop)])
     whole = np.flatnonzero((stops[NEAR - 1 : -1] == stops[:-NEAR]) & long[: 1 - NEAR])
     window = np.lib.stride_tricks.sliding_window_view(hashes, NEAR)[whole, ::-1]
@@ -74,17 +95,16 @@ def least_words_of(words: list[str], stop: np.ndarray) -> np.ndarray:
     return least
 
 
-def runs(sizes: list[int], least_sentences: int, least_words: int) -> list[tuple[int, int]]:
-    """``(first, end)`` of the shortest runs forwards from and backwards to every sentence."""
+def runs(sizes: np.ndarray, least_sentences: int, least_words: int) -> np.ndarray:
+    """``(first, end)`` of the shortest runs forwards from and backwards to every sentence, each once."""
     total = np.concatenate([[0], np.cumsum(sizes)])
     n = len(sizes)
     first = np.arange(n)
     end = np.maximum(np.searchsorted(total, total[:-1] + least_words), first + least_sentences)
-    forward = list(zip(first[end <= n].tolist(), end[end <= n].tolist(), strict=True))
     last = np.arange(1, n + 1)
     start = np.minimum(np.searchsorted(total, total[1:] - least_words, side="right") - 1, last - least_sentences)
-    backward = list(zip(start[start >= 0].tolist(), last[start >= 0].tolist(), strict=True))
-    return sorted({*forward, *backward})
+    other = (start >= 0) & (end[np.maximum(start, 0)] != last)
+    return np.concatenate([np.stack([first, end], axis=1)[end <= n], np.stack([start, last], axis=1)[other]])
 
 
 def occurrences(docs: DataFrame, least_sentences: int, least_words: int, id_col: str, text_col: str) -> DataFrame:
@@ -102,17 +122,14 @@ def occurrences(docs: DataFrame, least_sentences: int, least_words: int, id_col:
         owners: list[tuple[bool, int, int]] = []
         for batch in batches:
             for doc, key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts(batch.column(2)), strict=True):
-                said, _, sizes = sentences(text)
-                spans = runs(sizes, least_sentences, least_words)
-                if not spans:
+                words, last, _ = cuts(text)
+                places = runs(np.diff(last, prepend=-1), least_sentences, least_words)
+                if not len(places):
                     continue
-                joined = "\n".join(said).encode()
-                lengths = np.fromiter((len(s.encode()) + 1 for s in said), dtype=np.int64, count=len(said))
-                at = np.concatenate([[0], np.cumsum(lengths)]).tolist()
-                digest = xxhash.xxh3_128_digest
-                hashes = np.frombuffer(b"".join([digest(joined[at[a] : at[b] - 1]) for a, b in spans]), dtype=np.int64)
-                rows = np.empty((len(spans), 3), dtype=np.int64)
-                places = np.array(spans, dtype=np.int64)
+                joined, at = coded_sentences(words, last)
+                view, digest = memoryview(joined), xxhash.xxh3_128_digest
+                hashes = np.frombuffer(b"".join([digest(view[at[a] : at[b] - 1]) for a, b in places.tolist()]), dtype=np.int64)
+                rows = np.empty((len(places), 3), dtype=np.int64)
                 extra = hashes[1::2] & ((1 << EXTRA) - 1)
                 rows[:, 0], rows[:, 1] = hashes[::2], len(owners)
                 rows[:, 2] = extra << (63 - EXTRA) | places[:, 0] << UNITS | (places[:, 1] - places[:, 0])
@@ -217,12 +234,13 @@ def cut(text: str | None, spans: list[dict]) -> tuple[str | None, int, int, int]
     """The text without the sentences of ``spans``, its sentences, those removed and their words."""
     if text is None:
         return None, 0, 0, 0
-    _, ends, sizes = sentences(text)
+    _, last, places = cuts(text)
     if not spans:
-        return text, len(ends), 0, 0
+        return text, len(last), 0, 0
+    ends, sizes = places[last].tolist(), np.diff(last, prepend=-1)
     gone = np.zeros(len(ends), dtype=bool)
     for s in spans:
         gone[s["first"] : s["end"]] = True
     starts = [0, *ends[:-1]]
     kept = "".join(text[a:b] for a, b, g in zip(starts, ends, gone, strict=True) if not g)
-    return kept.rstrip() if gone[-1] else kept, len(ends), int(gone.sum()), int(np.array(sizes)[gone].sum())
+    return kept.rstrip() if gone[-1] else kept, len(ends), int(gone.sum()), int(sizes[gone].sum())
