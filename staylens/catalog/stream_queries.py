@@ -5,17 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from staylens import jobs
 from staylens.catalog.frame_queries import EVENT_HISTORY_SQL
 from staylens.catalog.io_queries import ADS_SHOWN_SQL, awkward_ads, shown_ads, write_csv
 from staylens.catalog.registry import Tables, flat, query, time_text
 from staylens.catalog.twins import AS_OF, NOW, flat as flat_sql
 from staylens.operators.schema_ops import cast_to_schema
 from staylens.schemas import schema_of
-from staylens.sources.files import read_raw_csv, stream_csv
+from staylens.sources.files import read_raw_csv, stream_csv, union_files
 from staylens.sources.landing import split_late
 from staylens.sources.sinks import review_messages, write_table
 from staylens.streaming import messages, upsert
-from staylens.streaming.drain import drain_append, drain_late_split, drain_to_bronze, windowed_counts
+from staylens.streaming.drain import (
+    batch_folder,
+    drain,
+    drain_append,
+    drain_late_split,
+    drain_to_bronze,
+    first_deliveries,
+    windowed_counts,
+)
 
 FILES, FILES_PER_BATCH = 6, 2
 
@@ -145,6 +154,50 @@ def _both(accepted: DataFrame, late: DataFrame) -> DataFrame:
     )
 
 
+ADS_ON_TIME_SQL = f"coalesce(last_updated BETWEEN {NOW} - INTERVAL 48 HOURS AND {NOW} + INTERVAL 48 HOURS, false)"
+
+
+@query("stream_ads_job", f"SELECT id, {ADS_ON_TIME_SQL} AS accepted FROM ads_feed")
+def stream_ads_job(t: Tables) -> DataFrame:
+    """The streaming ads job over several batches, then again with nothing new."""
+    folder, bronze, checkpoint = write_csv(t, awkward_ads(t), "adsProviders"), t.work("ads"), t.work("checkpoint")
+    for _ in range(2):
+        jobs.stream_ads(t.spark, folder, bronze, checkpoint, t.as_of, max_files=2)
+    sides = ((t.spark.read.parquet(path), accepted) for path, accepted in ((bronze, True), (f"{bronze}_late", False)))
+    return union_files(df.select("id", F.lit(accepted).alias("accepted")) for df, accepted in sides)
+
+
+@query(
+    "stream_late_counts",
+    f"SELECT count(*) AS n_rows, CAST(count(*) FILTER (NOT {ADS_ON_TIME_SQL}) AS BIGINT) AS n_late FROM ads_feed",
+)
+def stream_late_counts(t: Tables) -> DataFrame:
+    """Rows and late rows per file, kept over the batches of a stream, in one sum."""
+    folder = write_csv(t, awkward_ads(t), "adsProviders")
+    counts = jobs.stream_ads(t.spark, folder, t.work("ads"), t.work("checkpoint"), t.as_of, max_files=1)
+    return counts.agg(F.sum("n_rows").alias("n_rows"), F.sum("n_late").alias("n_late"))
+
+
+@query(
+    "stream_first_deliveries",
+    """
+    SELECT event_id, CASE WHEN event_id % 4 = 0 THEN 4 ELSE 0 END AS day FROM events
+    UNION ALL SELECT event_id, 5 FROM events WHERE event_id % 4 <> 0 AND event_id % 5 = 1
+    """,
+)
+def stream_first_deliveries(t: Tables) -> DataFrame:
+    """Copies that come a day later are dropped; after 48 hours nothing is known of the first ones."""
+    path, target, checkpoint = t.work("deliveries"), t.work("first_deliveries"), t.work("checkpoint")
+    new, n = F.col("event_id") % 4 != 0, F.col("event_id")
+    for day, part in ((0, new), (1, new & (n % 3 == 0)), (4, ~new), (5, new & (n % 5 == 1))):
+        arrived = F.lit(t.as_of).cast("timestamp") + F.expr(f"INTERVAL {25 * day} HOURS")
+        rows = t.table("events").filter(part).select("event_id", F.lit(day).alias("day"), arrived.alias("arrived"))
+        rows.coalesce(1).write.mode("append").parquet(path)
+        stream = first_deliveries(t.spark.readStream.schema(rows.schema).parquet(path), ["event_id"], "arrived")
+        drain(stream, lambda batch, k: write_table(batch, batch_folder(target, k)), checkpoint)
+    return t.spark.read.parquet(target).select("event_id", "day")
+
+
 @query("late_split_batch", LATE_SPLIT_SQL)
 def late_split_batch(t: Tables) -> DataFrame:
     events = t.table("events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))

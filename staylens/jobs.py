@@ -17,10 +17,11 @@ from staylens.plans import gold, questions, silver_ads, silver_listings, silver_
 from staylens.schemas import LISTING_TABLES, schema_of
 from staylens.session import SETTINGS, work_path
 from staylens.sources import landing
-from staylens.sources.files import read_available, read_raw_csv, remove_path
+from staylens.sources.files import read_available, read_if_there, read_raw_csv, remove_path, stream_csv
 from staylens.sources.sinks import TableStatus, send_reviews, write_table, write_tables
+from staylens.streaming.drain import drain_late_counts, drain_late_split, read_late_counts
 from staylens.streaming.messages import MAX_BATCH_MESSAGES, kafka_messages, normalize_events
-from staylens.streaming.upsert import BUCKETS, compact, drain_reviews, read_reviews
+from staylens.streaming.upsert import BUCKETS, MONTHS, compact, drain_reviews, read_reviews
 
 # The tracked columns of the type-2 dimensions.
 TRACKED = {
@@ -92,6 +93,27 @@ def ads_to_silver(
     return write_tables(silver_ads.split_ads(cleaned), silver)
 
 
+def stream_ads(
+    spark: SparkSession,
+    folder: str,
+    bronze: str,
+    checkpoint: str,
+    as_of: AsOf = None,
+    rejected: str | None = None,
+    max_files: int | None = None,
+) -> DataFrame:
+    """Everything that has newly arrived in a folder of ads files, split by the late window.
+
+    Both sides are written batch by batch, so a batch that is run again overwrites its own part.
+    Returns the rows and late rows of every file so far, which stay beside bronze.
+    """
+    rows = stream_csv(spark, schema_of("adsProviders"), folder, as_of, max_files, "source_file")
+    drain_late_split(rows, bronze, rejected or f"{bronze}_late", f"{checkpoint}/split", as_of)
+    counts = f"{bronze}_counts"
+    drain_late_counts(rows, "source_file", counts, f"{checkpoint}/counts", as_of)
+    return read_late_counts(spark, counts, "source_file")
+
+
 def reviews_to_silver(
     spark: SparkSession, bronze: DataFrame, silver: str, as_of: AsOf = None
 ) -> list[TableStatus]:
@@ -195,7 +217,8 @@ def answers(spark: SparkSession, target: str, city: str | None = None) -> dict[s
 def run(arguments: Iterable[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="staylens.jobs", description=__doc__)
     parser.add_argument(
-        "job", choices=["listings", "ads", "reviews", "publish", "stream", "compact", "gold", "answers"]
+        "job",
+        choices=["listings", "ads", "stream-ads", "reviews", "publish", "stream", "compact", "gold", "answers"],
     )
     parser.add_argument("--input", nargs="*", default=[], help="CSV files or bronze Parquet")
     parser.add_argument("--bronze")
@@ -205,6 +228,9 @@ def run(arguments: Iterable[str] | None = None) -> None:
     parser.add_argument("--topic")
     parser.add_argument("--checkpoint", help="where the review stream keeps its progress")
     parser.add_argument("--buckets", type=int, default=BUCKETS, help="reviewer buckets of the silver reviews")
+    parser.add_argument("--months", type=int, default=MONTHS, help="months in a slice of the silver reviews")
+    parser.add_argument("--prefix", help="what listing file names start with; keeps city names of several words whole")
+    parser.add_argument("--files-per-batch", type=int, help="ads files in a batch of their stream")
     parser.add_argument("--rejected", help="where ads outside the late window go; <bronze>_late when left out")
     parser.add_argument("--messages-per-batch", type=int, default=MAX_BATCH_MESSAGES)
     parser.add_argument("--max-records", type=int, help="publish no more reviews than this")
@@ -218,24 +244,32 @@ def run(arguments: Iterable[str] | None = None) -> None:
         spark.conf.set(key, value)
     statuses: list[TableStatus] = []
     if args.job == "listings":
-        bronze = landing.land_listings(spark, args.input, args.bronze, args.as_of)
+        bronze = landing.land_listings(spark, args.input, args.bronze, args.as_of, args.prefix)
         statuses, quality = listings_to_silver(spark, bronze, args.silver)
         quality.show(truncate=False, vertical=True)
     elif args.job == "ads":
         late = args.rejected or f"{args.bronze}_late"
         bronze = landing.land_ads(spark, args.input, args.bronze, args.as_of, rejected=late)
         statuses = [] if bronze is None else ads_to_silver(spark, bronze, args.silver, args.as_of)
+    elif args.job == "stream-ads":
+        counts = stream_ads(
+            spark, args.input[0], args.bronze, args.checkpoint, args.as_of, args.rejected, args.files_per_batch
+        )
+        counts.show(200, truncate=False)
+        landed = read_if_there(spark, args.bronze)
+        if landed is not None and args.silver:
+            statuses = ads_to_silver(spark, landed, args.silver, args.as_of)
     elif args.job == "reviews":
         bronze = spark.read.schema(schema_of("reviews")).parquet(*args.input)
         statuses = reviews_to_silver(spark, bronze, args.silver, args.as_of)
     elif args.job == "publish":
         publish_reviews(spark, args.input, args.servers, args.topic, args.max_records, args.as_of)
     elif args.job == "compact":
-        compact(spark, f"{args.silver}/Review.parquet", args.input[0], args.buckets)
+        compact(spark, f"{args.silver}/Review.parquet", args.input[0], args.buckets, args.months)
     elif args.job == "stream":
         messages = kafka_messages(spark, args.servers, args.topic, args.messages_per_batch)
         reviews = f"{args.silver}/Review.parquet"
-        drain_reviews(messages, args.bronze, reviews, args.checkpoint, args.as_of, args.buckets)
+        drain_reviews(messages, args.bronze, reviews, args.checkpoint, args.as_of, args.buckets, args.months)
     elif args.job == "gold":
         statuses = silver_to_gold(spark, args.silver, args.gold, args.as_of, args.since, args.close_vanished)
     else:

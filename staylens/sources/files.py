@@ -108,15 +108,21 @@ def stream_csv(
     path: str,
     as_of: AsOf = None,
     max_files: int | None = None,
+    source: str | None = None,
 ) -> DataFrame:
-    """A folder of CSV files as a stream, with a 48 h watermark on ``last_updated``."""
+    """A folder of CSV files as a stream, with a 48 h watermark on ``last_updated``.
+
+    ``source`` names a column for the file each row came in.
+    """
     if not path:
         raise ValueError("a path is needed")
     reader = spark.readStream.schema(text_for_lists(schema)).options(**CSV_FORMAT)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    rows = parse_list_columns(reader.csv(path), schema)
-    return with_ingestion_ts(rows, as_of).withWatermark(WATERMARK_COLUMN, WATERMARK_DELAY)
+    rows = reader.csv(path)
+    if source:
+        rows = rows.withColumn(source, F.col("_metadata.file_path"))
+    return with_ingestion_ts(parse_list_columns(rows, schema), as_of).withWatermark(WATERMARK_COLUMN, WATERMARK_DELAY)
 
 
 def read_tables(spark: SparkSession, *paths: str, merge_schemas: bool = False) -> DataFrame:

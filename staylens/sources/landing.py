@@ -19,14 +19,14 @@ ROWS_PER_FILE = 1_000_000
 
 
 def land_listings(
-    spark: SparkSession, paths: str | Iterable[str], target: str, as_of: AsOf = None
+    spark: SparkSession, paths: str | Iterable[str], target: str, as_of: AsOf = None, prefix: str | None = None
 ) -> DataFrame:
     """Land every listing file under its own name; all files in one job.
 
-    A file that is delivered again replaces its own folder only.  Returns the whole
-    landed table.
+    A file that is delivered again replaces its own folder only.  ``prefix``, what file names start
+    with, keeps city names of several words whole.  Returns the whole landed table.
     """
-    rows = read_csv(spark, schema_of("listing"), paths, as_of).withColumn(
+    rows = read_csv(spark, schema_of("listing"), paths, as_of, prefix).withColumn(
         "source_file", file_stem(F.col("filename"))
     )
     (

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylens.functions.times import AsOf
+from staylens.functions.times import AsOf, in_late_window
 from staylens.operators.profile import EmptyResultError, counted
 from staylens.sources.landing import split_late
 from staylens.sources.sinks import write_table
@@ -16,11 +16,14 @@ from staylens.streaming.messages import bronze_reviews
 Batch = Callable[[DataFrame, int], None]
 
 
-def drain(stream: DataFrame, handle: Batch, checkpoint: str) -> int:
+def drain(
+    stream: DataFrame, handle: Batch, checkpoint: str, mode: str = "append", state_rows: list[int] | None = None
+) -> int:
     """Process everything that is there now and stop; returns the number of batches.
 
     Batch size is bounded by the source's own option.  The checkpoint remembers what was
     processed; a batch that failed half-way is handed out again with the same number.
+    ``state_rows`` receives the rows kept in state stores after every step of the stream.
     """
     handled: set[int] = set()
 
@@ -32,11 +35,14 @@ def drain(stream: DataFrame, handle: Batch, checkpoint: str) -> int:
 
     query = (
         stream.writeStream.foreachBatch(run)
+        .outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
+    if state_rows is not None:
+        state_rows += [sum(o["numRowsTotal"] for o in p["stateOperators"]) for p in query.recentProgress]
     return len(handled)
 
 
@@ -83,6 +89,42 @@ def drain_late_split(
     return drain(rows, split, checkpoint)
 
 
+def late_counts(rows: DataFrame, source: str, as_of: AsOf = None, column: str = "last_updated") -> DataFrame:
+    """Rows and late rows per source so far.  The state is one row per source, however many rows there are."""
+    on_time = in_late_window(F.col(column), as_of)
+    return rows.groupBy(source).agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(~on_time).alias("n_late"))
+
+
+def drain_late_counts(
+    rows: DataFrame, source: str, target: str, checkpoint: str, as_of: AsOf = None, column: str = "last_updated"
+) -> int:
+    """Keep ``late_counts`` of a stream: a batch writes the sources it has changed, a replayed one writes them again."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_table(batch, batch_folder(target, batch_id))
+
+    return drain(late_counts(rows, source, as_of, column), write, checkpoint, mode="update")
+
+
+def read_late_counts(spark: SparkSession, target: str, source: str) -> DataFrame:
+    """The newest counts of every source."""
+    kept = read_batches(spark, target)
+    newest = F.max_by(F.struct("n_rows", "n_late"), "batch_id").alias("newest")
+    return kept.groupBy(source).agg(newest).select(source, "newest.*")
+
+
+def first_deliveries(
+    stream: DataFrame, keys: Sequence[str], arrived: str, within: str = "48 hours"
+) -> DataFrame:
+    """A stream without rows that were delivered again ``within`` some time.
+
+    ``arrived`` is the moment of delivery.  The state holds the keys of that time only.  A copy that
+    comes later than that passes, and so does any row with other keys: what the stream feeds
+    has to be idempotent, as the review upsert is, which is spared the work for the rest.
+    """
+    return stream.withWatermark(arrived, within).dropDuplicatesWithinWatermark(list(keys))
+
+
 def windowed_counts(
     stream: DataFrame, at: str, by: str, width: str = "1 day", delay: str = "48 hours"
 ) -> DataFrame:

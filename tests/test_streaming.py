@@ -10,13 +10,14 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from staylens import jobs
 from staylens.operators.profile import EmptyResultError
 from staylens.operators.schema_ops import cast_to_schema
 from staylens.plans.silver_reviews import clean_reviews
 from staylens.schemas import schema_of
 from staylens.sources.files import stream_csv
 from staylens.streaming import messages, upsert
-from staylens.streaming.drain import drain_append, drain_to_bronze, windowed_counts
+from staylens.streaming.drain import drain, drain_append, drain_to_bronze, first_deliveries, windowed_counts
 
 AS_OF = "2024-03-01 00:00:00"
 
@@ -303,3 +304,61 @@ def test_a_table_without_an_index_is_compacted_first(spark, tmp_path):
     upsert.compact(spark, path, target)
     upsert.upsert_batch(bronze_frame(spark, rows[20:]), 1, target, AS_OF)
     assert silver_rows(upsert.read_reviews(spark, target)) == silver_rows(clean_reviews(bronze_frame(spark, rows), AS_OF))
+
+
+def ads_file(path, rows):
+    names = schema_of("adsProviders").names
+    lines = [",".join(names)]
+    for i, moment in rows:
+        lines.append(",".join(moment if n == "last_updated" else str(i) if n == "id" else "" for n in names))
+    path.write_text("\n".join(lines) + "\n")
+
+
+def test_stream_ads_job_with_a_replayed_batch(spark, tmp_path):
+    source, bronze, checkpoint = tmp_path / "in", str(tmp_path / "ads"), tmp_path / "checkpoint"
+    source.mkdir()
+    ads_file(source / "a.csv", [(1, "2024-03-01 10:00:00"), (2, "2023-01-01 00:00:00")])
+    ads_file(source / "b.csv", [(3, "2024-02-28 10:00:00"), (4, "")])
+
+    def run():
+        counts = jobs.stream_ads(spark, str(source), bronze, str(checkpoint), AS_OF, max_files=1)
+        sides = [sorted(r.id for r in spark.read.parquet(p).collect()) for p in (bronze, f"{bronze}_late")]
+        return sides, {r.source_file[-5:]: (r.n_rows, r.n_late) for r in counts.collect()}
+
+    first = run()
+    assert first == ([[1, 3], [2, 4]], {"a.csv": (2, 1), "b.csv": (2, 1)})
+    assert run() == first  # nothing new
+    # The last batch was not committed: it is handed out again, with the same number.
+    for part in ("split", "counts"):
+        commits = checkpoint / part / "commits"
+        last = max((f for f in commits.iterdir() if f.name.isdigit()), key=lambda f: int(f.name))
+        last.unlink()
+        (commits / f".{last.name}.crc").unlink(missing_ok=True)
+    assert run() == first
+    ads_file(source / "c.csv", [(5, "2024-03-02 00:00:00")])
+    assert run() == ([[1, 3, 5], [2, 4]], {"a.csv": (2, 1), "b.csv": (2, 1), "c.csv": (1, 0)})
+
+
+def test_first_deliveries_hold_a_bounded_state_and_spare_the_upsert(spark, tmp_path):
+    source, checkpoint, path, held = (str(tmp_path / n) for n in ("in", "c", "silver", "held"))
+    rows, state_rows, passed = random_reviews(60, 8), [], []
+    start = datetime(2024, 1, 1)
+    deliveries = [(0, rows[:30]), (1, rows[:10]), (4, rows[30:]), (5, rows[:5])]
+
+    def handle(batch, n):
+        # Once: what runs twice counts its state rows twice.
+        batch.write.mode("overwrite").parquet(f"{held}/{n}")
+        landed = spark.read.schema(schema_of("reviews")).parquet(f"{held}/{n}")
+        passed.append(landed.count())
+        upsert.upsert_batch(landed, n, path, AS_OF)
+
+    for day, part in deliveries:
+        frame = bronze_frame(spark, part).withColumn("ingestion_ts", F.lit(start + timedelta(days=day, hours=day)))
+        frame.coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(frame.schema).parquet(source)
+        drain(first_deliveries(stream, ["id"], "ingestion_ts"), handle, checkpoint, state_rows=state_rows)
+    assert [n for n in passed if n] == [30, 30, 5]
+    assert max(state_rows) <= 60 and state_rows[-1] < 60
+    got = upsert.read_reviews(spark, path).select("id", "reviewer_id", "date", "start_date", "end_date", "is_current")
+    want = clean_reviews(bronze_frame(spark, rows), AS_OF).select(*got.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
