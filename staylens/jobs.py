@@ -6,9 +6,11 @@
 from __future__ import annotations
 
 import argparse
+import warnings
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from staylens.functions.times import AsOf
 from staylens.operators import profile
@@ -169,7 +171,13 @@ def _silver_to_gold(
         current = read_reviews(spark, f"{silver}/Review.parquet")
         tables["Review"] = staged(current, "current_reviews")
     stats = staged(gold.review_stats(tables["Review"], since), "review_stats")
-    wide = staged(gold.listing_wide(gold.listing_bases(tables, unique=True), stats), "listing_wide")
+    # The listing job writes each listing once.  Tables of other origin may not: that is seen on the way.
+    seen = Observation("copies of a listing")
+    wide = gold.listing_wide(gold.listing_bases(tables, unique=True), stats, copies="_copies")
+    wide = staged(wide.observe(seen, F.max("_copies").alias("most")), "listing_wide").drop("_copies")
+    if (seen.get["most"] or 0) > 1:
+        warnings.warn("silver tables hold listings more than once; the latest row of each counts", stacklevel=3)
+        wide = staged(gold.listing_wide(gold.listing_bases(tables), stats), "listing_wide")
     marts = gold.listing_marts(wide, as_of)
     marts["factReview"] = gold.fact_review(tables["Review"], stats, as_of)
     marts["dimReviewer"] = gold.dim_reviewer(tables["Review"])

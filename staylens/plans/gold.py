@@ -79,16 +79,25 @@ def join_listings(first: DataFrame, *others: DataFrame) -> DataFrame:
     return reduce(lambda left, right: left.join(right, "listing_id", "left"), others, first)
 
 
-def listing_wide(bases: Mapping[str, DataFrame], review_stats: DataFrame | None = None) -> DataFrame:
+def listing_wide(
+    bases: Mapping[str, DataFrame], review_stats: DataFrame | None = None, copies: str | None = None
+) -> DataFrame:
     """All bases side by side for every listing any of them knows, with ``in_<table>`` flags.
 
     Starting from the distinct ids keeps the key's partitioning through the whole chain
-    of left joins, which a chain of full outer joins would lose at every step.
+    of left joins, which a chain of full outer joins would lose at every step.  ``copies`` names
+    a column for how often the base that has a listing most often has it, counted in that same step.
     """
-    ids = reduce(DataFrame.unionByName, [b.select("listing_id") for b in bases.values()])
+    tagged = [b.select("listing_id", F.lit(i).alias("_base")) for i, b in enumerate(bases.values())]
+    ids = reduce(DataFrame.unionByName, tagged)
+    if copies:
+        counts = [F.count_if(F.col("_base") == i) for i in range(len(tagged))]
+        known = ids.groupBy("listing_id").agg((F.greatest(*counts) if len(counts) > 1 else counts[0]).alias(copies))
+    else:
+        known = ids.select("listing_id").distinct()
     flagged = [b.withColumn(f"in_{t}", F.lit(True)) for t, b in bases.items()]
     sides = flagged + ([review_stats] if review_stats is not None else [])
-    return join_listings(ids.distinct(), *sides)
+    return join_listings(known, *sides)
 
 
 def review_stats(reviews: DataFrame, since: AsOf = None) -> DataFrame:

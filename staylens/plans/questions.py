@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import warnings
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,6 +16,16 @@ from staylens.schemas import schema_of
 # How many entries the reports show.
 CARDS, REVENUE_CHART, CITY_CHART, MARKERS = 6, 10, 12, 200
 PROVIDER_CARDS, PROVIDER_CHART, PROVIDER_TABLE = 3, 12, 20
+# The columns of the advertising mart that the reports show.
+SHOWN_ADS_COLUMNS = (
+    "provider_id",
+    "provider_name",
+    "provider_conversion_rate",
+    "most_clicked_provider",
+    "post_amount",
+    "avg_campaign_cost",
+    "customer_gained",
+)
 # The columns of the investment mart that the reports show.
 SHOWN_COLUMNS = (
     "city_name",
@@ -196,6 +207,15 @@ def markers(listings: DataFrame) -> DataFrame:
     )
 
 
+def _with_columns(mart: DataFrame, table: str, shown: Sequence[str], what: str) -> DataFrame:
+    """The mart, or a warning and an empty one where it lacks columns that are shown."""
+    missing = [c for c in shown if c not in mart.columns]
+    if not missing:
+        return mart
+    warnings.warn(f"the {what} mart lacks " + ", ".join(missing), stacklevel=3)
+    return mart.sparkSession.createDataFrame([], schema_of(table))
+
+
 def invest_answer(invest: DataFrame, located: DataFrame, city: str | None = None) -> dict[str, DataFrame]:
     """Which city and neighbourhood to invest in; ``located`` from ``located_listings``.
 
@@ -203,11 +223,7 @@ def invest_answer(invest: DataFrame, located: DataFrame, city: str | None = None
     figures, bookings and markers.  ``located`` may then hold the listings of that city only.
     A mart that lacks columns the reports show is named in a warning, and its reports are empty.
     """
-    missing = [c for c in SHOWN_COLUMNS if c not in invest.columns]
-    if missing:
-        warnings.warn("the investment mart lacks " + ", ".join(missing), stacklevel=2)
-        empty = located.sparkSession.createDataFrame([], schema_of("AggNeighbourhoodInvest"))
-        invest = empty
+    invest = _with_columns(invest, "AggNeighbourhoodInvest", SHOWN_COLUMNS, "investment")
     if city is not None:
         shown = in_city_or_first(invest, city)
         name = shown_city(invest, city)
@@ -283,7 +299,11 @@ def provider_table(ads: DataFrame, k: int = PROVIDER_TABLE) -> DataFrame:
 
 
 def promotion_answer(ads: DataFrame) -> dict[str, DataFrame]:
-    """Which promotion strategy works best."""
+    """Which promotion strategy works best.
+
+    A mart that lacks columns the reports show is named in a warning, and its reports are empty.
+    """
+    ads = _with_columns(ads, "AggAds", SHOWN_ADS_COLUMNS, "advertising")
     return {
         "kpis": promotion_kpis(ads),
         "kpi_texts": promotion_kpi_texts(promotion_kpis(ads)),

@@ -6,6 +6,7 @@ import csv
 import gzip
 
 import pytest
+from pyspark.sql import functions as F
 
 from staylens import jobs
 from staylens.operators.schema_ops import cast_to_schema
@@ -118,6 +119,21 @@ def test_listing_to_answers(spark, bronze, tmp_path):
     assert cards[0].revenue == "$24,000" and cards[0].avg_price == "$1,200" and cards[0].boost == "low"
     assert reports["invest_markers"].count() == 2
 
+    # A listing that a silver table holds twice counts once, with its latest row.
+    places = spark.read.parquet(f"{silver}/Location.parquet")
+    older = places.withColumn("ingestion_ts", F.expr("ingestion_ts - INTERVAL 1 DAY")).withColumn("city", F.lit("Nowhere"))
+    for table in (*LISTING_TABLES, "Review"):
+        rows = places.unionByName(older) if table == "Location" else spark.read.parquet(f"{silver}/{table}.parquet")
+        rows.write.parquet(f"{tmp_path}/silver_twice/{table}.parquet")
+    with pytest.warns(UserWarning, match="more than once"):
+        jobs.silver_to_gold(spark, f"{tmp_path}/silver_twice", f"{tmp_path}/gold_twice", AS_OF)
+    for mart in ("AggNeighbourhoodInvest", "AggNeighborhoodPerformance", "dimLocation", "factListing"):
+        one, twice = (
+            sorted(map(str, spark.read.parquet(f"{folder}/{mart}.parquet").drop("ingestion_ts").collect()))
+            for folder in (f"{tmp_path}/gold_streamed", f"{tmp_path}/gold_twice")
+        )
+        assert one == twice, mart
+
 
 def test_reviews_without_rows_are_an_error(spark, tmp_path):
     empty = spark.createDataFrame([], schema_of("reviews"))
@@ -214,6 +230,21 @@ def test_a_failed_write_leaves_the_table(spark, tmp_path):
     assert sorted(r.id for r in read_if_there(spark, path).collect()) == [0, 1, 2]
 
 
+def test_an_ads_mart_without_shown_columns_gives_empty_reports(spark):
+    mart = spark.createDataFrame([(1, "a")], "provider_id BIGINT, provider_name STRING")
+    with pytest.warns(UserWarning, match="advertising mart lacks provider_conversion_rate"):
+        reports = questions.promotion_answer(mart)
+    assert [reports[name].count() for name in ("cards", "chart", "table")] == [0, 0, 0]
+    assert reports["kpis"].first().provider_count == 0
+
+
+def test_city_names_of_several_words_land_whole(spark, tmp_path):
+    path = tmp_path / "listings_new_york_usa.csv"
+    write_listing_file(path, [listing(1)])
+    landed = landing.land_listings(spark, str(path), str(tmp_path / "bronze"), AS_OF, prefix="listings")
+    assert [(r.city, r.country) for r in landed.collect()] == [("new york", "usa")]
+
+
 def test_answers_for_one_city(spark):
     invest = spark.createDataFrame(
         [("lyon", "Old", 9.0), ("aix-en-provence", "Mill", 5.0), ("lyon", "New", 1.0)],
