@@ -56,9 +56,10 @@ def cuts(text: str) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     stop[of_break[of_break >= 0]] = True
     stop[-1] = True
     low = text.lower()
-    words = low.encode("utf-8", "replace").split()
-    if len(words) != len(starts):  # bytes are cut at fewer kinds of white space
+    if (space & (points > ord("\r")) & (points != ord(" "))).any():  # bytes are not cut there
         words = [w.encode("utf-8", "replace") for w in low.split()]
+    else:
+        words = low.encode("utf-8", "replace").split()
     last = np.flatnonzero(stop | least_words_of(words, stop))
     return words, last, np.append(starts[1:], len(text))
 

@@ -1,9 +1,13 @@
 from __future__ import annotations
 
 import random
+import re
+import zlib
 from collections import defaultdict
 
 from helpers import documents
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from staylens.llm import spans
 
@@ -90,3 +94,37 @@ def test_passages_of_51_words_at_every_offset_without_punctuation(spark):
         # Only words of the passage go, and none from its middle stays.
         assert not left & set(passage[2 * spans.NEAR - 1 : 51 - 2 * spans.NEAR + 2])
         assert all(w in left or w in passage for w in rows[i][1].split())
+
+
+def plain_sentences(text):
+    """The cutting rule word by word: sentences, where each ends in the text, and their words."""
+    found = list(re.finditer(r"\S+\s*", text))
+    words = [m.group().rstrip() for m in found]
+    ends = [k for k, m in enumerate(found) if words[k][-1] in ".!?…。" or "\n" in m.group()[len(words[k]) :]]
+    if found and (not ends or ends[-1] != len(found) - 1):
+        ends.append(len(found) - 1)
+    last, start = [], 0
+    for end in ends:
+        cuts = {end}
+        if end - start + 1 > spans.LONGEST:
+            key = [zlib.crc32(w.lower().encode("utf-8", "replace")) for w in words]
+            for a in range(start, end - spans.NEAR + 2):
+                cuts.add(min(range(a, a + spans.NEAR), key=lambda k: (key[k], -k)))
+        last += sorted(cuts)
+        start = end + 1
+    starts = [0, *(k + 1 for k in last[:-1])]
+    said = [" ".join(words[a : b + 1]).lower() for a, b in zip(starts, last)]
+    return said, [found[k].end() for k in last], [b - a + 1 for a, b in zip(starts, last)]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(["a", "b", "cd", "É", "ΑΣ", "x.", "y!", " ", "  ", "\n", "\t", "\xa0", "\x1c", "　", "。", "İ"]), max_size=80))
+def test_cutting_agrees_with_the_rule_word_by_word(parts):
+    for text in ("".join(parts), " ".join(parts)):
+        assert spans.sentences(text) == plain_sentences(text)
+
+
+def test_a_very_long_sentence_is_cut():
+    rng = random.Random(3)
+    text = "\n ".join(" ".join(f"w{rng.randrange(40)}" for _ in range(rng.choice([3, 30, 4000]))) for _ in range(12))
+    assert spans.sentences(text) == plain_sentences(text)
