@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import suppress
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
@@ -13,8 +15,9 @@ from staylens.plans import gold
 from staylens.plans.silver_listings import silver_table
 from staylens.schemas import LISTING_TABLES, schema_of, text_for_lists
 from staylens.sources import landing
-from staylens.sources.files import read_available, read_csv, read_optional, read_tables, union_files
-from staylens.sources.sinks import review_messages, write_table, write_tables
+from staylens.sources.files import read_csv, read_optional, read_tables, union_files
+from staylens.sources.sinks import TablesFailedError, review_messages, write_table, write_tables
+from staylens.sources.versions import read_available
 
 
 def write_csv(t: Tables, df: DataFrame, table: str, files: int = 4) -> str:
@@ -164,6 +167,24 @@ def silver_multi_table_sink(t: Tables) -> DataFrame:
     return union_files(df.select(F.lit(name).alias("table_name"), "id") for name, df in found.items())
 
 
+@query(
+    "silver_multi_table_sink_versions",
+    "SELECT t AS table_name, id FROM listings, (VALUES ('HostDetails'), ('HostMetrics'), ('RentDetails'), "
+    "('RentMetrics'), ('Location'), ('Metadata')) AS names(t)",
+)
+def silver_multi_table_sink_versions(t: Tables) -> DataFrame:
+    """One commit for six tables; a second run that fails at its last table changes none of them."""
+    folder = t.work("silver_versions")
+    tables = {name: silver_table(t.listings, name) for name in LISTING_TABLES}
+    write_tables(tables, folder, versioned=True)
+    broken = {name: df.limit(1) for name, df in tables.items()}
+    broken[LISTING_TABLES[-1]] = t.listings.select(F.raise_error(F.lit("cut off")).alias("id"))
+    with suppress(TablesFailedError):
+        write_tables(broken, folder)
+    found = read_available(t.spark, folder, LISTING_TABLES)
+    return union_files(df.select(F.lit(name).alias("table_name"), "id") for name, df in found.items())
+
+
 @query("optional_table_scan", f"SELECT {flat_sql('AggAds')} FROM agg_ads")
 def optional_table_scan(t: Tables) -> DataFrame:
     folder, schema = t.work("gold"), schema_of("AggAds")

@@ -16,10 +16,12 @@ from staylens.catalog.frame_queries import (
 )
 from staylens.catalog.registry import Tables, flat, query
 from staylens.catalog.twins import NOW, flat as flat_sql, title_sql
-from staylens.operators.history import insert_only, scd2_merge
+from staylens.operators.history import insert_only, scd2_merge, scd2_step
 from staylens.operators.skew import heavy_keys
 from staylens.plans import gold, questions, silver_ads, silver_listings, silver_reviews
 from staylens.schemas import LISTING_TABLES
+from staylens.sources.sinks import write_versions
+from staylens.sources.versions import read_available, read_replaced
 
 # --- cleaning jobs ----------------------------------------------------------------
 
@@ -209,6 +211,19 @@ def merge(t: Tables) -> DataFrame:
     return flat(scd2_merge(history, snapshot, "host_key", ["name", "response_time_category"], t.as_of))
 
 
+@query("scd2_merge_versions", f"{MERGE_SQL} SELECT {flat_sql('dimHost')} FROM ({MERGED_SQL})")
+def merge_versions(t: Tables) -> DataFrame:
+    """The same with closed rows kept apart: written once, then neither read nor written.  Merged twice."""
+    history, snapshot = _history_and_snapshot(t)
+    layer, is_open = t.work("history"), {"dimHost": F.col("is_current")}
+    write_versions(t.spark, {"dimHost": history}, layer, is_open)
+    for _ in range(2):
+        opened = read_replaced(t.spark, layer, "dimHost")
+        changed = scd2_step(opened, snapshot, "host_key", ["name", "response_time_category"], t.as_of)
+        write_versions(t.spark, {"dimHost": changed}, layer, is_open)
+    return flat(read_available(t.spark, layer, ["dimHost"])["dimHost"])
+
+
 @query(
     "scd2_merge_close_vanished",
     f"""{MERGE_SQL}

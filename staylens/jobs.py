@@ -14,13 +14,14 @@ from pyspark.sql import functions as F
 
 from staylens.functions.times import AsOf
 from staylens.operators import profile
-from staylens.operators.history import insert_only, scd2_merge
+from staylens.operators.history import insert_only, scd2_merge, scd2_step, unseen_rows
 from staylens.plans import gold, questions, silver_ads, silver_listings, silver_reviews
 from staylens.schemas import LISTING_TABLES, schema_of
 from staylens.session import SETTINGS, work_path
 from staylens.sources import landing
-from staylens.sources.files import read_available, read_if_there, read_raw_csv, remove_path, stream_csv
-from staylens.sources.sinks import TableStatus, send_reviews, write_table, write_tables
+from staylens.sources.files import read_if_there, read_raw_csv, remove_path, stream_csv
+from staylens.sources.sinks import TableStatus, send_reviews, write_table, write_tables, write_versions
+from staylens.sources.versions import Version, is_versioned, latest, read_available, read_replaced, vacuum
 from staylens.streaming.drain import drain_late_counts, drain_late_split, read_late_counts
 from staylens.streaming.messages import MAX_BATCH_MESSAGES, kafka_messages, normalize_events
 from staylens.streaming.upsert import BUCKETS, MONTHS, compact, drain_reviews, read_reviews
@@ -62,7 +63,7 @@ class Workspace:
 
 
 def listings_to_silver(
-    spark: SparkSession, bronze: DataFrame, silver: str
+    spark: SparkSession, bronze: DataFrame, silver: str, versioned: bool | None = None
 ) -> tuple[list[TableStatus], DataFrame]:
     """Clean once, de-duplicate once, then write six tables as plain projections.
 
@@ -73,7 +74,7 @@ def listings_to_silver(
     with Workspace(spark) as work:
         listings = work.staged(silver_listings.one_row_per_listing(cleaned), "listings")
         statuses = write_tables(
-            {t: silver_listings.silver_table(listings, t) for t in LISTING_TABLES}, silver
+            {t: silver_listings.silver_table(listings, t) for t in LISTING_TABLES}, silver, versioned=versioned
         )
     return statuses, listing_quality(bronze)
 
@@ -86,13 +87,13 @@ def listing_quality(bronze: DataFrame) -> DataFrame:
 
 
 def ads_to_silver(
-    spark: SparkSession, bronze: DataFrame, silver: str, as_of: AsOf = None
+    spark: SparkSession, bronze: DataFrame, silver: str, as_of: AsOf = None, versioned: bool | None = None
 ) -> list[TableStatus]:
     """Clean and split provider rows; nothing is written when no row is left."""
     cleaned = silver_ads.clean_ads(bronze, as_of)
     if cleaned.isEmpty():
         return []
-    return write_tables(silver_ads.split_ads(cleaned), silver)
+    return write_tables(silver_ads.split_ads(cleaned), silver, versioned=versioned)
 
 
 def stream_ads(
@@ -126,7 +127,8 @@ def reviews_to_silver(
     with Workspace(spark) as work:
         unique = work.staged(silver_reviews.unique_reviews(bronze, as_of), "reviews")
         profile.require_rows(unique, "reviews")
-        return write_tables({"Review": silver_reviews.with_history(unique)}, silver)
+        # The review table is a plain folder in any layer: the review stream commits to it by itself.
+        return write_tables({"Review": silver_reviews.with_history(unique)}, silver, versioned=False)
 
 
 def publish_reviews(
@@ -149,19 +151,30 @@ def silver_to_gold(
     as_of: AsOf = None,
     since: AsOf = None,
     close_vanished: bool = False,
+    versioned: bool | None = None,
 ) -> list[TableStatus]:
     """All marts.  Type-2 dimensions are merged into their history, dimLocation only grows.
 
     ``since`` restricts the review counts to newer reviews, ``close_vanished`` closes the rows
     of keys that the snapshot no longer has.
+
+    With ``versioned`` all marts change in one commit, and a run reads and writes the open rows of a
+    type-2 dimension and the new rows of dimLocation only, however many rows were closed before.  A
+    layer with versions keeps them; one without them is taken over by the first such run.
     """
+    if versioned is None:
+        versioned = is_versioned(spark, target)
     with Workspace(spark) as work:
-        return _silver_to_gold(work, silver, target, as_of, since, close_vanished)
+        marts = _gold_marts(work, silver, as_of, since)
+        if versioned:
+            base = latest(spark, target)
+            changes = _history_changes(spark, target, base, marts, as_of, close_vanished)
+            fixed = {name: F.col("is_current") for name in TRACKED} | {"dimLocation": F.lit(False)}
+            return write_versions(spark, marts | changes, target, fixed, base)
+        return write_tables(marts | _histories(spark, target, marts, as_of, close_vanished), target, versioned=False)
 
 
-def _silver_to_gold(
-    work: Workspace, silver: str, target: str, as_of: AsOf, since: AsOf, close_vanished: bool
-) -> list[TableStatus]:
+def _gold_marts(work: Workspace, silver: str, as_of: AsOf, since: AsOf) -> dict[str, DataFrame]:
     spark, staged = work.spark, work.staged
     tables = read_available(spark, silver, [*gold.BASE_COLUMNS, "Review", "providerDetails", "providerMetrics"])
     needed = [t for t in (*gold.BASE_COLUMNS, "Review") if t not in tables]
@@ -183,9 +196,15 @@ def _silver_to_gold(
     marts["dimReviewer"] = gold.dim_reviewer(tables["Review"])
     if {"providerDetails", "providerMetrics"} <= set(tables):
         marts |= gold.provider_marts(tables["providerDetails"], tables["providerMetrics"], as_of)
+    return marts
+
 
-    before = read_available(spark, target, [*TRACKED, "dimLocation"])
-    for name, history in before.items():
+def _histories(
+    spark: SparkSession, target: str, marts: dict[str, DataFrame], as_of: AsOf, close_vanished: bool
+) -> dict[str, DataFrame]:
+    """The next state of the dimensions with a history that are there already."""
+    found = {}
+    for name, history in read_available(spark, target, [*TRACKED, "dimLocation"]).items():
         if name not in marts:
             continue
         if name in TRACKED:
@@ -194,8 +213,25 @@ def _silver_to_gold(
         else:
             merged = insert_only(history, marts[name], "location_key")
         # The old table stays in place until its successor is written, so it can be read here.
-        marts[name] = merged
-    return write_tables(marts, target)
+        found[name] = merged
+    return found
+
+
+def _history_changes(
+    spark: SparkSession, target: str, base: Version, marts: dict[str, DataFrame], as_of: AsOf, close_vanished: bool
+) -> dict[str, DataFrame]:
+    """What changes in these dimensions: all rows of one that has no versions yet."""
+    plain = {name: df for name, df in marts.items() if name not in base.tables}
+    found = _histories(spark, target, plain, as_of, close_vanished)
+    for name, (key, tracked) in TRACKED.items():
+        opened = read_replaced(spark, target, name, base) if name in marts else None
+        if opened is not None:
+            found[name] = scd2_step(opened, marts[name], key, tracked, as_of, close_vanished)
+    if "dimLocation" in base.tables:
+        places = read_available(spark, target, ["dimLocation"], base)
+        if places:
+            found["dimLocation"] = unseen_rows(places["dimLocation"], marts["dimLocation"], "location_key")
+    return found
 
 
 def answers(spark: SparkSession, target: str, city: str | None = None) -> dict[str, DataFrame]:
@@ -226,7 +262,7 @@ def run(arguments: Iterable[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="staylens.jobs", description=__doc__)
     parser.add_argument(
         "job",
-        choices=["listings", "ads", "stream-ads", "reviews", "publish", "stream", "compact", "gold", "answers"],
+        choices=["listings", "ads", "stream-ads", "reviews", "publish", "stream", "compact", "gold", "answers", "vacuum"],
     )
     parser.add_argument("--input", nargs="*", default=[], help="CSV files or bronze Parquet")
     parser.add_argument("--bronze")
@@ -244,6 +280,8 @@ def run(arguments: Iterable[str] | None = None) -> None:
     parser.add_argument("--max-records", type=int, help="publish no more reviews than this")
     parser.add_argument("--since", help="count reviews from this moment on")
     parser.add_argument("--close-vanished", action="store_true", help="close keys that a snapshot lacks")
+    parser.add_argument("--versioned", action="store_true", default=None, help="change all tables in one commit")
+    parser.add_argument("--keep", type=int, default=10, help="versions that vacuum leaves")
     parser.add_argument("--city", help="answer for one city, the first one where it is unknown")
     parser.add_argument("--as-of", help="clock of the run; now when left out")
     args = parser.parse_args(arguments)
@@ -253,12 +291,12 @@ def run(arguments: Iterable[str] | None = None) -> None:
     statuses: list[TableStatus] = []
     if args.job == "listings":
         bronze = landing.land_listings(spark, args.input, args.bronze, args.as_of, args.prefix)
-        statuses, quality = listings_to_silver(spark, bronze, args.silver)
+        statuses, quality = listings_to_silver(spark, bronze, args.silver, args.versioned)
         quality.show(truncate=False, vertical=True)
     elif args.job == "ads":
         late = args.rejected or f"{args.bronze}_late"
         bronze = landing.land_ads(spark, args.input, args.bronze, args.as_of, rejected=late)
-        statuses = [] if bronze is None else ads_to_silver(spark, bronze, args.silver, args.as_of)
+        statuses = [] if bronze is None else ads_to_silver(spark, bronze, args.silver, args.as_of, args.versioned)
     elif args.job == "stream-ads":
         counts = stream_ads(
             spark, args.input[0], args.bronze, args.checkpoint, args.as_of, args.rejected, args.files_per_batch
@@ -266,7 +304,7 @@ def run(arguments: Iterable[str] | None = None) -> None:
         counts.show(200, truncate=False)
         landed = read_if_there(spark, args.bronze)
         if landed is not None and args.silver:
-            statuses = ads_to_silver(spark, landed, args.silver, args.as_of)
+            statuses = ads_to_silver(spark, landed, args.silver, args.as_of, args.versioned)
     elif args.job == "reviews":
         bronze = spark.read.schema(schema_of("reviews")).parquet(*args.input)
         statuses = reviews_to_silver(spark, bronze, args.silver, args.as_of)
@@ -279,7 +317,10 @@ def run(arguments: Iterable[str] | None = None) -> None:
         reviews = f"{args.silver}/Review.parquet"
         drain_reviews(messages, args.bronze, reviews, args.checkpoint, args.as_of, args.buckets, args.months)
     elif args.job == "gold":
-        statuses = silver_to_gold(spark, args.silver, args.gold, args.as_of, args.since, args.close_vanished)
+        statuses = silver_to_gold(spark, args.silver, args.gold, args.as_of, args.since, args.close_vanished, args.versioned)
+    elif args.job == "vacuum":
+        for layer in filter(None, (args.silver, args.gold)):
+            print(f"{layer}: {len(vacuum(spark, layer, args.keep))} folders removed")
     else:
         for name, report in answers(spark, args.gold, args.city).items():
             print(name)

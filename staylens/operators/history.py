@@ -116,7 +116,24 @@ def scd2_merge(
     themselves (no hash), NULL equal to NULL.  One join on a key that is unique on both
     sides; closed rows pass through without a shuffle.
     """
-    columns = history.columns
+    changed = scd2_step(history.filter("is_current"), snapshot, key, tracked, as_of, close_vanished)
+    return history.filter(~F.col("is_current")).unionByName(changed)
+
+
+def scd2_step(
+    opened: DataFrame,
+    snapshot: DataFrame,
+    key: str,
+    tracked: Sequence[str],
+    as_of: AsOf = None,
+    close_vanished: bool = False,
+) -> DataFrame:
+    """What ``scd2_merge`` makes of the open rows: the next open rows and the newly closed ones.
+
+    Rows that were closed before have no part in it, so a store that keeps them apart neither reads
+    nor writes them.
+    """
+    columns = opened.columns
     now = clock(as_of)
     fresh = snapshot.withColumns(
         {
@@ -124,8 +141,7 @@ def scd2_merge(
             "end_date": F.lit(None).cast("timestamp"),
             "is_current": F.lit(True),
         }
-    ).select(*[F.col(c).cast(history.schema[c].dataType).alias(c) for c in columns])
-    opened = history.filter("is_current")
+    ).select(*[F.col(c).cast(opened.schema[c].dataType).alias(c) for c in columns])
     pairs = opened.select(F.col(key), F.struct(*columns).alias("old")).join(
         fresh.select(F.col(key), F.struct(*columns).alias("new")), key, "full_outer"
     )
@@ -152,11 +168,14 @@ def scd2_merge(
         .when(same, F.array(old))
         .otherwise(F.array(closed, new))
     )
-    merged = pairs.select(F.inline(outcome)).select(*columns)
-    return history.filter(~F.col("is_current")).unionByName(merged)
+    return pairs.select(F.inline(outcome)).select(*columns)
 
 
 def insert_only(dimension: DataFrame, snapshot: DataFrame, key: str) -> DataFrame:
     """Type-0 dimension: rows already there never change, unseen keys are added."""
-    unseen = snapshot.select(*dimension.columns).join(dimension.select(key), key, "left_anti")
-    return dimension.unionByName(unseen)
+    return dimension.unionByName(unseen_rows(dimension, snapshot, key))
+
+
+def unseen_rows(dimension: DataFrame, snapshot: DataFrame, key: str) -> DataFrame:
+    """The rows that ``insert_only`` adds."""
+    return snapshot.select(*dimension.columns).join(dimension.select(key), key, "left_anti")

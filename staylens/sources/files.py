@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 import warnings
 from collections.abc import Iterable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -146,7 +148,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def folder_names(spark: SparkSession, pattern: str) -> list[str]:
-    """The names of the folders that a glob matches."""
+    """The names of the folders (or files) that a glob matches."""
     target, system = _located(spark, pattern)
     return [status.getPath().getName() for status in system.globStatus(target) or []]
 
@@ -162,6 +164,41 @@ def remove_path(spark: SparkSession, path: str) -> None:
     system.delete(target, True)
 
 
+def read_small(spark: SparkSession, path: str) -> str:
+    """A file of a few kilobytes as text."""
+    target, system = _located(spark, path)
+    stream = system.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file, complete from the first moment it is seen; ``False`` if it is there already."""
+    folder, _, name = path.rpartition("/")
+    target, system = _located(spark, path)
+    draft, _ = _located(spark, f"{folder}/.{name}-{uuid.uuid4().hex}")
+    system.mkdirs(target.getParent())
+    stream = system.create(draft, False)
+    try:
+        stream.write(bytearray(text, "utf-8"))
+    finally:
+        stream.close()
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    context = hadoop.FileContext.getFileContext(system.getUri(), spark._jsc.hadoopConfiguration())
+    strict = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+    strict[0] = hadoop.Options.Rename.NONE  # fails where the target exists
+    try:
+        context.rename(draft, target, strict)
+    except Py4JJavaError as error:
+        system.delete(draft, False)
+        if "FileAlreadyExistsException" in error.java_exception.getClass().getName():
+            return False
+        raise
+    return True
+
+
 def publish(spark: SparkSession, fresh: str, path: str) -> None:
     """Put a completely written table in the place of another, which is kept as the previous one.
 
@@ -204,12 +241,6 @@ def read_optional(spark: SparkSession, path: str, schema: StructType) -> DataFra
     return table
 
 
-def read_available(spark: SparkSession, folder: str, tables: Iterable[str]) -> dict[str, DataFrame]:
-    """The tables of a layer that are there, by name."""
-    reads = {table: read_if_there(spark, f"{folder}/{table}.parquet") for table in tables}
-    return {table: df for table, df in reads.items() if df is not None}
-
-
 def union_files(frames: Iterable[DataFrame]) -> DataFrame:
     """One table from the frames of several files, by column name."""
     first, *rest = frames

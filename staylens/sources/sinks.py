@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from staylens.operators.profile import counted
-from staylens.sources.files import hidden_path, path_exists, publish
+from staylens.sources.files import hidden_path, path_exists, publish, remove_path
+from staylens.sources.versions import Version, commit, is_versioned, latest, places, write_part
 
 
 @dataclass(frozen=True)
@@ -54,11 +55,21 @@ def write_tables(
     folder: str,
     mode: str = "overwrite",
     partition_by: Mapping[str, Sequence[str]] | None = None,
+    versioned: bool | None = None,
 ) -> list[TableStatus]:
     """Write every table; one that fails does not keep the others from being written.
 
     Rows are counted during the write.  Raises ``TablesFailedError`` at the end if any failed.
+
+    With ``versioned`` all tables are replaced by one commit, and none when any of them fails: see
+    ``write_versions``.  By default a layer stays as it is in this.
     """
+    if tables and mode == "overwrite" and not partition_by:
+        spark = next(iter(tables.values())).sparkSession
+        if versioned or (versioned is None and is_versioned(spark, folder)):
+            return write_versions(spark, tables, folder)
+    elif versioned:
+        raise ValueError("tables with versions are overwritten as a whole, without partitions")
     statuses = []
     for name, df in tables.items():
         watched, seen = counted(df, f"rows of {name}")
@@ -74,6 +85,36 @@ def write_tables(
     return statuses
 
 
+def write_versions(
+    spark: SparkSession,
+    tables: Mapping[str, DataFrame],
+    folder: str,
+    replaceable: Mapping[str, Column] | None = None,
+    base: Version | None = None,
+) -> list[TableStatus]:
+    """Write all tables and switch to them in one commit; if any fails, none is switched.
+
+    A table in ``replaceable`` gives only what changes: rows that meet the condition take the place
+    of those that met it before, the others are added to the rows that stay for good.  ``base`` is
+    the version the tables were made from, the latest by default.
+    """
+    base = base or latest(spark, folder)
+    statuses, parts = [], {}
+    for name, df in tables.items():
+        watched, seen = counted(df, f"rows of {name}")
+        try:
+            parts[name] = write_part(watched, folder, name, base, (replaceable or {}).get(name))
+            statuses.append(TableStatus(name, rows=seen.get.get("rows")))
+        except Exception as error:  # noqa: BLE001 - reported per table below
+            statuses.append(TableStatus(name, error=str(error).splitlines()[0]))
+    if not all(s.ok for s in statuses):
+        for place in places(parts) - places(base.tables):
+            remove_path(spark, f"{folder}/{place}")
+        raise TablesFailedError(statuses)
+    commit(spark, folder, base, parts)
+    return statuses
+
+
 def review_messages(reviews: DataFrame, max_records: int | None = None) -> DataFrame:
     """Reviews as messages: key is the review id, value the row as JSON (NULL fields kept)."""
     rows = reviews if max_records is None else reviews.orderBy("id").limit(max_records)

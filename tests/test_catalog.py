@@ -21,7 +21,7 @@ SAMPLE = (
     "dedupe_latest", "profile_transform_nulls", "scd2_event_history", "scd2_event_history_skewed", "scd2_merge",
     "fact_review", "fact_review_skewed", "agg_ads", "ml_premium_features", "topk_neighbourhood_cards",
     "underperformer_filter", "invest_question", "promotion_question", "csv_batch_scan", "review_event_sink",
-    "stream_payload_unwrap", "stream_contract_check", "stream_watermark", "stream_reviews_end_to_end",
+    "scd2_merge_versions", "silver_multi_table_sink_versions", "stream_payload_unwrap", "stream_contract_check", "stream_watermark", "stream_reviews_end_to_end",
 )
 
 
