@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
+from staylens import jobs
 from staylens.catalog.registry import Tables, flat, query, time_text
 from staylens.catalog.twins import NOW, flat as flat_sql
 from staylens.operators.schema_ops import cast_to_schema
 from staylens.plans import gold
 from staylens.plans.silver_listings import silver_table
-from staylens.schemas import LISTING_TABLES, schema_of, text_for_lists
+from staylens.schemas import BRONZE, LISTING_TABLES, schema_of, text_for_lists
 from staylens.sources import landing
 from staylens.sources.files import read_csv, read_optional, read_tables, union_files
 from staylens.sources.sinks import TablesFailedError, review_messages, write_table, write_tables
@@ -143,6 +144,52 @@ def bronze_ads_rejected(t: Tables) -> DataFrame:
     return shown_ads(t.spark.read.parquet(late))
 
 
+def write_broken_ads(t: Tables) -> str:
+    """The ads feed as CSV files in which every fifth row has an unreadable number, and the one after too few fields."""
+    names = schema_of("adsProviders").names
+    columns = cast_to_schema(t.ads_feed, schema_of("adsProviders"))
+    clicks, kind = F.col("total_clicks").cast("string"), F.pmod("id", F.lit(5))
+    whole = F.to_csv(F.struct(*[F.when(kind == 0, "many").otherwise(clicks).alias(c) if c == "total_clicks" else c for c in names]))
+    line = F.when(kind == 1, F.to_csv(F.struct("id", "name"))).otherwise(whole)
+    rows = columns.select(line.alias("value"), F.pmod(F.xxhash64("id", "name"), F.lit(4)).alias("part"), F.lit(1).alias("at"))
+    heads = t.spark.range(4).select(F.lit(",".join(names)).alias("value"), F.col("id").alias("part"), F.lit(0).alias("at"))
+    path = t.work("broken_ads")
+    lines = rows.unionByName(heads).repartition("part").sortWithinPartitions("part", "at")
+    lines.select("value", "part").write.partitionBy("part").text(path)
+    return f"{path}/part=*"
+
+
+OUTCOMES_SQL = f"""
+SELECT id, CASE WHEN id % 5 = 0 THEN 'unreadable: total_clicks' WHEN id % 5 = 1 THEN 'not {{fields}} fields'
+  WHEN {ON_TIME_SQL} THEN 'on time' ELSE 'late' END AS outcome
+FROM ads_feed
+""".format(fields=len(BRONZE["adsProviders"].split(",")))
+
+
+def ads_outcomes(t: Tables, on_time: str, late: str, malformed: str) -> DataFrame:
+    """Where every row went, and why."""
+    sides = [t.spark.read.parquet(p).select("id", F.lit(o).alias("outcome")) for p, o in ((on_time, "on time"), (late, "late"))]
+    apart = t.spark.read.parquet(malformed)
+    first = F.try_to_number(F.substring_index("line", ",", 1), F.lit("9999999999999")).cast("long")
+    return union_files([*sides, apart.select(first.alias("id"), F.col("reason").alias("outcome"))])
+
+
+@query("csv_batch_scan_malformed", OUTCOMES_SQL)
+def csv_batch_scan_malformed(t: Tables) -> DataFrame:
+    """Rows that do not fit the schema are kept apart with the reason."""
+    places = [t.work(name) for name in ("bronze_ads", "late_ads", "malformed_ads")]
+    landing.land_ads(t.spark, write_broken_ads(t), places[0], t.as_of, *places[1:])
+    return ads_outcomes(t, *places)
+
+
+@query("csv_stream_scan_malformed", OUTCOMES_SQL)
+def csv_stream_scan_malformed(t: Tables) -> DataFrame:
+    """The same as a stream of one file a batch."""
+    on_time, late, malformed = (t.work(name) for name in ("streamed_ads", "late_ads", "malformed_ads"))
+    jobs.stream_ads(t.spark, write_broken_ads(t), on_time, t.work("progress"), t.as_of, late, 1, malformed)
+    return ads_outcomes(t, on_time, late, malformed)
+
+
 @query(
     "review_event_sink",
     """

@@ -8,6 +8,7 @@ from __future__ import annotations
 import argparse
 import warnings
 from collections.abc import Iterable
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,8 @@ from staylens.plans import gold, questions, silver_ads, silver_listings, silver_
 from staylens.schemas import LISTING_TABLES, schema_of
 from staylens.session import SETTINGS, work_path
 from staylens.sources import landing
-from staylens.sources.files import read_if_there, read_raw_csv, remove_path, stream_csv
+from staylens.sources.files import CSV_FORMAT, read_if_there, read_raw_csv, remove_path, stream_csv
+from staylens.sources.quarantine import rejected_rows, without_malformed
 from staylens.sources.sinks import TableStatus, send_reviews, write_table, write_tables, write_versions
 from staylens.sources.versions import Version, is_versioned, latest, read_available, read_replaced, vacuum
 from staylens.streaming.drain import drain_late_counts, drain_late_split, read_late_counts
@@ -104,14 +106,24 @@ def stream_ads(
     as_of: AsOf = None,
     rejected: str | None = None,
     max_files: int | None = None,
+    malformed: str | None = None,
 ) -> DataFrame:
     """Everything that has newly arrived in a folder of ads files, split by the late window.
 
     Both sides are written batch by batch, so a batch that is run again overwrites its own part.
     Returns the rows and late rows of every file so far, which stay beside bronze.
+    With ``malformed``, rows that do not fit the schema go to that table with file, reason and text.
     """
-    rows = stream_csv(spark, schema_of("adsProviders"), folder, as_of, max_files, "source_file")
-    drain_late_split(rows, bronze, rejected or f"{bronze}_late", f"{checkpoint}/split", as_of)
+    ads = schema_of("adsProviders")
+    late, progress = rejected or f"{bronze}_late", f"{checkpoint}/split"
+    if malformed is None:
+        rows = stream_csv(spark, ads, folder, as_of, max_files, "source_file")
+        drain_late_split(rows, bronze, late, progress, as_of)
+    else:
+        watched = stream_csv(spark, ads, folder, as_of, max_files, "source_file", keep_malformed=True)
+        apart = partial(rejected_rows, schema=ads, csv_format=CSV_FORMAT)
+        drain_late_split(watched, bronze, late, progress, as_of, malformed=apart, malformed_target=malformed)
+        rows = without_malformed(watched)
     counts = f"{bronze}_counts"
     drain_late_counts(rows, "source_file", counts, f"{checkpoint}/counts", as_of)
     return read_late_counts(spark, counts, "source_file")
@@ -276,6 +288,7 @@ def run(arguments: Iterable[str] | None = None) -> None:
     parser.add_argument("--prefix", help="what listing file names start with; keeps city names of several words whole")
     parser.add_argument("--files-per-batch", type=int, help="ads files in a batch of their stream")
     parser.add_argument("--rejected", help="where ads outside the late window go; <bronze>_late when left out")
+    parser.add_argument("--malformed", help="where rows that do not fit their schema go; they land with NULLs when left out")
     parser.add_argument("--messages-per-batch", type=int, default=MAX_BATCH_MESSAGES)
     parser.add_argument("--max-records", type=int, help="publish no more reviews than this")
     parser.add_argument("--since", help="count reviews from this moment on")
@@ -290,17 +303,18 @@ def run(arguments: Iterable[str] | None = None) -> None:
         spark.conf.set(key, value)
     statuses: list[TableStatus] = []
     if args.job == "listings":
-        bronze = landing.land_listings(spark, args.input, args.bronze, args.as_of, args.prefix)
+        bronze = landing.land_listings(spark, args.input, args.bronze, args.as_of, args.prefix, args.malformed)
         statuses, quality = listings_to_silver(spark, bronze, args.silver, args.versioned)
         quality.show(truncate=False, vertical=True)
     elif args.job == "ads":
         late = args.rejected or f"{args.bronze}_late"
-        bronze = landing.land_ads(spark, args.input, args.bronze, args.as_of, rejected=late)
+        bronze = landing.land_ads(spark, args.input, args.bronze, args.as_of, rejected=late, malformed=args.malformed)
         statuses = [] if bronze is None else ads_to_silver(spark, bronze, args.silver, args.as_of, args.versioned)
     elif args.job == "stream-ads":
         counts = stream_ads(
-            spark, args.input[0], args.bronze, args.checkpoint, args.as_of, args.rejected, args.files_per_batch
-        )
+            spark, args.input[0], args.bronze, args.checkpoint, args.as_of, args.rejected, args.files_per_batch,
+            args.malformed,
+        )
         counts.show(200, truncate=False)
         landed = read_if_there(spark, args.bronze)
         if landed is not None and args.silver:

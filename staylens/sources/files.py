@@ -15,6 +15,7 @@ from pyspark.sql.types import StructType
 from staylens.functions import arrays
 from staylens.functions.times import AsOf, clock
 from staylens.schemas import is_list, text_for_lists
+from staylens.sources.quarantine import RAW, with_raw
 
 # How the CSV feeds are written, and how late a streamed row may be.
 CSV_FORMAT = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"'}
@@ -67,18 +68,24 @@ def read_csv(
     paths: str | Iterable[str],
     as_of: AsOf = None,
     prefix: str | None = None,
+    keep_malformed: bool = False,
 ) -> DataFrame:
     """All files of a CSV feed as one frame, typed, with lineage and ingestion time.
 
     The files must have the columns of ``schema`` in its order: a moved column is an error, not
-    a wrong value.  ``prefix`` is for ``place_from_path``.  Quoted line breaks make a CSV file
+    a wrong value.  ``prefix`` is for ``place_from_path``.  ``keep_malformed`` adds the
+    text of rows that do not fit the schema, see ``staylens.sources.quarantine``.  Quoted line breaks make a CSV file
     one task, so the feeds should come as many files.
     """
     files = [paths] if isinstance(paths, str) else list(paths or [])
     if not files or not all(files):
         raise ValueError("at least one path is needed")
-    reader = spark.read.schema(text_for_lists(schema)).options(**CSV_FORMAT)
-    rows = reader.option("enforceSchema", "false").csv(files)
+    columns = text_for_lists(schema)
+    reader = spark.read.options(**CSV_FORMAT).option("enforceSchema", "false")
+    if keep_malformed:
+        reader = reader.option("columnNameOfCorruptRecord", RAW).option("columnPruning", "false")
+        columns = with_raw(columns)
+    rows = reader.schema(columns).csv(files)
     return with_ingestion_ts(parse_list_columns(with_lineage(rows, prefix=prefix), schema), as_of)
 
 
@@ -111,14 +118,20 @@ def stream_csv(
     as_of: AsOf = None,
     max_files: int | None = None,
     source: str | None = None,
+    keep_malformed: bool = False,
 ) -> DataFrame:
     """A folder of CSV files as a stream, with a 48 h watermark on ``last_updated``.
 
-    ``source`` names a column for the file each row came in.
+    ``source`` names a column for the file each row came in, ``keep_malformed`` is as in ``read_csv``.
     """
     if not path:
         raise ValueError("a path is needed")
-    reader = spark.readStream.schema(text_for_lists(schema)).options(**CSV_FORMAT)
+    columns = text_for_lists(schema)
+    reader = spark.readStream.options(**CSV_FORMAT)
+    if keep_malformed:
+        reader = reader.option("columnNameOfCorruptRecord", RAW).option("columnPruning", "false")
+        columns = with_raw(columns)
+    reader = reader.schema(columns)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     rows = reader.csv(path)
@@ -153,6 +166,12 @@ def folder_names(spark: SparkSession, pattern: str) -> list[str]:
     return [status.getPath().getName() for status in system.globStatus(target) or []]
 
 
+def partition_folder(spark: SparkSession, column: str, value: str) -> str:
+    """The folder name of a partition, odd characters escaped as Spark's writer does."""
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    return f"{column}={escape(value)}"
+
+
 def hidden_path(path: str, kind: str) -> str:
     """A name beside a table that Spark's readers skip."""
     folder, _, name = path.rstrip("/").rpartition("/")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from staylens.functions.times import AsOf, in_late_window
 from staylens.operators.profile import EmptyResultError, counted
 from staylens.sources.landing import split_late
+from staylens.sources.quarantine import without_malformed
 from staylens.sources.sinks import write_table
 from staylens.streaming.messages import bronze_reviews
 
@@ -75,13 +76,26 @@ def drain_to_bronze(
 
 
 def drain_late_split(
-    rows: DataFrame, accepted: str, late: str, checkpoint: str, as_of: AsOf = None, column: str = "last_updated"
+    rows: DataFrame,
+    accepted: str,
+    late: str,
+    checkpoint: str,
+    as_of: AsOf = None,
+    column: str = "last_updated",
+    malformed: Callable[[DataFrame], DataFrame] | None = None,
+    malformed_target: str | None = None,
 ) -> int:
-    """Rows inside the late-arrival window to one table, all others to another."""
+    """Rows inside the late-arrival window to one table, all others to another.
+
+    ``malformed`` makes the rows of a third table out of a stream that keeps malformed rows.
+    """
 
     def split(batch: DataFrame, batch_id: int) -> None:
-        # Two outputs of one batch: do not fetch it from the source twice.
-        on_time, others = split_late(batch.persist(), as_of, column)
+        # Several outputs of one batch: do not fetch it from the source twice.
+        whole = batch.persist()
+        if malformed is not None:
+            write_table(malformed(whole), batch_folder(malformed_target, batch_id))
+        on_time, others = split_late(whole if malformed is None else without_malformed(whole), as_of, column)
         write_table(on_time, batch_folder(accepted, batch_id))
         write_table(others, batch_folder(late, batch_id))
         batch.unpersist()
