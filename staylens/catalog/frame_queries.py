@@ -12,6 +12,7 @@ from staylens.operators import profile
 from staylens.operators.dedupe import dedupe_latest
 from staylens.operators.history import event_history
 from staylens.operators.quantiles import exact_quantiles
+from staylens.operators.sketches import Sketches
 from staylens.operators.skew import heavy_keys, salted_left_join
 from staylens.plans import gold, questions, silver_listings
 from staylens.sources.files import union_files
@@ -210,6 +211,63 @@ def agg_count_distinct(t: Tables) -> DataFrame:
     return t.review_feed.groupBy("reviewer_id").agg(F.countDistinct("listing_id").alias("listings"))
 
 
+LINE_SKETCHES = Sketches({"orders": "l_orderkey", "parts": "l_partkey"}, {"price": "l_extendedprice"})
+
+
+def _line_sketches(t: Tables) -> DataFrame:
+    """Per return flag, merged from finer groups and then with the later lines of the orders."""
+    lines, fine = t.table("lineitem"), ["l_returnflag", "l_linestatus", "l_linenumber"]
+    early, late = (LINE_SKETCHES.of(lines.filter(part), fine) for part in ("l_linenumber <= 2", "l_linenumber > 2"))
+    flags = LINE_SKETCHES.rolled_up(early, ["l_returnflag"])
+    return LINE_SKETCHES.merged(flags, LINE_SKETCHES.rolled_up(late, ["l_returnflag"]), ["l_returnflag"])
+
+
+@query(
+    "agg_count_distinct_sketch",
+    """
+    SELECT l_returnflag, count(DISTINCT l_orderkey) AS orders, count(DISTINCT l_partkey) AS parts, count(*) AS n_rows, true AS orders_within, true AS parts_within
+    FROM lineitem GROUP BY l_returnflag
+    """,
+)
+def agg_count_distinct_sketch(t: Tables) -> DataFrame:
+    """Merged sketches next to the exact counts: within three standard errors, which is 5 %."""
+    names = list(LINE_SKETCHES.distinct)
+    exact = t.table("lineitem").groupBy("l_returnflag").agg(
+        *[F.countDistinct(c).alias(n) for n, c in LINE_SKETCHES.distinct.items()]
+    )
+    found = LINE_SKETCHES.estimates(_line_sketches(t), {}).withColumnsRenamed({n: f"{n}_sketch" for n in names})
+    within = {f"{n}_within": F.abs(F.col(f"{n}_sketch") - F.col(n)) <= 0.05 * F.col(n) for n in names}
+    return exact.join(found, "l_returnflag").withColumns(within).drop(*[f"{n}_sketch" for n in names])
+
+
+@query(
+    "agg_median_sketch",
+    """
+    SELECT l_returnflag, rank, count(*) AS n_rows, true AS within
+    FROM lineitem, (VALUES (5), (50), (95)) AS ranks(rank) GROUP BY l_returnflag, rank
+    """,
+)
+def agg_median_sketch(t: Tables) -> DataFrame:
+    """Quantiles from merged sketches: the share of rows below them is right to 2 % of all rows."""
+    ranks = {f"q{p}": ("price", p / 100) for p in (5, 50, 95)}
+    found = LINE_SKETCHES.estimates(_line_sketches(t), ranks).select("l_returnflag", *ranks)
+    lines = t.table("lineitem").select("l_returnflag", F.col("l_extendedprice").cast("double").alias("price"))
+    shares = []
+    for name in ranks:
+        shares += [F.avg((F.col("price") < F.col(name)).cast("int")).alias(f"below_{name}")]
+        shares += [F.avg((F.col("price") <= F.col(name)).cast("int")).alias(f"upto_{name}")]
+    # A row per return flag: the flags are few, the join is left to the optimizer.
+    seen = lines.join(found, "l_returnflag").groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n_rows"), *shares)
+    rows = [
+        seen.select(
+            "l_returnflag", F.lit(p).alias("rank"), "n_rows",
+            ((F.col(f"below_q{p}") <= p / 100 + 0.02) & (F.col(f"upto_q{p}") >= p / 100 - 0.02)).alias("within"),
+        )
+        for p in (5, 50, 95)
+    ]
+    return union_files(rows)
+
+
 QUANTILE_SQL = """
 SELECT l_returnflag, round(quantile_cont(l_extendedprice, 0.25), 4) AS price_q25,
   round(quantile_cont(l_quantity, 0.8), 4) AS quantity_q80

@@ -278,6 +278,32 @@ def agg_ads(t: Tables) -> DataFrame:
     return flat(t.agg_ads)
 
 
+@query(
+    "city_audience",
+    """
+    SELECT n.city AS city_name, n.listings, n.listings AS n_rows, coalesce(p.reviewers, 0) AS reviewers, true AS within
+    FROM (SELECT city, count(DISTINCT listing_id) AS listings FROM neighbourhood_base GROUP BY city) n
+    LEFT JOIN (SELECT b.city, count(DISTINCT r.reviewer_id) AS reviewers FROM neighbourhood_base b
+      JOIN silver_review r ON r.listing_id = b.listing_id GROUP BY b.city) p ON p.city IS NOT DISTINCT FROM n.city
+    """,
+)
+def city_audience(t: Tables) -> DataFrame:
+    """Cities from the sketches of their neighbourhoods, next to the exact counts."""
+    sketched = t.stored("AggNeighbourhoodSketches", lambda: gold.neighbourhood_sketches(t.neighbourhood_base, t.silver_review))
+    found = gold.city_audience(sketched)
+    places = t.neighbourhood_base.select("listing_id", F.col("city").alias("city"))
+    listings = places.groupBy("city").agg(F.countDistinct("listing_id").alias("listings"))
+    people = places.join(t.silver_review.select("listing_id", "reviewer_id"), "listing_id")
+    people = people.groupBy("city").agg(F.countDistinct("reviewer_id").alias("reviewers"))
+    exact = listings.join(people.withColumnRenamed("city", "c"), F.col("city").eqNullSafe(F.col("c")), "left").drop("c")
+    near = lambda name: F.abs(found[name] - F.coalesce(exact[name], F.lit(0))) <= 0.05 * F.coalesce(exact[name], F.lit(0))
+    median = found.median_availability.isNull() | found.median_availability.between(0, 365)
+    return found.join(exact, found.city_name.eqNullSafe(exact.city)).select(
+        "city_name", exact.listings, "n_rows", F.coalesce(exact.reviewers, F.lit(0)).alias("reviewers"),
+        (near("listings") & near("reviewers") & median).alias("within"),
+    )
+
+
 MART_ROWS = {
     "dimHost": "host_details",
     "dimProperty": "rent_details",

@@ -19,6 +19,7 @@ from staylens.functions.times import AsOf, clock
 from staylens.operators.dedupe import dedupe_latest
 from staylens.operators.quantiles import exact_quantiles
 from staylens.operators.schema_ops import cast_to_schema
+from staylens.operators.sketches import Sketches
 from staylens.operators.skew import salted_left_join
 from staylens.schemas import schema_of
 
@@ -319,6 +320,36 @@ def neighbourhood_invest(
     return cast_to_schema(rows, schema_of("AggNeighbourhoodInvest"))
 
 
+#: What a neighbourhood's sketches answer, for it and for anything made of neighbourhoods.
+AUDIENCE = Sketches(distinct={"listings": "listing_id"}, quantiles={"availability": "availability_365", "price": "price_per_night"})
+REVIEWERS = Sketches(distinct={"reviewers": "reviewer_id"})
+
+
+def neighbourhood_sketches(joined: DataFrame, reviews: DataFrame) -> DataFrame:
+    """Listings, reviewers, availability and price per city and neighbourhood as mergeable sketches.
+
+    Reviewers are sketched per listing first, which a heavy listing survives, and meet the
+    listings as one row each.
+    """
+    by_listing = REVIEWERS.of(reviews, ["listing_id"]).drop("n_rows")
+    by = [F.col("city").alias("city_name"), F.col("neighbourhood").alias("neighbourhood_name")]
+    rows = joined.select(*by, "listing_id", "availability_365", "price_per_night")
+    place = ["city_name", "neighbourhood_name"]
+    people = rows.select(*place, "listing_id").join(by_listing, "listing_id")
+    people = REVIEWERS.rolled_up(people.withColumn("n_rows", F.lit(1)), place).drop("n_rows")
+    listings = AUDIENCE.of(rows, place)
+    same = [listings[c].eqNullSafe(people[c]) for c in place]
+    return listings.join(people, same, "left").select(listings["*"], "reviewers")
+
+
+def city_audience(sketched: DataFrame) -> DataFrame:
+    """Per city: listings, distinct reviewers, median availability and price, from the sketches alone."""
+    both = Sketches({**AUDIENCE.distinct, **REVIEWERS.distinct}, AUDIENCE.quantiles)
+    cities = both.rolled_up(sketched, ["city_name"])
+    ranks = {"median_availability": ("availability", 0.5), "median_price": ("price", 0.5)}
+    return both.estimates(cities, ranks).withColumn("reviewers", F.coalesce("reviewers", F.lit(0)))
+
+
 def agg_ads(facts: DataFrame, as_of: AsOf = None) -> DataFrame:
     """One row per provider: conversion, cost per campaign, customers gained."""
     conversion = F.col("avg_conversion_rate")
