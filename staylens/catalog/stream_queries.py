@@ -241,6 +241,37 @@ def stream_contract_check(t: Tables) -> DataFrame:
     return checked.select("event_id", F.array_join("violations", "|").alias("violations"))
 
 
+# A right and a wrong JSON value for every kind of field.
+RIGHT_AND_WRONG = {
+    "string": ('"text"', "7"), "boolean": ("true", '"yes"'), "array": ('["a", "b"]', "[1]"), "float": ("0.5", '"0.5"'),
+    "int": ("-5", "3000000000"), "long": ("3000000000", "1.5"),
+}
+BROKEN_SQL = " ".join(
+    f"WHEN event_id % {len(messages.CONTRACT) + 2} = {i} THEN '{field}'" for i, field in enumerate(messages.CONTRACT)
+)
+
+
+@query(
+    "stream_contract_check_all_fields",
+    f"""
+    SELECT event_id, CASE {BROKEN_SQL} WHEN event_id % {len(messages.CONTRACT) + 2} = {len(messages.CONTRACT)}
+      THEN '{"|".join(messages.CONTRACT)}' ELSE '' END AS violations
+    FROM events
+    """,
+)
+def stream_contract_check_all_fields(t: Tables) -> DataFrame:
+    """Every field of the contract broken alone, all of them together, and none."""
+    every = len(messages.CONTRACT)
+    which = F.pmod("event_id", F.lit(every + 2))
+    parts = []
+    for i, (field, kind) in enumerate(messages.CONTRACT.items()):
+        right, wrong = (F.lit(f'"{field}": {value}') for value in RIGHT_AND_WRONG[kind])
+        parts.append(F.when(which.isin(i, every), wrong).otherwise(right))
+    value = F.concat(F.lit('{"other": {"id": "x"}, '), F.concat_ws(", ", *parts), F.lit("}"))
+    checked = messages.check_contract(t.table("events").select("event_id", value.alias("value")))
+    return checked.select("event_id", F.array_join("violations", "|").alias("violations"))
+
+
 @query(
     "stream_event_stamp",
     f"""
