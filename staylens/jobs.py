@@ -39,6 +39,9 @@ TRACKED = {
 }
 
 
+SKETCHES = "AggNeighbourhoodSketches"
+
+
 class Workspace:
     """The intermediate tables of one job, removed at its end.
 
@@ -164,6 +167,7 @@ def silver_to_gold(
     since: AsOf = None,
     close_vanished: bool = False,
     versioned: bool | None = None,
+    sketches: bool = False,
 ) -> list[TableStatus]:
     """All marts.  Type-2 dimensions are merged into their history, dimLocation only grows.
 
@@ -172,12 +176,13 @@ def silver_to_gold(
 
     With ``versioned`` all marts change in one commit, and a run reads and writes the open rows of a
     type-2 dimension and the new rows of dimLocation only, however many rows were closed before.  A
-    layer with versions keeps them; one without them is taken over by the first such run.
+    layer with versions keeps them; one without them is taken over by the first such run.  ``sketches``
+    adds a mart of mergeable sketches per neighbourhood, which answers for cities too.
     """
     if versioned is None:
         versioned = is_versioned(spark, target)
     with Workspace(spark) as work:
-        marts = _gold_marts(work, silver, as_of, since)
+        marts = _gold_marts(work, silver, as_of, since, sketches)
         if versioned:
             base = latest(spark, target)
             changes = _history_changes(spark, target, base, marts, as_of, close_vanished)
@@ -186,7 +191,7 @@ def silver_to_gold(
         return write_tables(marts | _histories(spark, target, marts, as_of, close_vanished), target, versioned=False)
 
 
-def _gold_marts(work: Workspace, silver: str, as_of: AsOf, since: AsOf) -> dict[str, DataFrame]:
+def _gold_marts(work: Workspace, silver: str, as_of: AsOf, since: AsOf, sketches: bool) -> dict[str, DataFrame]:
     spark, staged = work.spark, work.staged
     tables = read_available(spark, silver, [*gold.BASE_COLUMNS, "Review", "providerDetails", "providerMetrics"])
     needed = [t for t in (*gold.BASE_COLUMNS, "Review") if t not in tables]
@@ -206,6 +211,8 @@ def _gold_marts(work: Workspace, silver: str, as_of: AsOf, since: AsOf) -> dict[
     marts = gold.listing_marts(wide, as_of)
     marts["factReview"] = gold.fact_review(tables["Review"], stats, as_of)
     marts["dimReviewer"] = gold.dim_reviewer(tables["Review"])
+    if sketches:
+        marts[SKETCHES] = gold.neighbourhood_sketches(wide.filter("in_Location"), tables["Review"])
     if {"providerDetails", "providerMetrics"} <= set(tables):
         marts |= gold.provider_marts(tables["providerDetails"], tables["providerMetrics"], as_of)
     return marts
@@ -252,7 +259,7 @@ def answers(spark: SparkSession, target: str, city: str | None = None) -> dict[s
     ``city`` asks for the page of one city: see ``questions.invest_answer``.
     """
     marts = read_available(
-        spark, target, ["AggNeighbourhoodInvest", "dimLocation", "factListing", "AggAds"]
+        spark, target, ["AggNeighbourhoodInvest", "dimLocation", "factListing", "AggAds", SKETCHES]
     )
     found: dict[str, DataFrame] = {}
     if {"AggNeighbourhoodInvest", "dimLocation", "factListing"} <= set(marts):
@@ -267,6 +274,8 @@ def answers(spark: SparkSession, target: str, city: str | None = None) -> dict[s
     if "AggAds" in marts:
         reports = questions.promotion_answer(marts["AggAds"])
         found |= {f"promotion_{name}": df for name, df in reports.items()}
+    if SKETCHES in marts:
+        found["invest_audience"] = gold.city_audience(marts[SKETCHES])
     return found
 
 
@@ -294,6 +303,7 @@ def run(arguments: Iterable[str] | None = None) -> None:
     parser.add_argument("--since", help="count reviews from this moment on")
     parser.add_argument("--close-vanished", action="store_true", help="close keys that a snapshot lacks")
     parser.add_argument("--versioned", action="store_true", default=None, help="change all tables in one commit")
+    parser.add_argument("--sketches", action="store_true", help="also write mergeable sketches per neighbourhood")
     parser.add_argument("--keep", type=int, default=10, help="versions that vacuum leaves")
     parser.add_argument("--city", help="answer for one city, the first one where it is unknown")
     parser.add_argument("--as-of", help="clock of the run; now when left out")
@@ -331,7 +341,7 @@ def run(arguments: Iterable[str] | None = None) -> None:
         reviews = f"{args.silver}/Review.parquet"
         drain_reviews(messages, args.bronze, reviews, args.checkpoint, args.as_of, args.buckets, args.months)
     elif args.job == "gold":
-        statuses = silver_to_gold(spark, args.silver, args.gold, args.as_of, args.since, args.close_vanished, args.versioned)
+        statuses = silver_to_gold(spark, args.silver, args.gold, args.as_of, args.since, args.close_vanished, args.versioned, args.sketches)
     elif args.job == "vacuum":
         for layer in filter(None, (args.silver, args.gold)):
             print(f"{layer}: {len(vacuum(spark, layer, args.keep))} folders removed")

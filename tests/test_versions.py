@@ -154,7 +154,7 @@ def test_gold_with_versions_is_gold_without(spark, tmp_path):
         if n == 0:
             jobs.reviews_to_silver(spark, cast_to_schema(reviews, schema_of("reviews")), silver, AS_OF)
         for target, flags in targets.items():
-            jobs.silver_to_gold(spark, silver, f"{tmp_path}/{target}", as_of, close_vanished=True, versioned=flags[n])
+            jobs.silver_to_gold(spark, silver, f"{tmp_path}/{target}", as_of, close_vanished=True, versioned=flags[n], sketches=n == 2)
     marts = ["dimHost", "dimProperty", "dimLocation", "factListing", "factReview", "AggNeighbourhoodInvest"]
     results = {
         target: {m: sorted(map(repr, df.select(*sorted(df.columns)).collect()))
@@ -166,6 +166,8 @@ def test_gold_with_versions_is_gold_without(spark, tmp_path):
     assert len(results["plain"]["dimHost"]) > 3
     reports = {t: [c.asDict() for c in jobs.answers(spark, f"{tmp_path}/{t}")["invest_cards"].collect()] for t in targets}
     assert reports["versions"] == reports["plain"] == reports["taken"] and reports["plain"]
+    (audience,) = jobs.answers(spark, f"{tmp_path}/versions")["invest_audience"].collect()
+    assert (audience.city_name, audience.listings, audience.reviewers, audience.median_availability) == ("chicago", 2, 1, 100.0)
 
 
 def test_plain_tables_stay_plain(spark, tmp_path):
