@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from staylens.functions import arrays, numbers
 from staylens.functions.times import AsOf, clock
 from staylens.operators.dedupe import dedupe_latest
-from staylens.operators.quantiles import exact_quantiles
+from staylens.operators.quantiles import exact_quantiles, lower_median
 from staylens.operators.schema_ops import cast_to_schema
 from staylens.operators.sketches import Sketches
 from staylens.operators.skew import salted_left_join
@@ -308,7 +308,7 @@ def neighbourhood_invest(
         F.sum(numbers.or_zero(F.col("number_of_reviews_ltm"))).alias("neighbourhood_highest_reviews"),
         F.avg("price_per_night").alias("avg_order_price"),
         F.avg("estimated_revenue_l365d").alias("avg_revenue_l365d"),
-        F.percentile_approx("availability_365", 0.5).alias("median_availability"),
+        lower_median("availability_365").alias("median_availability"),
         F.avg("host_response_rate").alias("avg_response_rate"),
     )
     rows = rows.withColumns(
