@@ -11,7 +11,7 @@ from staylens.functions import numbers
 from staylens.operators import profile
 from staylens.operators.dedupe import dedupe_latest
 from staylens.operators.history import event_history
-from staylens.operators.quantiles import exact_quantiles
+from staylens.operators.quantiles import exact_quantiles, lower_median
 from staylens.operators.sketches import Sketches
 from staylens.operators.skew import heavy_keys, salted_left_join
 from staylens.plans import gold, questions, silver_listings
@@ -199,7 +199,7 @@ def agg_neighbourhood_invest(t: Tables) -> DataFrame:
     """,
 )
 def agg_median_approx(t: Tables) -> DataFrame:
-    median = F.percentile_approx("availability_365", 0.5).alias("median_availability")
+    median = lower_median("availability_365").cast("int").alias("median_availability")
     return t.neighbourhood_base.groupBy("neighbourhood").agg(median)
 
 

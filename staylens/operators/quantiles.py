@@ -51,7 +51,7 @@ def lower_median(column: str) -> Column:
     """The exact median, of two middle values the lower one: an aggregate for whole numbers of a small range.
 
     Counted per distinct value before and after the shuffle, so a group costs as many entries as it
-    has distinct values, however many rows.  NULL values do not count.
+    has distinct values, however many rows.  NULL values do not count.  The result is a double.
     """
     return F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{column}`)")
 
