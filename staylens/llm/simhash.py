@@ -10,7 +10,7 @@ verified by their differing bits.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -102,8 +102,8 @@ def keyed(nodes: DataFrame, width: int) -> DataFrame:
     return nodes.select(F.explode(F.array(*keys)).alias("key"), "fp")
 
 
-def cells(postings: DataFrame, cell: int = CELL) -> DataFrame:
-    """``(key, cell, fp)``: lists over ``cell`` members are cut into blocks, and block pairs are cells."""
+def cells(postings: DataFrame, cell: int = CELL, member: str = "fp") -> DataFrame:
+    """Postings with a ``cell``: lists over ``cell`` members are cut into blocks, and block pairs are cells."""
     long_lists = staged(
         postings.groupBy("key")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -111,17 +111,21 @@ def cells(postings: DataFrame, cell: int = CELL) -> DataFrame:
         .select("key", F.ceil(F.col("n") / cell).cast("int").alias("blocks")),
         "simhash_long_lists",
     )
-    block = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
+    block = F.pmod(F.xxhash64(member), F.col("blocks")).cast("int")
+    others = [c for c in postings.columns if c != "key"]
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     return (
         postings.join(long_lists, "key", "left")
         .withColumn("blocks", F.coalesce("blocks", F.lit(1)))
         .withColumn("block", block)
         .withColumn("other", other)
-        .select("key", (F.least("block", "other") * F.col("blocks") + F.greatest("block", "other")).alias("cell"), "fp")
+        .select("key", (F.least("block", "other") * F.col("blocks") + F.greatest("block", "other")).alias("cell"), *others)
     )
 
 
+Linked = Callable[[np.ndarray, int], np.ndarray]
+
+
 def _linked(x: np.ndarray, bits: int) -> np.ndarray:
     """Which differences are links: count filter on shared positional bytes, then verification."""
     shared = (x[..., None].view(np.uint8) == 0).sum(axis=-1) >= 8 - bits
@@ -129,7 +133,7 @@ def _linked(x: np.ndarray, bits: int) -> np.ndarray:
     return shared
 
 
-def _spanning(fps: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+def _spanning(fps: np.ndarray, bits: int, linked: Linked = _linked) -> tuple[np.ndarray, np.ndarray]:
     """Links that connect one posting list as all its links would: a search that visits each once."""
     left = np.arange(len(fps))
     a: list[np.ndarray] = []
@@ -138,7 +142,7 @@ def _spanning(fps: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
         front, left = left[:1], left[1:]
         while len(front) and len(left):
             some, front = front[:32], front[32:]
-            hits = _linked(fps[some][:, None] ^ fps[left][None, :], bits)
+            hits = linked(fps[some][:, None] ^ fps[left][None, :], bits)
             reached = hits.any(axis=0)
             if reached.any():
                 b.append(left[reached])
@@ -161,6 +165,45 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             label = label[label]
 
 
+def listed_links(
+    key: np.ndarray, cell: np.ndarray, fp: np.ndarray, bits: int, linked: Linked = _linked
+) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of linked members of the same list and cell, all three sorted by these."""
+    new = np.ones(len(key), dtype=bool)
+    new[1:] = (key[1:] != key[:-1]) | (cell[1:] != cell[:-1])
+    group = np.cumsum(new) - 1
+    starts = np.flatnonzero(new)
+    sizes = np.diff(np.append(starts, len(key)))
+    a: list[np.ndarray] = [np.zeros(0, dtype=np.int64)]
+    b: list[np.ndarray] = [np.zeros(0, dtype=np.int64)]
+    for start, size in zip(starts[sizes > SHORT].tolist(), sizes[sizes > SHORT].tolist(), strict=True):
+        x, y = _spanning(fp[start : start + size], bits, linked)
+        a.append(x + start)
+        b.append(y + start)
+    short = np.flatnonzero((sizes > 1)[group] & (sizes <= SHORT)[group])
+    for offset in range(1, SHORT):
+        short = short[short + offset < len(group)]
+        short = short[group[short] == group[short + offset]]
+        if not len(short):
+            break
+        for at in range(0, len(short), 1 << 18):
+            some = short[at : at + (1 << 18)]
+            some = some[linked(fp[some] ^ fp[some + offset], bits)]
+            a.append(some)
+            b.append(some + offset)
+    return np.concatenate(a), np.concatenate(b)
+
+
+def forest(x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
+    """``(a, b)`` with the same components as the links between ``x`` and ``y``, a row per member."""
+    different = x != y  # a list cut into blocks holds a member in several cells, never twice in one
+    x, y = x[different], y[different]
+    known = np.unique(np.concatenate([x, y]))
+    roots = _roots(len(known), np.searchsorted(known, x), np.searchsorted(known, y))
+    member = np.flatnonzero(roots != np.arange(len(known)))
+    return pa.RecordBatch.from_arrays([pa.array(known[member]), pa.array(known[roots[member]])], names=["a", "b"])
+
+
 def _links(bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = whole_partition(batches)
@@ -169,40 +212,9 @@ def _links(bits: int):
         key, cell, fp = (table.column(i).to_numpy() for i in range(3))
         order = np.lexsort((fp, cell, key))
         key, cell, fp = key[order], cell[order], fp[order].view(np.uint64)
-        new = np.ones(len(key), dtype=bool)
-        new[1:] = (key[1:] != key[:-1]) | (cell[1:] != cell[:-1])
-        group = np.cumsum(new) - 1
-        starts = np.flatnonzero(new)
-        sizes = np.diff(np.append(starts, len(key)))
-        a: list[np.ndarray] = []
-        b: list[np.ndarray] = []
-        for start, size in zip(starts[sizes > SHORT].tolist(), sizes[sizes > SHORT].tolist(), strict=True):
-            x, y = _spanning(fp[start : start + size], bits)
-            a.append(x + start)
-            b.append(y + start)
-        short = np.flatnonzero((sizes > 1)[group] & (sizes <= SHORT)[group])
-        for offset in range(1, SHORT):
-            short = short[short + offset < len(group)]
-            short = short[group[short] == group[short + offset]]
-            if not len(short):
-                break
-            for at in range(0, len(short), 1 << 18):
-                some = short[at : at + (1 << 18)]
-                some = some[_linked(fp[some] ^ fp[some + offset], bits)]
-                a.append(some)
-                b.append(some + offset)
-        if not a:
-            return
+        a, b = listed_links(key, cell, fp, bits)
         signed = fp.view(np.int64)
-        x, y = signed[np.concatenate(a)], signed[np.concatenate(b)]
-        different = x != y  # a list cut into blocks holds a member in several cells, never twice in one
-        x, y = x[different], y[different]
-        known = np.unique(np.concatenate([x, y]))
-        roots = _roots(len(known), np.searchsorted(known, x), np.searchsorted(known, y))
-        member = np.flatnonzero(roots != np.arange(len(known)))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(known[member]), pa.array(known[roots[member]])], names=["a", "b"]
-        )
+        yield forest(signed[a], signed[b])
 
     return run
 
