@@ -256,8 +256,8 @@ def agg_median_sketch(t: Tables) -> DataFrame:
     for name in ranks:
         shares += [F.avg((F.col("price") < F.col(name)).cast("int")).alias(f"below_{name}")]
         shares += [F.avg((F.col("price") <= F.col(name)).cast("int")).alias(f"upto_{name}")]
-    # A row per return flag: the flags are few, the join is left to the optimizer.
-    seen = lines.join(found, "l_returnflag").groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n_rows"), *shares)
+    # A row per return flag: without the broadcast all lines of a flag would meet in one task.
+    seen = lines.join(F.broadcast(found), "l_returnflag").groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n_rows"), *shares)
     rows = [
         seen.select(
             "l_returnflag", F.lit(p).alias("rank"), "n_rows",
