@@ -21,14 +21,23 @@ from staylens.sources.sinks import TablesFailedError, review_messages, write_tab
 from staylens.sources.versions import read_available
 
 
+#: Rows of a feed's file, where it has more than its least number of files.
+ROWS_PER_FILE = 100_000
+
+
+def files_for(df: DataFrame, least: int) -> int:
+    """``least`` or a multiple of it: the files of a feed grow in number, not in size."""
+    return least * max(1, -(-df.count() // (least * ROWS_PER_FILE)))
+
+
 def write_csv(t: Tables, df: DataFrame, table: str, files: int = 4) -> str:
-    """A feed as CSV files, in the column order of its schema, lists as JSON text."""
+    """A feed as CSV files, ``files`` or more, in the column order of its schema, lists as JSON text."""
     path = t.work(f"{table}_csv")
     typed = cast_to_schema(df, schema_of(table))
     lists = {f.name: F.to_json(f.name) for f in typed.schema if isinstance(f.dataType, ArrayType)}
     rows = typed.withColumns(lists) if lists else typed
     as_is = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    rows.repartition(files).write.options(header=True, quote='"', escape='"', **as_is).csv(path)
+    rows.repartition(files_for(df, files)).write.options(header=True, quote='"', escape='"', **as_is).csv(path)
     return path
 
 
