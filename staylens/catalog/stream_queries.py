@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from staylens import jobs
 from staylens.catalog.frame_queries import EVENT_HISTORY_SQL
-from staylens.catalog.io_queries import ADS_SHOWN_SQL, awkward_ads, shown_ads, write_csv
+from staylens.catalog.io_queries import ADS_SHOWN_SQL, awkward_ads, files_for, shown_ads, write_csv
 from staylens.catalog.registry import Tables, flat, query, time_text
 from staylens.catalog.twins import AS_OF, NOW, flat as flat_sql
 from staylens.operators.schema_ops import cast_to_schema
@@ -29,17 +29,23 @@ from staylens.streaming.drain import (
 FILES, FILES_PER_BATCH = 6, 2
 
 
+def stream_files(rows: DataFrame) -> tuple[int, int]:
+    """How many files a feed has and a batch takes: more of both for more rows, in as many batches."""
+    files = files_for(rows, FILES)
+    return files, files * FILES_PER_BATCH // FILES
+
+
 def message_stream(t: Tables) -> DataFrame:
-    path = t.work("messages")
-    write_table(t.message_feed.select("value", "received_at").repartition(FILES), path)
-    return messages.file_messages(t.spark, path, FILES_PER_BATCH)
+    path, (files, per_batch) = t.work("messages"), stream_files(t.message_feed)
+    write_table(t.message_feed.select("value", "received_at").repartition(files), path)
+    return messages.file_messages(t.spark, path, per_batch)
 
 
 def review_stream(t: Tables, rows: DataFrame) -> DataFrame:
     """Bronze reviews as a stream of a few batches, in no order."""
-    path, schema = t.work("bronze_reviews"), schema_of("reviews")
-    write_table(cast_to_schema(rows, schema).repartition(FILES), path)
-    return t.spark.readStream.schema(schema).option("maxFilesPerTrigger", FILES_PER_BATCH).parquet(path)
+    path, schema, (files, per_batch) = t.work("bronze_reviews"), schema_of("reviews"), stream_files(rows)
+    write_table(cast_to_schema(rows, schema).repartition(files), path)
+    return t.spark.readStream.schema(schema).option("maxFilesPerTrigger", per_batch).parquet(path)
 
 
 def event_stream(t: Tables) -> DataFrame:
